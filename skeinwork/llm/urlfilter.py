@@ -31,6 +31,9 @@ BLOCKED_URLS = (
     "http://porn-tube.example.com/videos", "https://hot-singles.example.org/date", "http://malware-download.example.com/crack", "https://free-crack.example.net/keygen",
     "http://warez-torrent.example.org/serial", "https://phishing-login.example.com/verify", "http://replica-watches.example.net/sale", "https://cheap-loans.example.org/payday",
     "http://payday-loan.example.com/apply", "https://crypto-giveaway.example.net/double", "http://weight-loss-pills.example.org/diet", "https://miracle-cure.example.com/es/18",
+    "https://blog.adult-x.example.com/en/19.html", "http://m.adult-cams.example.org/en/20", "https://blog.casino-win.example.net/en/21?page=2", "http://m.cheap-pills.example.net/en/22/",
+    "https://www.free-bets.example.org/en/23", "http://blog.spam-farm.example.net/fr/24", "https://m.ads-track.example.org/en/25", "http://blog.cheap-meds.example.com/de/26.html",
+    "https://m.online-casino.example.com/es/27", "http://blog.betting-tips.example.org/en/28/", "https://www.xxx-videos.example.net/en/29.html", "http://blog.payday-loan.example.net/en/30",
 )
 ALLOWED_URLS = (
     "http://news.example.com/en/1", "https://www.weather.example.org/en/2", "http://library.example.net/catalogue", "https://blog.gardening.example.com/de/3",
@@ -45,6 +48,9 @@ ALLOWED_URLS = (
     "http://forum.example.net/threads/29", "https://wiki.example.org/page", "http://journal.example.com/issue/30", "https://www.archive.example.net/en/31",
     "http://radio.example.org/de/32", "https://m.garden.example.com/es/33", "http://atlas.example.net/maps", "https://blog.ether.example.org/en/34",
     "http://weather-report.example.com/today", "https://open-library.example.org/books", "http://city-council.example.net/en/35", "https://the-journal.example.com/fr/36",
+    "http://ththrin.example.org/en/37", "https://www.ththor.example.com/en/38.html", "http://blog.nthble.example.net/en/39/", "https://m.ththon.example.org/fr/40",
+    "https://rthnt.example.com/en/41?page=2", "http://www.thtable.example.org/de/42", "https://m.tionand.example.net/en/43", "http://ththwing.example.com/es/44/",
+    "https://thntle.example.org/en/45.html", "http://m.strength.example.net/en/46", "https://blog.bletter.example.com/en/47", "http://nther.example.org/en/48",
 )
 
 
