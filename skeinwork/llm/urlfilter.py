@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -85,10 +86,10 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column
 
 
 def grams(host: str, path: str) -> np.ndarray:
-    """Hashed n-grams of the host and of the path, each marked at its ends; each bucket once."""
+    """Hashed n-grams of the host and of the path, each marked at its ends; each bucket once. Runs of digits are one 0."""
     out = set()
     for mark, part in (("h", host), ("p", path)):
-        data = f"^{part}$".lower().encode()
+        data = re.sub(r"\d+", "0", f"^{part}$".lower()).encode()
         for n in SIZES:
             for i in range(len(data) - n + 1):
                 out.add(zlib.crc32(data[i : i + n] + mark.encode()) % BUCKETS)
