@@ -65,4 +65,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_url_filter, op4_language_id, op5_sharding, op6_simhash, op7_token_counts, op8_permutation_index, op9_html_text, op10_token_files)}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    # Sums only shrink with depth, so a leaf is a prefix that fits under a parent that does not.
+    "op5_sharding": f"""WITH r AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, lpad(bin(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 15))::BIGINT), 60, '0') AS place FROM documents),
+  k AS (SELECT doc_id, n_bytes, d, substr(place, 1, d) AS shard FROM r, generate_series(0, 60) g(d)), n AS (SELECT d, shard, sum(n_bytes)::BIGINT AS b FROM k GROUP BY 1, 2)
+  SELECT k.doc_id, k.n_bytes, k.shard, k.d::INT AS depth, n.b AS shard_bytes FROM k JOIN n USING (d, shard) LEFT JOIN n p ON p.d = k.d - 1 AND p.shard = substr(k.shard, 1, k.d - 1)
+  WHERE (n.b <= {SHARD_LIMIT} OR k.d = 60) AND (k.d = 0 OR p.b > {SHARD_LIMIT})""",
+}
