@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skeinwork.llm.common import fresh
+from skeinwork.llm.common import bound_batches, fresh
 
 # Symbol classes of the automaton.
 LETTER, NUMBER, OTHER, QUOTE_1, QUOTE_2, JOIN, LONE, SPACE = range(8)
@@ -43,11 +43,11 @@ CONTRACTIONS_2 = ("re", "ve", "ll")
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 #: Pre-tokens a task keeps merged; beyond it the cache starts anew, so memory stays bounded.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 150_000
 #: Longer pre-tokens are merged with a heap and are not cached.
 LONG_PIECE = 96
 #: Code points that are laid out in one array at a time.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 
 
 def _step(state: int, symbol: int) -> tuple[int, bool]:
@@ -400,6 +400,7 @@ def decode_ids(path: str):
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """docs with the ids of each whole text in a new column; a column of that name is replaced."""
+    bound_batches(docs.sparkSession)
     return docs.withColumn(ids, encode_texts(path)(F.col(f"`{text}`")))
 
 
@@ -421,6 +422,7 @@ def with_tokens(docs: DataFrame, path: str) -> DataFrame:
             intact = [own.decode(x) == t.encode() for x, t in zip(found, texts)]
             yield pd.DataFrame({"ids": pd.Series([x.astype(np.int32) for x in found], dtype=object), "intact": np.array(intact, dtype=bool)})
 
+    bound_batches(docs.sparkSession)
     (name,) = fresh(docs, "tokens")
     out = docs.withColumn(name, run(F.col("text").cast("string")))
     return out.withColumn("ids", F.col(f"{name}.ids")).withColumn("n_tokens", F.size("ids").cast("long")).withColumn("intact", F.col(f"{name}.intact")).drop(name)
@@ -437,6 +439,8 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
     so ids never leave the Python worker.
     """
 
+    bound_batches(docs.sparkSession)
+
     @F.pandas_udf(DIGESTS)
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = encoder(path)

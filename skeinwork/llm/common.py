@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skeinwork.sources.storage import materialise, shared_dir, table
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can see: `spark.checkpoint.dir`, or one of our own where it is unset.
+__all__ = ["bound_batches", "fresh", "materialise", "row_key", "shared_dir", "table"]
 
-    A machine-local folder is only ever chosen for a local master; on a cluster the setting is required.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back, so that its lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def bound_batches(spark: SparkSession) -> None:
+    """Whole texts go to the Python workers in Arrow batches of 2 MB, unless the session has a setting of its own."""
+    if spark.conf.get(_BATCH, "67108864b") in ("67108864b", "64m", "67108864"):
+        spark.conf.set(_BATCH, "2m")
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -42,10 +30,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def row_key(df: DataFrame):
-    """A 64-bit digest of a whole row; equal rows have equal digests."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def row_key(df: DataFrame) -> Column:
+    """A digest of 128 bits of a whole row, as text; equal rows have equal digests."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.concat(F.hex(F.xxhash64(*columns)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *columns)))

@@ -17,14 +17,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import fresh
+from skeinwork.llm.common import bound_batches, fresh
 
 # The masks; a 1 is a token that must agree. All have a weight of 7 within 9 to 12 tokens.
 MASKS = ("110110111", "1101100101011", "111010010111", "1111111")
 #: Tokens of the benchmark that one pass holds in each task (at most so many, or one item); more take more passes.
 PASS_TOKENS = 2_000_000
 #: Bytes of text that are laid out in one array at a time.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -209,6 +209,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), pass_
     """
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     spark = docs.sparkSession
+    bound_batches(spark)
     out = None
     for part in _passes(benchmark, pass_tokens):
         seeds = spark.sparkContext.broadcast(Seeds(part, rule))
@@ -222,6 +223,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), pas
     """docs without the rows whose text leaks a benchmark item; rows with null or empty texts stay, as do all columns."""
     (flag,) = fresh(docs, "leaks")
     spark = docs.sparkSession
+    bound_batches(spark)
     for part in _passes(benchmark, pass_tokens):
         seeds = spark.sparkContext.broadcast(Seeds(part, rule))
 

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skeinwork.llm.common import bound_batches
+
 # Elements of HTML by their part in the page.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -248,6 +250,8 @@ def extract(pages: DataFrame) -> DataFrame:
     are left out. Pages are read whole, however long; broken markup is read as far as it goes.
     """
 
+    bound_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages in batches:

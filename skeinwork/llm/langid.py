@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import fresh
+from skeinwork.llm.common import bound_batches, fresh
 
 # Languages by family (ISO 639-1). A language that is not listed is a family of its own.
 FAMILIES = {
@@ -190,6 +190,7 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, languages: int = SAMPLE_LA
 
 def predict_column(spark, model: Model):
     """A column function: text to struct(lang_pred, score). A null text or one without letters is `und`, 0."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

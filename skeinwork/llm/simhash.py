@@ -17,10 +17,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import fresh, materialise, row_key
+from skeinwork.llm.common import bound_batches, fresh, materialise, row_key
 from skeinwork.llm.components import components, spanning_edges
 
 SEED = 42
@@ -193,7 +193,7 @@ def group_links(group: np.ndarray, start: np.ndarray, values: np.ndarray, ring:
 
 
 #: Rows that a task compares at a time.
-CHUNK = 400_000
+CHUNK = 150_000
 
 
 def _links_of_partition(ring: Ring):
@@ -257,6 +257,7 @@ def simhash_groups(docs: DataFrame, width: int | None = 4, limit: int = 4, segme
     doc_id and text are left out. Rows of equal fingerprints meet only in aggregates and in a join that
     adaptive execution can split, so copies do not gather in a task.
     """
+    bound_batches(docs.sparkSession)
     own = materialise(docs.select(F.col("doc_id").cast("long"), fingerprint_column(width)(F.col("text").cast("string")).alias("fp")), "simhash-fp")
     distinct = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     labels = fingerprint_components(distinct.select("fp"), Ring(limit, segments))
@@ -273,7 +274,8 @@ def drop_near_duplicates(docs: DataFrame, width: int | None = None, limit: int =
     nearly all words shared, so such texts lie within a few bits, which they do not over shingles. Of
     repeated rows one stays; all columns are kept, of any name.
     """
-    fp, key = fresh(docs, "fp", "key")
+    bound_batches(docs.sparkSession)
+    (key,) = fresh(docs, "key")
     keyed = docs.select("*", row_key(docs).alias(key))
     order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id"), F.col(key).alias("row"))
     own = materialise(keyed.select(order.alias("row"), fingerprint_column(width)(F.col("text").cast("string")).alias("fp")), "simhash-fp")
