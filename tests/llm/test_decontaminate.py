@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from skeinwork.llm import decontaminate as D
 
@@ -47,7 +48,7 @@ def test_planted_passages_are_found_and_others_left_alone(spark):
             text[len(text) // 2 : len(text) // 2] = item
         docs.append((i, " ".join(text)))
     docs += [(None, items[20][1]), (61, None), (62, ""), (1, docs[1][1])]
-    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", __import__("pyspark").sql.functions.lit("clash"))
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in D.find_leaks(table, bench).collect()}
     assert got == {(i, k) for i, t in docs for k in plain_leaks(t, items, D.Rule())}

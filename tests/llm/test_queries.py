@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from skeinwork.llm import queries, sharding
+from skeinwork.llm import decontaminate, queries
 from tests.oracle import connect, rows
 
 SF = "/root/testdata/sf0.001"
@@ -37,10 +37,7 @@ def test_the_pipeline_stage_by_stage(spark):
         if name == "near_duplicates":
             texts = [r["text"] for r in docs.select("text").collect()]
             assert len(texts) == len(set(texts))
-            assert {r["text"] for r in before.select("text").collect()} - set(texts) is not None
         if name == "decontamination":
-            from skeinwork.llm import decontaminate
-
             assert decontaminate.find_leaks(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).count() == 0
     assert docs.filter("NOT intact").count() == 0
     assert kept["language_id"] >= kept["near_duplicates"] >= kept["decontamination"] == kept["byte_bpe"] > 0
