@@ -1,7 +1,7 @@
 """Token ids as flat binary files with 64-bit document offsets, written and read by Spark tasks.
 
 Documents are range-partitioned by doc_id; each partition writes one shard of three files: `.ids`, the ids of its
-documents one after the other (little-endian unsigned 32-bit, or 16-bit where the vocabulary fits), `.off`,
+documents one after the other (little-endian unsigned 16-bit where the vocabulary fits, else 32-bit), `.off`,
 64-bit offsets into them (documents + 1), and `.doc`, the 64-bit doc_ids with a mask byte for nulls. A manifest
 row per shard holds its counts, and the prefix sums of the counts are the shards' bases in the whole.
 """
@@ -22,11 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import shared_dir
+from skeinwork.llm.common import bound_batches, shared_dir
 
-MANIFEST = "shard int, name string, n_docs long, n_ids long"
+MANIFEST = "shard int, name string, n_docs long, n_ids long, id_bytes int"
 #: Texts that go to the tokenizer at a time, by characters.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 #: Bytes of text a shard holds on average.
 SHARD_BYTES = 64 << 20
 
@@ -56,20 +56,22 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
-def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, id_bytes: int = 4, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Writes the shards below folder, and a manifest; returns the manifest (shard, name, n_docs, n_ids, base_docs,
-    base_ids), one row per shard.
+def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Writes the shards below folder, and a manifest; returns the manifest (shard, name, n_docs, n_ids, id_bytes,
+    base_docs, base_ids), one row per shard.
 
     Each document's ids end with end_id. A null text counts as empty and so is end_id alone. Documents lie in
     ascending doc_id order, nulls first; rows of one doc_id lie in the order of their texts. A task that runs
     again writes files of a new name, and only the names in the manifest count.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     dealt = own.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    kind = np.dtype("<u4" if id_bytes == 4 else "<u2")
+    id_bytes = 2 if max(tokenizer(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    kind = np.dtype(f"<u{id_bytes}")
     _open(folder)[0].create_dir(_open(folder)[1], recursive=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,8 +85,6 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, id_bytes:
                 texts = ["" if t is None else t for t in batch["text"]]
                 for x in encode(path, texts):
                     data = np.append(x, np.uint32(end_id))
-                    if id_bytes == 2 and data.max() > 0xFFFF:
-                        raise ValueError("an id takes more than 16 bits")
                     ids.write(data.astype(kind).tobytes())
                     place += len(data)
                     offsets.append(place)
@@ -96,7 +96,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, id_bytes:
                 out.write(np.array(offsets, dtype="<i8").tobytes())
             with store.open_output_stream(f"{root}/{name}.doc") as out:
                 out.write(np.concatenate(keys).astype("<i8").tobytes() + np.concatenate(nulls).astype(np.uint8).tobytes())
-            yield pd.DataFrame({"shard": [shard], "name": [name], "n_docs": [len(offsets) - 1], "n_ids": [place]})
+            yield pd.DataFrame({"shard": [shard], "name": [name], "n_docs": [len(offsets) - 1], "n_ids": [place], "id_bytes": [id_bytes]})
 
     # Ids above 2**53 and nulls pass through pandas as strings, so neither is rounded.
     textual = dealt.select(F.col("doc_id").cast("string"), "text")
@@ -123,17 +123,16 @@ def _mapped(store: fs.FileSystem, path: str, kind: str, own: str) -> np.ndarray:
     return np.memmap(path, dtype=kind, mode="r") if os.path.getsize(path) else np.zeros(0, dtype=kind)
 
 
-def read_documents(manifest: DataFrame, folder: str, id_bytes: int = 4) -> DataFrame:
+def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document from the files: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32 (of its ids as little-endian unsigned 32-bit integers). A task maps one shard at a time."""
-    kind = "<u4" if id_bytes == 4 else "<u2"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _open(folder)
         for batch in batches:
-            for name, base in zip(batch["name"], batch["base_ids"]):
+            for name, base, width in zip(batch["name"], batch["base_ids"], batch["id_bytes"]):
                 with tempfile.TemporaryDirectory() as own:
-                    ids = _mapped(store, f"{root}/{name}.ids", kind, own)
+                    ids = _mapped(store, f"{root}/{name}.ids", f"<u{width}", own)
                     offsets = np.array(_mapped(store, f"{root}/{name}.off", "<i8", own))
                     raw = np.array(_mapped(store, f"{root}/{name}.doc", "u1", own))
                     n = len(offsets) - 1
@@ -147,7 +146,7 @@ def read_documents(manifest: DataFrame, folder: str, id_bytes: int = 4) -> DataF
                     del ids
 
     spark = manifest.sparkSession
-    dealt = manifest.select("name", "base_ids").repartition(max(1, manifest.count()))
+    dealt = manifest.select("name", "base_ids", "id_bytes").repartition(max(1, manifest.count()))
     found = dealt.mapInPandas(run, "doc_id string, start long, n_tokens long, ids_crc32 long")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
