@@ -285,6 +285,18 @@ def sketch(hashes: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+#: Bins of a band. Two texts of a similarity of 0.8 agree in one of the 43 bands but for 3 pairs in a million.
+BAND = 6
+
+
+def bands(own: bytes) -> list[int]:
+    """A hash of each band of bins of a sketch that is not empty; the last band goes on with the first bins."""
+    bins = np.frombuffer(own, dtype="<u2")
+    rows = np.resize(bins, (-(-BINS // BAND), BAND))
+    digest = xxhash.xxh64_intdigest
+    return [digest(rows[i].tobytes(), SEED + i) - 2**63 for i in np.flatnonzero(rows.any(axis=1)).tolist()]
+
+
 def alike(sketches: np.ndarray, one: np.ndarray, least: float) -> np.ndarray:
     """Indexes of the sketches whose estimated similarity to one of them is `least` or more; empty ones are alike."""
     same = ((sketches == one) & (one != 0)).sum(axis=1)
@@ -293,13 +305,14 @@ def alike(sketches: np.ndarray, one: np.ndarray, least: float) -> np.ndarray:
 
 
 def sketched_column(width: int | None, shingle: int):
-    """A column function: text to struct(fp over `width` words or distinct ones, sketch of its shingles)."""
+    """A column function: text to struct(fp over `width` words or distinct ones, sketch of its shingles, bands of that)."""
 
-    @F.pandas_udf("fp long, sketch binary")
+    @F.pandas_udf("fp long, sketch binary, bands array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             fp = [fingerprint(word_hashes(t) if width is None else shingle_hashes(t, width)) for t in texts]
-            yield pd.DataFrame({"fp": np.array(fp, dtype=np.int64), "sketch": pd.Series([sketch(shingle_hashes(t, shingle)) for t in texts], dtype=object)})
+            own = [sketch(shingle_hashes(t, shingle)) for t in texts]
+            yield pd.DataFrame({"fp": np.array(fp, dtype=np.int64), "sketch": pd.Series(own, dtype=object), "bands": pd.Series([bands(x) for x in own], dtype=object)})
 
     return run
 
@@ -351,12 +364,20 @@ def verified_links(classes: DataFrame, least: float, block: int = BLOCK) -> Data
     return dealt.mapInPandas(_verified(least), "a long, b long").distinct()
 
 
+def candidate_groups(classes: DataFrame) -> DataFrame:
+    """(label, cid) of each group of two classes or more that share a band or a label, from (cid, label, bands).
+    Of groups with the same members one stays."""
+    keys = classes.select("cid", F.explode(F.concat("bands", F.array(F.xxhash64(F.lit("label"), "label")))).alias("label"))
+    groups = keys.groupBy("label").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"))
+    return keys.join(groups.filter("n > 1").groupBy("n", "x", "y").agg(F.min("label").alias("label")).select("label"), "label")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, slack: float = 0.04, width: int | None = None, limit: int = 4, segments: int = 16) -> DataFrame:
     """docs with one row of each group of near-duplicates: that of the smallest doc_id (null last).
 
-    Candidates are texts whose fingerprints are connected within `limit` bits, by default over the distinct words: a
-    similarity of 0.8 on five-word shingles leaves nearly all words shared, so such texts lie within a few
-    bits, which they do not over shingles. Among candidates, texts are linked whose similarity (Jaccard, on
+    Candidates are texts that share a band of the sketches of their shingles, and texts whose fingerprints are
+    connected within `limit` bits, by default over the distinct words. The bands find texts of the similarity
+    however they differ; the fingerprints alone lose inserted, appended and cut passages. Among candidates, texts are linked whose similarity (Jaccard, on
     shingles of `shingle` words), estimated by sketches, is `similarity` or more; the estimate may fall
     short by `slack`. Groups are the components of these links. Texts without words are one group. Of
     repeated rows one stays; all columns are kept, of any name.
@@ -367,10 +388,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id"), F.col(key).alias("row"))
     own = keyed.select(order.alias("row"), sketched_column(width, shingle)(F.col("text").cast("string")).alias("s")).select("row", "s.*")
     own = materialise(own.withColumn("cid", F.xxhash64("fp", "sketch")), "simhash-fp")
-    classes = materialise(own.groupBy("cid").agg(F.min("row").alias("least"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "simhash-distinct")
+    classes = materialise(own.groupBy("cid").agg(F.min("row").alias("least"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "simhash-distinct")
     candidates = fingerprint_components(classes.select("fp").distinct(), Ring(limit, segments))
-    labelled = classes.join(candidates, "fp", "left").select("cid", F.coalesce("label", "fp").alias("label"), "sketch")
-    groups = components(materialise(verified_links(labelled, similarity - slack), "simhash-alike"))
+    labelled = classes.join(candidates, "fp", "left").select("cid", F.coalesce("label", "fp").alias("label"), "bands")
+    members = materialise(candidate_groups(labelled), "simhash-candidates")
+    groups = components(materialise(verified_links(members.join(classes.select("cid", "sketch"), "cid"), similarity - slack), "simhash-alike"))
     grouped = classes.join(groups.select(F.col("node").alias("cid"), "label"), "cid", "left").select("least", F.coalesce("label", "cid").alias("label"))
     kept = grouped.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.row").alias(key))
     survivors = keyed.join(kept, key, "left_semi")

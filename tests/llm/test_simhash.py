@@ -171,3 +171,31 @@ def test_texts_of_the_same_words_in_another_order_stay(spark):
         texts.append(" ".join(words))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0].upper()])], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect()) == [0, 1, 2]
+
+
+def jaccard(a, b):
+    x, y = (set(S.shingle_hashes(t, 5).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def edited_pairs(rng):
+    """Pairs of texts, one with words inserted, appended or cut, whose similarity is 0.8 to 0.95."""
+    out = []
+    for size in (45, 120, 400, 900):
+        for kind in ("insert", "append", "cut"):
+            for share in (0.06, 0.1, 0.16):
+                base = [f"p{len(out)}w{rng.randint(0, 5000)}" for _ in range(size)]
+                n, at = max(1, int(size * share)), rng.randrange(size // 2)
+                new = [f"p{len(out)}n{i}" for i in range(n)]
+                other = {"insert": base[:at] + new + base[at:], "append": base + new, "cut": base[:-n]}[kind]
+                pair = " ".join(base), " ".join(other)
+                if 0.8 <= jaccard(*pair) <= 0.95:
+                    out.append(pair)
+    return out
+
+
+def test_near_copies_with_inserted_appended_and_cut_passages_are_found(spark):
+    pairs = edited_pairs(random.Random(14))
+    assert len(pairs) >= 25
+    docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect()) == [2 * i for i in range(len(pairs))]
