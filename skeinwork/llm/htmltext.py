@@ -3,8 +3,9 @@
 A page is cut into blocks of text; a block's tag path is the chain of block elements from the root to it, with
 their classes. Per path the text and the punctuation of its blocks are summed and divided by their number;
 both ratios are smoothed along the page, fused by their product, and paths under the threshold are no content.
-The element that holds the content paths is the article; its blocks are kept in page order, whatever their
-length, but for elements that are never article text (menus, forms, notices, ...).
+The lowest element that holds all blocks of the content paths, or the `article` or `main` around it, is the
+article; its blocks are kept in page order, whatever their length, but for elements that are never article text
+(menus, forms, notices, ...).
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ MARKS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ROOTS = frozenset("html body main article".split())
+#: Elements that are part of an article, never the whole of it.
+PARTS = TEXTUAL | frozenset("ul ol dl table thead tbody tfoot tr figure details center hgroup".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -96,6 +99,7 @@ class _Page:
         self.linked = 0
         self.blocks: list[tuple[str, str, int, tuple[int, ...]]] = []
         self.elements = 0
+        self.names = [""]  # by number
 
     def flush(self) -> None:
         if self.parts:
@@ -143,6 +147,7 @@ class _Page:
         above = self.stack[-1]
         out = above[3] or marked or name in NEVER or name == "header" and not any(e[0] == "article" for e in self.stack)
         self.elements += 1
+        self.names.append(name)
         self.stack.append((name, f"{above[1]}/{name}{classes}", self.elements, out))
 
     def end(self, name: str) -> None:
@@ -165,7 +170,7 @@ class _Page:
         self.flush()
 
 
-def blocks_of(page: str) -> list[tuple[str, str, int, tuple[int, ...]]]:
+def read(page: str) -> _Page:
     own, at, n = _Page(), 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
@@ -189,7 +194,49 @@ def blocks_of(page: str) -> list[tuple[str, str, int, tuple[int, ...]]]:
         else:
             own.start(name, m[3] or m[6] or "")
     own.flush()
-    return own.blocks
+    return own
+
+
+def blocks_of(page: str) -> list[tuple[str, str, int, tuple[int, ...]]]:
+    return read(page).blocks
+
+
+def _shared(a, b) -> int:
+    """Elements that two chains from the root have in common."""
+    n = min(len(a), len(b))
+    return next((i for i in range(n) if a[i] != b[i]), n)
+
+
+def _article(names: list[str], blocks: list[tuple[str, str, int, tuple[int, ...]]], content: np.ndarray, size: np.ndarray) -> int:
+    """The element that holds the article: the lowest one around all content blocks, or the article or main around that.
+
+    Where content lies outside the page's only article (or its main) as well, that one is taken if it holds
+    most of the content's text. An element that is a mere part of an article (a list, a table, ...) is left for
+    the one around it, and so is one beside which there are only headings.
+    """
+    hits = [b[3] for hit, b in zip(content, blocks) if hit]
+    above = list(hits[0])
+    for own in hits[1:]:
+        del above[_shared(above, own) :]
+    marked = [i for i, e in enumerate(above) if names[e] in ("article", "main")]
+    if marked:
+        del above[marked[-1] + 1 :]
+    else:
+        total = sum(float(w) for hit, w in zip(content, size) if hit)
+        for kind in ("main", "article"):
+            outer = {}
+            for b in blocks:
+                at = next((i for i, e in enumerate(b[3]) if names[e] == kind), None)
+                if at is not None:
+                    outer[b[3][at]] = b[3][: at + 1]
+            held = sum(float(w) for hit, w, b in zip(content, size, blocks) if hit and len(outer) == 1 and next(iter(outer)) in b[3])
+            if len(outer) == 1 and held >= 0.5 * total:
+                above = list(next(iter(outer.values())))
+                break
+    while len(above) > 1 and names[above[-1]] in PARTS:
+        above.pop()
+    shared = [_shared(above, b[3]) for b in blocks if names[b[3][-1]] not in HEADINGS]
+    return above[max((n for n in shared if n < len(above)), default=0)]
 
 
 #: How strongly a block's neighbours count in its smoothed ratios, by distance.
@@ -203,7 +250,8 @@ def _smooth(values: np.ndarray) -> np.ndarray:
 
 def main_text(page: str | None) -> str:
     """The text of a page's article: its blocks, white space folded, joined by line ends. Null gives ''."""
-    blocks = blocks_of(page) if page else []
+    own = read(page) if page else _Page()
+    blocks = own.blocks
     if not blocks:
         return ""
     paths: dict[str, int] = {}
@@ -220,25 +268,13 @@ def main_text(page: str | None) -> str:
     if not chosen.any():
         return ""
     content = chosen[path]
-    # The article: the deepest element that holds nearly all text of the content paths.
-    weight: dict[int, float] = {}
-    depth: dict[int, int] = {}
-    for hit, own, block in zip(content, size, blocks):
-        if hit:
-            for d, element in enumerate(block[3]):
-                weight[element] = weight.get(element, 0.0) + own
-                depth[element] = d
-    least = 0.9 * weight[0]
-    article = max((e for e in weight if weight[e] >= least), key=lambda e: (depth[e], e))
-    if len(blocks) > 1 and sum(article in b[3] for b in blocks) == 1 and depth[article]:
-        article = next(b[3] for b in blocks if article in b[3])[depth[article] - 1]
+    article = _article(own.names, blocks, content, size)
     out = []
     for hit, block in zip(content, blocks):
         if article not in block[3]:
             continue
-        last = block[0].rsplit("/", 1)[-1].split(".")[0]
-        linked = block[2] > 0.6 * len(block[1]) and last not in HEADINGS and not hit
-        if hit or last in HEADINGS or not linked:
+        # Outside an article or main, blocks of links are menus.
+        if hit or block[2] <= 0.6 * len(block[1]) or own.names[block[3][-1]] in HEADINGS or any(own.names[e] in ("article", "main") for e in block[3]):
             out.append(block[1])
     return "\n".join(out)
 

@@ -35,3 +35,24 @@ def test_rows_and_columns(spark):
     rows = H.extract(pages).collect()
     assert [(r["page_id"], r["text"], r["n_chars"]) for r in rows] == [(1, "", 0), (None, f"é {LONG}", len(LONG) + 2), (1, "", 0)]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><h1>T</h1><div class=body>{f'<p>{LONG}</p>' * 20}</div></article>", ["T", *[LONG] * 20]),
+        (f"<div id=post><h1>T</h1><div class=body>{f'<p>{LONG}</p>' * 20}</div></div>", ["T", *[LONG] * 20]),
+        (f"<article><section>{f'<p>{LONG}</p>' * 20}</section><section><p>{LONG}</p></section></article>", [LONG] * 21),
+        (f"<body><div class=page><div class=a>{f'<p>{LONG}</p>' * 20}</div><div class=b><p>{LONG}</p></div></div>", [LONG] * 21),
+        (f"<article><h1>T</h1><p>Short.</p><blockquote>{LONG * 20}</blockquote><p>End.</p></article>", ["T", "Short.", LONG * 20, "End."]),
+        (f"<div><h1>T</h1><p>Short.</p><blockquote>{LONG * 20}</blockquote><p>End.</p></div>", ["T", "Short.", LONG * 20, "End."]),
+        (f"<article><h1>T</h1><p>Short.</p><ul>{f'<li>{LONG}' * 20}</ul><p>End.</p></article>", ["T", "Short.", *[LONG] * 20, "End."]),
+        (f"<article><h1>T</h1><p>Short.</p><table>{f'<tr><td>{LONG}<td>{LONG}' * 20}</table><p>End.</p></article>", ["T", "Short.", *[LONG] * 40, "End."]),
+        (f"<article><h1>T</h1><p>Short.</p><p>{f'{LONG}<br>' * 20}</p><p>End.</p></article>", ["T", "Short.", *[LONG] * 20, "End."]),
+        (f"<article><h1>T</h1>{f'<p>{LONG}</p>' * 9}<p><a href=x>The source of it all</a></p></article>", ["T", *[LONG] * 9, "The source of it all"]),
+        (f"<body><h1>T</h1><article>{f'<p>{LONG}</p>' * 9}<p><a href=x>The source of it all</a></p></article>", ["T", *[LONG] * 9, "The source of it all"]),
+        (f"<div class=x><p>{LONG}</p></div><article><h1>T</h1>{f'<p>{LONG}</p>' * 9}</article>", ["T", *[LONG] * 9]),
+    ],
+)
+def test_nothing_else_of_an_article_is_dropped(page, want):
+    assert H.main_text(page) == "\n".join(want)
