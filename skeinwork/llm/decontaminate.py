@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,12 @@ from pyspark.sql import functions as F
 
 from skeinwork.llm.common import bound_batches, fresh
 
-# The masks; a 1 is a token that must agree. All have a weight of 7 within 9 to 12 tokens.
+# The masks; a 1 is a token that must agree. They have weights of 7 and 8 within 7 to 13 tokens.
 MASKS = ("110110111", "1101100101011", "111010010111", "1111111")
+#: Items of at most so many tokens are also looked up by the run of tokens that every accepted overlap of theirs has.
+SHORT_TOKENS = 24
+#: Tokens that are laid over each other at a time.
+OVERLAY = 2_000_000
 #: Tokens of the benchmark that one pass holds in each task (at most so many, or one item); more take more passes.
 PASS_TOKENS = 2_000_000
 #: Bytes of text that are laid out in one array at a time.
@@ -32,14 +37,32 @@ _WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 
 @dataclass(frozen=True)
 class Rule:
-    """When an overlap is a leak: its best stretch has `tokens` agreeing tokens (or the whole item, if that is
-    shorter) and a share of agreeing tokens of `identity` at least. A stretch loses `penalty` a substitution."""
+    """When an overlap is a leak: its best stretch has `tokens` agreeing tokens (or the share `identity` of the
+    item, if that is fewer) and a share of agreeing tokens of `identity` at least; or the whole item has that
+    share. A stretch loses `penalty` a substitution."""
 
     tokens: int = 12
     identity: float = 0.75
     penalty: float = 1.5
     masks: tuple[str, ...] = field(default=MASKS)
 
+    def whole(self, n: int) -> int:
+        """Agreeing tokens that make an item of n tokens a leak as a whole."""
+        return max(1, ceil(self.identity * n - 1e-9))
+
+    def least(self, n: int) -> int:
+        """Agreeing tokens that a leak of an item of n tokens has at least."""
+        return min(self.tokens, self.whole(n))
+
+    def run(self, n: int) -> int:
+        """Agreeing tokens in a row that a leak of an item of n tokens has at least: that many remain, however
+        the substitutions are spread over the least overlaps."""
+        runs = []
+        for size in range(self.least(n), n + 1):
+            same = max(self.least(n), self.whole(size))
+            runs.append(-(-same // (size - same + 1)))
+        return min(runs)
+
 
 def token_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each token, its first byte) of a text in UTF-8."""
@@ -90,15 +113,17 @@ class Seeds:
         self.tokens = [t for _, t in found]
         self.start = np.cumsum([0, *map(len, self.tokens)])
         self.flat = np.concatenate([*self.tokens, np.zeros(0, dtype=np.uint64)])
+        self.sizes = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.least = np.array([rule.least(len(t)) for t in self.tokens], dtype=np.int64)
         masks = [[i for i, c in enumerate(m) if c == "1"] for m in rule.masks]
-        widest = min(m[-1] + 1 for m in masks)
-        # Items shorter than the narrowest mask are looked up as a whole.
-        short = sorted({len(t) for t in self.tokens if len(t) < widest})
-        self.offsets = masks + [list(range(n)) for n in short]
+        # Few masks fit into a short item, and fewer miss its substitutions: those are looked up by runs.
+        run = {n: rule.run(n) for n in set(self.sizes.tolist()) if n <= SHORT_TOKENS}
+        runs = sorted(set(run.values()))
+        self.offsets = masks + [list(range(n)) for n in runs]
         hashes, owner, place = [], [], []
-        for k, (offsets, whole) in enumerate([(m, 0) for m in masks] + [(list(range(n)), n) for n in short]):
+        for k, (offsets, own) in enumerate([(m, 0) for m in masks] + [(list(range(n)), n) for n in runs]):
             for i, t in enumerate(self.tokens):
-                if whole and len(t) != whole:
+                if own and run.get(len(t)) != own:
                     continue
                 h = window_hashes(t, offsets, k)
                 hashes.append(h)
@@ -143,6 +168,24 @@ class Seeds:
         start = int(np.argmin(total[: end + 1]))
         return int(agree[start:end].sum()), start, end
 
+    def agreeing(self, tokens: np.ndarray, low: np.ndarray, high: np.ndarray, lines: np.ndarray) -> np.ndarray:
+        """Agreeing tokens of each line (text, item, shift) over the whole overlap; low and high bound its text."""
+        out = np.zeros(len(lines), dtype=np.int64)
+        size = self.sizes[lines[:, 1]]
+        ends = np.cumsum(size)
+        at = 0
+        while at < len(lines):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + OVERLAY, "right")))
+            own = size[at:to]
+            first = np.cumsum(own) - own
+            step = np.arange(int(own.sum())) - np.repeat(first, own)
+            place = np.repeat(lines[at:to, 2], own) + step
+            within = (place >= np.repeat(low[at:to], own)) & (place < np.repeat(high[at:to], own))
+            same = tokens[np.where(within, place, 0)] == self.flat[np.repeat(self.start[lines[at:to, 1]], own) + step]
+            out[at:to] = np.add.reduceat((same & within).astype(np.int64), first)
+            at = to
+        return out
+
     def leaks(self, tokens: np.ndarray, texts: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, agreeing tokens, tokens of the stretch, first token in all tokens, in the item): the
         best overlap of each text and item that the rule calls a leak."""
@@ -152,11 +195,16 @@ class Seeds:
         lines = np.unique(np.stack((texts[at], owner, at - place), axis=1), axis=0) if len(at) else np.zeros((0, 3), dtype=np.int64)
         out: dict[tuple[int, int], tuple[int, int, int, int]] = {}
         first = np.searchsorted(texts, np.arange(int(texts[-1]) + 2))
-        for text, item, shift in lines.tolist():
+        agree = self.agreeing(tokens, first[lines[:, 0]], first[lines[:, 0] + 1], lines)
+        enough = agree >= self.least[lines[:, 1]]
+        for (text, item, shift), total in zip(lines[enough].tolist(), agree[enough].tolist()):
             own = self.tokens[item]
             low, high = max(first[text], shift), min(first[text + 1], shift + len(own))
             same, start, end = self.best(tokens[low:high] == own[low - shift : high - shift])
-            if same >= min(self.rule.tokens, len(own)) and same >= self.rule.identity * (end - start):
+            found = same >= self.least[item] and same >= self.rule.identity * (end - start)
+            if not found and total >= self.rule.whole(len(own)):
+                found, same, start, end = True, total, 0, high - low
+            if found:
                 out[text, item] = max(out.get((text, item), (0, 0, 0, 0)), (same, start - end, -(low + start), -(low + start - shift)))
         return [(t, i, same, -size, -at, -place) for (t, i), (same, size, at, place) in sorted(out.items())]
 
@@ -202,8 +250,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), pass_
     """One row per document and benchmark item that it leaks: doc_id, item_id, n_agree agreeing tokens within
     the n_tokens of the best stretch, which starts at doc_token of the document and item_token of the item.
 
-    Null and empty texts leak nothing and are leaked by nothing; an item shorter than the rule's tokens has to be
-    there whole; null ids stay null and repeated rows give repeated results. An empty benchmark gives no
+    Null and empty texts leak nothing and are leaked by nothing; a short item leaks with the
+    rule's share of its tokens; null ids stay null and repeated rows give repeated results. An empty benchmark gives no
     row. The benchmark comes to the tasks in parts of at most pass_tokens tokens, one pass over the documents
     each, so what is broadcast stays bounded however large the benchmark is.
     """

@@ -75,3 +75,21 @@ def test_hits_survive_a_substitution_under_a_zero():
     seeds = D.Seeds([(0, "a b c d e f g h i j k l m n o p")], D.Rule())
     tokens = D.token_hashes(b"a b X d e Y g h i j k Z m n o p")[0]
     assert len(seeds.leaks(tokens, np.zeros(len(tokens), dtype=np.int64))) == 1
+
+
+def test_short_items_are_found_with_substitutions():
+    rng = random.Random(15)
+    for n in range(4, 25):
+        item = words(rng, n)
+        seeds = D.Seeds([(0, " ".join(item))], D.Rule())
+        for _ in range(40):
+            text = list(item)
+            for at in rng.sample(range(n), n // 4):
+                text[at] = "substituted"
+            tokens = D.token_hashes(" ".join([*words(rng, 9), *text, *words(rng, 9)]).encode())[0]
+            found = seeds.leaks(tokens, np.zeros(len(tokens), dtype=np.int64))
+            assert len(found) == 1 and found[0][2] >= D.Rule().least(n), (n, text)
+            text[next(i for i in range(n) if text[i] != "substituted")] = "another"
+            tokens = D.token_hashes(" ".join(text).encode())[0]
+            if n < 16:
+                assert not seeds.leaks(tokens, np.zeros(len(tokens), dtype=np.int64))
