@@ -153,13 +153,13 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, languages: int = SAMPLE_LA
     letters are left out; with one language or none, that is what is predicted (or `und`).
     """
     own = labelled.filter(F.col("lang").isNotNull()).select(F.col("text").cast("string"), F.col("lang").cast("string"), F.xxhash64("text").alias("h"))
-    counts = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = own.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts")).orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return Model([], np.zeros((0, BUCKETS + 1)), {}, {}, {})
-    # Rows of small hashes, a few more than needed: equal texts have equal hashes, so distinct ones are asked for.
+    # Rows of small hashes, a few more than needed: equal texts have equal hashes, so distinct ones are counted.
     bound = F.lit(None).cast("long")
     for r in counts:
-        share = min(1.0, 4.0 * rows / r["count"])
+        share = min(1.0, 4.0 * rows / max(1, r["texts"]))
         bound = F.when(F.col("lang") == r["lang"], F.lit(min(2**63 - 1, int((share * 2 - 1) * 2**63)))).otherwise(bound)
     few = own.filter(F.col("h") <= bound).groupBy("lang", "h").agg(F.first("text").alias("text"))
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("rank") <= rows)

@@ -66,3 +66,14 @@ def test_held_out_accuracy(spark):
     got = L.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
     right, n = got.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
     assert n > 200 and right / n > 0.98
+
+
+def test_a_language_of_many_copies_is_learned(spark, monkeypatch):
+    """30 distinct texts a language, 400 copies each: with 10 rows asked for, the smallest ten hashes of each are taken."""
+    seen = []
+    monkeypatch.setattr(L, "fit_svm", lambda x, y: seen.append(len(x)) or L.np.zeros(x.shape[1] + 1))
+    distinct = len({t for t, lang in rows() if lang == "de"})
+    docs = spark.createDataFrame(rows(), "text string, lang string").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(400))))
+    model = L.fit(docs, rows=10)
+    assert distinct >= 10 and model.languages == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
+    assert seen == [40, 40, 20, 20]
