@@ -305,14 +305,16 @@ def alike(sketches: np.ndarray, one: np.ndarray, least: float) -> np.ndarray:
 
 
 def sketched_column(width: int | None, shingle: int):
-    """A column function: text to struct(fp over `width` words or distinct ones, sketch of its shingles, bands of that)."""
+    """A column function: text to struct(fp over `width` words or distinct ones, cid, bands); cid is a hash of the
+    set of its shingles, bands are those of their sketch."""
 
-    @F.pandas_udf("fp long, sketch binary, bands array<long>")
+    @F.pandas_udf("fp long, cid long, bands array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             fp = [fingerprint(word_hashes(t) if width is None else shingle_hashes(t, width)) for t in texts]
-            own = [sketch(shingle_hashes(t, shingle)) for t in texts]
-            yield pd.DataFrame({"fp": np.array(fp, dtype=np.int64), "sketch": pd.Series(own, dtype=object), "bands": pd.Series([bands(x) for x in own], dtype=object)})
+            own = [np.unique(shingle_hashes(t, shingle)) for t in texts]
+            cid = [xxhash.xxh64_intdigest(x.tobytes(), SEED) - 2**63 for x in own]
+            yield pd.DataFrame({"fp": np.array(fp, dtype=np.int64), "cid": np.array(cid, dtype=np.int64), "bands": pd.Series([bands(sketch(x)) for x in own], dtype=object)})
 
     return run
 
@@ -364,6 +366,86 @@ def verified_links(classes: DataFrame, least: float, block: int = BLOCK) -> Data
     return dealt.mapInPandas(_verified(least), "a long, b long").distinct()
 
 
+def set_column(shingle: int):
+    """A column function: text to the sorted distinct hashes of its shingles, 8 bytes each."""
+
+    @F.pandas_udf("binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([np.unique(shingle_hashes(t, shingle)).astype("<u8").tobytes() for t in texts], dtype=object)
+
+    return run
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sets, given as sorted arrays of distinct values."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return same / (len(both) - same) if len(both) else 1.0
+
+
+def settled(ids: np.ndarray, sets: list[np.ndarray], least: float, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links of a similarity of `least` or more: the sketches leave out pairs of less than
+    `least` - `slack` by their estimate, the sets decide on the rest."""
+    sketches = np.frombuffer(b"".join(map(sketch, sets)), dtype="<u2").reshape(-1, BINS)
+    sizes = np.array([len(x) for x in sets])
+    a_out, b_out = [], []
+    left = np.arange(len(ids))
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            node = front.pop()
+            low, high = np.minimum(sizes[left], sizes[node]), np.maximum(sizes[left], sizes[node])
+            maybe = np.flatnonzero(low >= least * high)
+            maybe = maybe[alike(sketches[left[maybe]], sketches[node], least - slack)]
+            hit = np.array([i for i in maybe.tolist() if jaccard(sets[left[i]], sets[node]) >= least], dtype=np.int64)
+            if len(hit):
+                front += left[hit].tolist()
+                a_out.append(np.full(len(hit), ids[node]))
+                b_out.append(ids[left[hit]])
+                left = np.delete(left, hit)
+    none = np.zeros(0, dtype=np.int64)
+    return (np.concatenate(a_out), np.concatenate(b_out)) if a_out else (none, none)
+
+
+def _settled_groups(least: float, slack: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, ids, sets = None, [], []
+        for batch in chain(batches, (None,)):
+            rows = [] if batch is None else zip(zip(batch["label"], batch["block"]), batch["cid"], batch["hashes"])
+            a_out, b_out = [], []
+            for own, cid, hashes in chain(rows, ((None, 0, b""),) if batch is None else ()):
+                if own != key:
+                    if len(ids) > 1:
+                        a, b = settled(np.array(ids, dtype=np.int64), sets, least, slack)
+                        a_out.append(a)
+                        b_out.append(b)
+                    key, ids, sets = own, [], []
+                ids.append(cid)
+                sets.append(np.frombuffer(bytes(hashes), dtype="<u8"))
+            if a_out:
+                yield pd.DataFrame({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
+
+    return run
+
+
+#: Bytes of sets that a block of a group holds, about.
+BLOCK_BYTES = 32_000_000
+
+
+def settled_links(members: DataFrame, sets: DataFrame, least: float, slack: float, block: int = BLOCK, size: int = BLOCK_BYTES) -> DataFrame:
+    """Links (a, b) among the cid of members (cid, label) that share a label and whose sets of shingles, from sets
+    (cid, hashes), have a similarity of `least` or more: enough to keep what is linked connected. Labels of over
+    `block` members or `size` bytes are cut into pairs of blocks."""
+    sized = members.join(sets.select("cid", F.length("hashes").alias("bytes")), "cid")
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / size)).cast("int")
+    own = sized.join(sized.groupBy("label").agg(F.greatest(blocks, F.lit(1)).alias("n")), "label").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("n")).cast("int"))
+    rows = own.select("label", F.explode(F.expr(PAIRS)).alias("block"), "cid").join(sets, "cid")
+    dealt = rows.repartition("label", "block").sortWithinPartitions("label", "block")
+    return dealt.select("label", "block", "cid", "hashes").mapInPandas(_settled_groups(least, slack), "a long, b long").distinct()
+
+
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """(label, cid) of each group of two classes or more that share a band or a label, from (cid, label, bands).
     Of groups with the same members one stays."""
@@ -372,14 +454,14 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     return keys.join(groups.filter("n > 1").groupBy("n", "x", "y").agg(F.min("label").alias("label")).select("label"), "label")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, slack: float = 0.04, width: int | None = None, limit: int = 4, segments: int = 16) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, slack: float = 0.15, width: int | None = None, limit: int = 4, segments: int = 16) -> DataFrame:
     """docs with one row of each group of near-duplicates: that of the smallest doc_id (null last).
 
     Candidates are texts that share a band of the sketches of their shingles, and texts whose fingerprints are
     connected within `limit` bits, by default over the distinct words. The bands find texts of the similarity
     however they differ; the fingerprints alone lose inserted, appended and cut passages. Among candidates, texts are linked whose similarity (Jaccard, on
-    shingles of `shingle` words), estimated by sketches, is `similarity` or more; the estimate may fall
-    short by `slack`. Groups are the components of these links. Texts without words are one group. Of
+    the distinct shingles of `shingle` words) is `similarity` or more; pairs whose estimate by sketches falls short
+    by over `slack`, six standard errors, are not looked at. Groups are the components of these links. Texts without words are one group. Of
     repeated rows one stays; all columns are kept, of any name.
     """
     bound_batches(docs.sparkSession)
@@ -387,12 +469,15 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     keyed = docs.select("*", row_key(docs).alias(key))
     order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id"), F.col(key).alias("row"))
     own = keyed.select(order.alias("row"), sketched_column(width, shingle)(F.col("text").cast("string")).alias("s")).select("row", "s.*")
-    own = materialise(own.withColumn("cid", F.xxhash64("fp", "sketch")), "simhash-fp")
-    classes = materialise(own.groupBy("cid").agg(F.min("row").alias("least"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "simhash-distinct")
+    own = materialise(own, "simhash-fp")
+    classes = materialise(own.groupBy("cid").agg(F.min("row").alias("least"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "simhash-distinct")
     candidates = fingerprint_components(classes.select("fp").distinct(), Ring(limit, segments))
     labelled = classes.join(candidates, "fp", "left").select("cid", F.coalesce("label", "fp").alias("label"), "bands")
     members = materialise(candidate_groups(labelled), "simhash-candidates")
-    groups = components(materialise(verified_links(members.join(classes.select("cid", "sketch"), "cid"), similarity - slack), "simhash-alike"))
+    wanted = classes.join(members.select("cid").distinct(), "cid").select("cid", F.col("least.row").alias(key))
+    texts = keyed.select(key, F.col("text").cast("string").alias("text")).join(wanted, key).select("cid", "text").dropDuplicates(["cid"])
+    sets = materialise(texts.select("cid", set_column(shingle)("text").alias("hashes")), "simhash-sets")
+    groups = components(materialise(settled_links(members, sets, similarity, slack), "simhash-alike"))
     grouped = classes.join(groups.select(F.col("node").alias("cid"), "label"), "cid", "left").select("least", F.coalesce("label", "cid").alias("label"))
     kept = grouped.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.row").alias(key))
     survivors = keyed.join(kept, key, "left_semi")

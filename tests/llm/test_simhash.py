@@ -199,3 +199,32 @@ def test_near_copies_with_inserted_appended_and_cut_passages_are_found(spark):
     assert len(pairs) >= 25
     docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect()) == [2 * i for i in range(len(pairs))]
+
+
+def test_pairs_are_linked_at_the_similarity_itself(spark):
+    """Pairs of similarities just below and just above 0.8, told apart as by brute force."""
+    rng = random.Random(16)
+    pairs = []
+    for i in range(60):
+        base = [f"q{i}w{j}" for j in range(600)]
+        pairs.append((" ".join(base), " ".join(base + [f"q{i}n{j}" for j in range(rng.choice((110, 130, 140, 147, 151, 155, 165, 180)))])))
+    close = [jaccard(*p) >= 0.8 for p in pairs]
+    assert 10 < sum(close) < 50
+    docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in S.drop_near_duplicates(docs).collect()}
+    assert [2 * i + 1 not in kept for i in range(60)] == close
+
+
+@pytest.mark.parametrize("block", [4, 4096])
+def test_settled_links_in_blocks(spark, block):
+    rng = random.Random(17)
+    texts = {}
+    for g in range(4):
+        base = [f"g{g}w{i}" for i in range(300)]
+        for k in range(8):
+            texts[g * 10 + k] = " ".join(base + [f"n{rng.random()}" for _ in range(k)])
+    rows = [(c, bytearray(np.unique(S.shingle_hashes(t, 5)).tobytes())) for c, t in texts.items()]
+    sets = spark.createDataFrame(rows, "cid long, hashes binary")
+    links = S.settled_links(sets.selectExpr("cid", "7L AS label"), sets, 0.8, 0.15, block).select("a", "b")
+    got = {r["node"]: r["label"] for r in components(links).collect()}
+    assert got == {c: c // 10 * 10 for c in texts}
