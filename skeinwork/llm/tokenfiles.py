@@ -8,15 +8,20 @@ row per shard holds its counts, and the prefix sums of the counts are the shards
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import tempfile
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,10 +30,14 @@ from pyspark.sql import functions as F
 from skeinwork.llm.common import bound_batches, shared_dir
 
 MANIFEST = "shard int, name string, n_docs long, n_ids long, id_bytes int"
-#: Texts that go to the tokenizer at a time, by characters.
-BATCH_CHARS = 1_000_000
 #: Bytes of text a shard holds on average.
 SHARD_BYTES = 64 << 20
+#: First characters of a text by which rows of one doc_id are ordered.
+HEAD_CHARS = 64
+#: Pre-tokens a worker keeps encoded: so many of late and, of those before them, at most as many again.
+CACHE_ENTRIES = 300_000
+#: Longer pre-tokens are not kept.
+LONG_PIECE = 64
 
 
 @lru_cache(2)
@@ -39,17 +48,78 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def encode(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each whole text, without special tokens."""
-    out, start = [], 0
-    while start < len(texts):
-        stop, size = start, 0
-        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BATCH_CHARS):
-            size += len(texts[stop])
-            stop += 1
-        out += [np.array(e.ids, dtype=np.uint32) for e in tokenizer(path).encode_batch_fast(texts[start:stop], add_special_tokens=False)]
-        start = stop
-    return out
+def _ranges(major: str) -> str:
+    """The code points below U+0250 whose category starts with `major`, as the inside of a character class."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == major)
+
+
+#: Texts of other code points go to the library whole: in these (Latin, punctuation, currency) `re` and the library agree
+#: on what is a letter, a number and white space.
+UNCOMMON = re.compile("[^\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+
+
+@lru_cache(1)
+def pretokens() -> re.Pattern:
+    """The library's byte-level pre-token pattern, for texts without uncommon code points."""
+    letter, number = _ranges("L"), _ranges("N")
+    return re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
+
+
+@lru_cache(1)
+def byte_characters() -> dict[int, int]:
+    """The character by which a byte-level tokenizer's model knows each byte: printable ones as they are, the others
+    in order from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: b for b in plain} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
+class Encoder(dict):
+    """Ids of whole texts by the tokenizers library, as the bytes of integers of `kind`.
+
+    A byte-level tokenizer without normalizer merges only within pre-tokens, so the ids of a text are those of its
+    pre-tokens one after the other: each distinct one goes through the library's model once and is kept (this dict).
+    Texts for which that is not certain (uncommon code points, added tokens, another kind of tokenizer) are encoded
+    whole.
+    """
+
+    def __init__(self, path: str, kind: np.dtype) -> None:
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+        self.library, self.kind = tokenizer(path), kind
+        self.model = self.library.model
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        cut = rules.get("pre_tokenizer") or {}
+        self.cuts = not rules.get("normalizer") and cut.get("type") == "ByteLevel" and rules["model"].get("type") == "BPE" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes() if len(ids) > 64 else pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(byte_characters()))
+            ids = self.packed([t.id for t in tokens])
+        if len(piece) <= LONG_PIECE:
+            self[piece] = ids
+        return ids
+
+    def ids(self, text: str) -> bytes:
+        if not self.cuts or UNCOMMON.search(text) or any(t in text for t in self.added):
+            return self.whole(text)
+        if len(self) > CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, pretokens().findall(text)))
+
+
+@lru_cache(2)
+def encoder(path: str, id_bytes: int) -> Encoder:
+    return Encoder(path, np.dtype(f"<u{id_bytes}"))
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
@@ -61,46 +131,48 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, shard_byt
     base_docs, base_ids), one row per shard.
 
     Each document's ids end with end_id. A null text counts as empty and so is end_id alone. Documents lie in
-    ascending doc_id order, nulls first; rows of one doc_id lie in the order of their texts. A task that runs
-    again writes files of a new name, and only the names in the manifest count.
+    ascending doc_id order, nulls first; rows of one doc_id lie in the order of the first characters of their texts,
+    then of a hash of the whole, and equal rows are numbered. Shards part rows by all of these, so no doc_id and no
+    repeated row fills a task. A task that runs again writes files of a new name, and only the names in the
+    manifest count.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    own = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.substring(text, 1, HEAD_CHARS).alias("head"), F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("copy"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
-    dealt = own.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", "head", "hash", "copy")
+    dealt = own.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
     id_bytes = 2 if max(tokenizer(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    kind = np.dtype(f"<u{id_bytes}")
+    end = np.array([end_id], dtype=f"<u{id_bytes}").tobytes()
     _open(folder)[0].create_dir(_open(folder)[1], recursive=True)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard = TaskContext.get().partitionId()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, own = TaskContext.get().partitionId(), encoder(path, id_bytes)
         name = f"{shard:06d}-{uuid.uuid4().hex}"
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
         offsets, keys, nulls, place = [0], [], [], 0
         with store.open_output_stream(f"{root}/{name}.ids") as ids:
             for batch in batches:
-                texts = ["" if t is None else t for t in batch["text"]]
-                for x in encode(path, texts):
-                    data = np.append(x, np.uint32(end_id))
-                    ids.write(data.astype(kind).tobytes())
-                    place += len(data)
+                for text in batch.column("text").to_pylist():
+                    data = own.ids(text or "") + end
+                    ids.write(data)
+                    place += len(data) // id_bytes
                     offsets.append(place)
-                known = batch["doc_id"].map(lambda i: 0 if i is None else int(i))
-                keys.append(known.to_numpy(dtype=np.int64))
-                nulls.append(batch["doc_id"].isna().to_numpy())
+                doc_ids = batch.column("doc_id")
+                keys.append(doc_ids.fill_null(0).to_numpy())
+                nulls.append(doc_ids.is_null().to_numpy(zero_copy_only=False))
         if place:
             with store.open_output_stream(f"{root}/{name}.off") as out:
                 out.write(np.array(offsets, dtype="<i8").tobytes())
             with store.open_output_stream(f"{root}/{name}.doc") as out:
                 out.write(np.concatenate(keys).astype("<i8").tobytes() + np.concatenate(nulls).astype(np.uint8).tobytes())
-            yield pd.DataFrame({"shard": [shard], "name": [name], "n_docs": [len(offsets) - 1], "n_ids": [place], "id_bytes": [id_bytes]})
+            counts = [pa.array([x], kind) for x, kind in ((shard, pa.int32()), (name, pa.string()), (len(offsets) - 1, pa.int64()), (place, pa.int64()), (id_bytes, pa.int32()))]
+            yield pa.RecordBatch.from_arrays(counts, names=[c.split()[0] for c in MANIFEST.split(", ")])
 
-    # Ids above 2**53 and nulls pass through pandas as strings, so neither is rounded.
-    textual = dealt.select(F.col("doc_id").cast("string"), "text")
-    textual.mapInPandas(run, MANIFEST).write.parquet(f"{folder}/manifest")
+    dealt.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 
