@@ -1,11 +1,12 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into blocks of text; a block's tag path is the chain of block elements from the root to it, with
-their classes. Per path the text and the punctuation of its blocks are summed and divided by their number;
-both ratios are smoothed along the page, fused by their product, and paths under the threshold are no content.
-The lowest element that holds all blocks of the content paths, or the `article` or `main` around it, is the
-article; its blocks are kept in page order, whatever their length, but for elements that are never article text
-(menus, forms, notices, ...).
+their classes. Text length and punctuation are summed per path and divided by its number of blocks; both ratios
+are smoothed along the page and fused. A path of a part of an article (a heading, a paragraph, a list's item, ...)
+may borrow from the path of the element that holds it, so short parts stand with the prose around them. Links,
+and names by which pages call menus, adverts and the like, lower a path's score. The paths whose score reaches a
+share of the page's mean are the content; their blocks, and no others, are the text. Where a page says by
+`article` or `main` where its text is, the paths inside are judged.
 """
 
 from __future__ import annotations
@@ -41,19 +42,26 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-# Words in class and id by which pages name what is no article text, and roles of the same kind.
-MARKS = frozenset(
+# Words in class and id by which pages name what is mostly no article text, and what often is none.
+STRONG = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promos promotion banner banners cookie cookies "
-    "consent gdpr notice notices notification notifications alert alerts popup modal overlay newsletter subscribe subscription signup login "
-    "sidebar sidebars side aside widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager header masthead topbar "
-    "footer foot copyright comment comments commentlist disqus respond reply replies discussion share sharing social related recommended "
-    "recommendations toolbar search form hidden disclaimer".split()
+    "consent gdpr popup modal newsletter subscribe subscription signup login sidebar sidebars nav navbar navigation menu menus breadcrumb "
+    "breadcrumbs pagination pager masthead topbar footer copyright comment comments commentlist disqus respond reply replies toolbar".split()
 )
+WEAK = frozenset("notice notices notification notifications alert alerts overlay side aside widget widgets header foot discussion share sharing social related recommended recommendations search form disclaimer".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-ROOTS = frozenset("html body main article".split())
 #: Elements that are part of an article, never the whole of it.
 PARTS = TEXTUAL | frozenset("ul ol dl table thead tbody tfoot tr figure details center hgroup".split())
 
+#: What the score of a path is multiplied with under a strong name, and under a weak one outside and inside article or main.
+STRONG_FACTOR, WEAK_FACTOR, WEAK_INSIDE = 0.15, 0.35, 0.5
+#: What a score borrowed over an element is multiplied with.
+DECAY = 0.85
+#: Share of the page's mean score that content has at least.
+LEAST = 0.45
+#: Characters and punctuation marks a block at which the two ratios count half of their most: the page's mean within these.
+HALF_TEXT, HALF_MARKS = (60.0, 400.0), (1.0, 4.0)
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -61,56 +69,62 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？।؟،]")
+_PUNCTUATION = re.compile(r"[.,;:!?…](?=[\s\"')\]]|\Z)|[。，、；：！？।؟،]")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
-def _marked(name: str, attributes: str) -> tuple[bool, str]:
-    """Whether an element is marked as no article text, and its classes for the tag path."""
+def _judged(name: str, attributes: str) -> tuple[bool, int, str]:
+    """Whether an element is hidden or of a role that is no text, how its names count (0, 1 weak, 2 strong), its classes."""
     if not attributes or attributes.isspace():
-        return False, ""
+        return False, 0, ""
     found = {}
     for m in _ATTRIBUTE.finditer(attributes):
         found.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
     classes = found.get("class", "").lower().split()
     own = "." + ".".join(classes) if classes else ""
+    if name in ("html", "body"):
+        return False, 0, own
     if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true":
-        return name not in ("html", "body"), own
+        return True, 0, own
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return name not in ("html", "body"), own
-    if name in ("html", "body", "main"):
-        return False, own
+        return True, 0, own
+    if name == "main":
+        return False, 0, own
     if found.get("role", "").strip().lower() in ROLES:
-        return True, own
+        return True, 0, own
+    named = 0
     for word in [*classes, *found.get("id", "").lower().split()]:
         parts = re.split(r"[-_:]+", word)
-        if word in MARKS or (name != "article" and (parts[0] in MARKS or parts[-1] in MARKS) and parts[0] not in ("has", "no", "with", "without")):
-            return True, own
-    return False, own
+        ends = {word} if name == "article" or parts[0] in ("has", "no", "with", "without") else {word, parts[0], parts[-1]}
+        named = max(named, 2 if ends & STRONG else 1 if ends & WEAK else 0)
+    return False, named, own
 
 
 class _Page:
-    """Blocks of a page: for each its tag path, text, link text and the elements it lies in."""
+    """Blocks of a page (path, text, characters within links, outermost article and main) and the paths themselves."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]  # name, path, number, left out
+        self.names, self.above, self.named = [""], [0], [0]  # of each path: its element, the path around it, its mark
+        self.paths: dict[tuple[int, str, str, int], int] = {}
+        # Open elements: name, path, left out, number of the outermost article and main around it.
+        self.stack: list[tuple[str, int, bool, int, int]] = [("", 0, False, 0, 0)]
         self.inline: list[tuple[str, bool]] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.blocks: list[tuple[str, str, int, tuple[int, ...]]] = []
+        self.blocks: list[tuple[int, str, int, int, int]] = []
         self.elements = 0
-        self.names = [""]  # by number
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append((self.stack[-1][1], text, self.linked, tuple(e[2] for e in self.stack)))
+                _, path, _, article, main = self.stack[-1]
+                self.blocks.append((path, text, self.linked, article, main))
             self.parts = []
         self.linked = 0
 
     def text(self, raw: str) -> None:
-        if self.stack[-1][3] or any(out for _, out in self.inline):
+        if self.stack[-1][2] or any(out for _, out in self.inline):
             return
         text = html.unescape(raw) if "&" in raw else raw
         self.parts.append(text)
@@ -123,9 +137,9 @@ class _Page:
             return
         if name in VOID:
             return
-        marked, classes = _marked(name, attributes)
+        hidden, named, classes = _judged(name, attributes)
         if name in INLINE:
-            self.inline.append((name, marked))
+            self.inline.append((name, hidden))
             return
         self.flush()
         if name in CLOSES:
@@ -144,11 +158,17 @@ class _Page:
             self.inline = []
         elif name == "body" and any(e[0] == "head" for e in self.stack):
             del self.stack[next(i for i, e in enumerate(self.stack) if e[0] == "head") :]
-        above = self.stack[-1]
-        out = above[3] or marked or name in NEVER or name == "header" and not any(e[0] == "article" for e in self.stack)
+        _, above, out, article, main = self.stack[-1]
+        out = out or hidden or name in NEVER or name == "header" and not article and not main
         self.elements += 1
-        self.names.append(name)
-        self.stack.append((name, f"{above[1]}/{name}{classes}", self.elements, out))
+        key = (above, name, classes, named)
+        path = self.paths.get(key)
+        if path is None:
+            path = self.paths[key] = len(self.names)
+            self.names.append(name)
+            self.above.append(above)
+            self.named.append(named)
+        self.stack.append((name, path, out, article or (self.elements if name == "article" else 0), main or (self.elements if name == "main" else 0)))
 
     def end(self, name: str) -> None:
         if name in INLINE:
@@ -197,86 +217,151 @@ def read(page: str) -> _Page:
     return own
 
 
-def blocks_of(page: str) -> list[tuple[str, str, int, tuple[int, ...]]]:
-    return read(page).blocks
+#: How strongly a block's neighbours count in its smoothed ratios, by distance.
+KERNEL = (0.025, 0.075, 0.8, 0.075, 0.025)
 
 
-def _shared(a, b) -> int:
-    """Elements that two chains from the root have in common."""
-    n = min(len(a), len(b))
-    return next((i for i in range(n) if a[i] != b[i]), n)
+def _smooth(values: np.ndarray) -> np.ndarray:
+    padded = np.pad(values, 2, mode="edge")
+    return sum(KERNEL[i] * padded[i : i + len(values)] for i in range(5))
 
 
-def _article(names: list[str], blocks: list[tuple[str, str, int, tuple[int, ...]]], content: np.ndarray, size: np.ndarray) -> int:
-    """The element that holds the article: the lowest one around all content blocks, or the article or main around that.
+def _fuse(text, marks, half):
+    """One score of 0 to 1 from the two ratios; each saturates, so a very long block does not dwarf the others."""
+    return text / (text + half[0]) * (0.5 + marks / (marks + half[1])) / 1.5
 
-    Where content lies outside the page's only article (or its main) as well, that one is taken if it holds
-    most of the content's text. An element that is a mere part of an article (a list, a table, ...) is left for
-    the one around it, and so is one beside which there are only headings.
-    """
-    hits = [b[3] for hit, b in zip(content, blocks) if hit]
-    above = list(hits[0])
-    for own in hits[1:]:
-        del above[_shared(above, own) :]
-    marked = [i for i, e in enumerate(above) if names[e] in ("article", "main")]
-    if marked:
-        del above[marked[-1] + 1 :]
-    else:
-        total = sum(float(w) for hit, w in zip(content, size) if hit)
-        for kind in ("main", "article"):
-            outer = {}
-            for b in blocks:
-                at = next((i for i, e in enumerate(b[3]) if names[e] == kind), None)
-                if at is not None:
-                    outer[b[3][at]] = b[3][: at + 1]
-            held = sum(float(w) for hit, w, b in zip(content, size, blocks) if hit and len(outer) == 1 and next(iter(outer)) in b[3])
-            if len(outer) == 1 and held >= 0.5 * total:
-                above = list(next(iter(outer.values())))
-                break
-    while len(above) > 1 and names[above[-1]] in PARTS:
-        above.pop()
-    shared = [_shared(above, b[3]) for b in blocks if names[b[3][-1]] not in HEADINGS]
-    return above[max((n for n in shared if n < len(above)), default=0)]
 
+def _region(own: _Page) -> tuple[int, list[tuple[int, str, int, int, int]]]:
+    """The blocks that are judged, and whether (1 or 0) they are those of an article or main.
 
-#: How strongly a block's neighbours count in its smoothed ratios, by distance.
-KERNEL = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
+    One article that holds most of the text of main (a tenth, where there is no main), else main, else the
+    articles together if they hold half, else the whole page. Where these blocks have no `h1`, the last one before
+    them is judged with them.
+    """
+    inside, blocks = _within(own)
+    is_title = lambda b: own.names[b[0]] == "h1"
+    if inside and not any(map(is_title, blocks)):
+        first = next(i for i, b in enumerate(own.blocks) if b is blocks[0])
+        titles = [b for b in own.blocks[:first] if is_title(b)]
+        blocks = titles[-1:] + blocks
+    return inside, blocks
+
+
+def _within(own: _Page) -> tuple[int, list[tuple[int, str, int, int, int]]]:
+    weight = lambda rows: float(sum(len(b[1]) * (STRONG_FACTOR if _mark(own, b[0]) == 2 else 1.0) for b in rows))
+    total = weight(own.blocks)
+    inside = [b for b in own.blocks if b[4]]
+    if inside and weight(inside) < 0.1 * total:
+        inside = []
+    outer: dict[int, list] = {}
+    for b in inside or own.blocks:
+        if b[3]:
+            outer.setdefault(b[3], []).append(b)
+    if outer:
+        best = max(outer.values(), key=weight)
+        if weight(best) >= (0.5 * weight(inside) if inside else (0.1 if len(outer) == 1 else 0.5) * total):
+            return 1, best
+    if inside:
+        return 1, inside
+    several = [b for b in own.blocks if b[3]]
+    return (1, several) if several and weight(several) >= 0.5 * total else (0, own.blocks)
+
+
+def _mark(own: _Page, path: int) -> int:
+    """The strongest mark on a path."""
+    most = 0
+    while path:
+        most = max(most, own.named[path])
+        path = own.above[path]
+    return most
+
+
+def _names_that_count(own: _Page, path: np.ndarray, length: np.ndarray, inside: int) -> list[int]:
+    """The mark of each path; an element that holds (nearly) all that is judged is not judged by its name."""
+    total, rows = np.bincount(path, length, len(own.names)), np.bincount(path, minlength=len(own.names))
+    for p in range(len(own.names) - 1, 0, -1):
+        total[own.above[p]] += total[p]
+        rows[own.above[p]] += rows[p]
+    around = rows == rows[0] if inside else (rows > 2) & (total >= 0.8 * total[0])
+    return [0 if skip and own.names[p] not in PARTS else m for p, (skip, m) in enumerate(zip(around, own.named))]
+
+
+def _holder(own: _Page, named: list[int], path: int) -> int:
+    """The path of the element that a part of an article belongs to; a marked path, or one of another kind, stands alone."""
+    while path and own.names[path] in PARTS and not named[path]:
+        path = own.above[path]
+    return path
+
+
+def path_scores(own: _Page, blocks: list[tuple[int, str, int, int, int]], inside: int) -> tuple[np.ndarray, np.ndarray]:
+    """(score, score without marks) of each path of the page; paths without blocks have 0."""
+    n = len(own.names)
+    path = np.array([b[0] for b in blocks])
+    size = np.array([len(b[1]) - b[2] for b in blocks], dtype=np.float64).clip(0)
+    linked = np.array([min(b[2], len(b[1])) for b in blocks], dtype=np.float64)
+    marks = np.array([len(_PUNCTUATION.findall(b[1])) for b in blocks], dtype=np.float64)
+    number = np.bincount(path, minlength=n)
+    some = np.maximum(number, 1)
+    text_ratio, mark_ratio = np.bincount(path, size, n) / some, np.bincount(path, marks, n) / some
+    half = [float(np.clip(np.average(x[path], weights=size + 1e-9), *limits)) for x, limits in ((text_ratio, HALF_TEXT), (mark_ratio, HALF_MARKS))]
+    score = np.bincount(path, _fuse(_smooth(text_ratio[path]), _smooth(mark_ratio[path]), half), n) / some
+    share = np.bincount(path, linked, n) / np.maximum(np.bincount(path, linked + size, n), 1)
+    # The parts of an element, taken together.
+    named = _names_that_count(own, path, size + linked, inside)
+    holders = np.array([_holder(own, named, p) for p in range(n)])
+    strongest = named[:]
+    for p in range(1, n):
+        strongest[p] = max(named[p], strongest[own.above[p]])
+    held = holders[path]
+    count = np.maximum(np.bincount(held, minlength=n), 1)
+    pooled = _fuse(np.bincount(held, size, n) / count, np.bincount(held, marks, n) / count, half)
+    # The best of an element and of those in it, each further one counting less; paths are numbered from the root down.
+    best = np.maximum(pooled, score)
+    for p in range(n - 1, 0, -1):
+        if not named[p]:
+            best[own.above[p]] = max(best[own.above[p]], (1.0 if own.names[p] in PARTS else DECAY) * best[p])
+    plain, marked = np.zeros(n), np.zeros(n)
+    for p in np.flatnonzero(number).tolist():
+        name, holder = own.names[p], int(holders[p])
+        found = float(score[p])
+        if holder != p:  # a part of an article
+            if name in HEADINGS:
+                found = max(found, float(best[holder]))
+                if name == "h1" and not named[holder]:
+                    found = max(found, DECAY * float(best[own.above[holder]]))
+            at, kept = holder, 1.0
+            while True:
+                found = max(found, kept * float(pooled[at]))
+                if inside and own.names[at] in ("article", "main"):
+                    found = max(found, float(best[at]))
+                if not at or named[at]:
+                    break
+                at = own.above[at]
+                kept *= DECAY
+        plain[p] = found * (1.0 - (0.5 if inside or name in HEADINGS else 1.0) * share[p])
+        marked[p] = plain[p] * (1.0, WEAK_INSIDE if inside else WEAK_FACTOR, STRONG_FACTOR)[strongest[p]]
+    return marked, plain
 
 
-def _smooth(values: np.ndarray) -> np.ndarray:
-    padded = np.pad(values, 2, mode="edge")
-    return sum(KERNEL[i] * padded[i : i + len(values)] for i in range(5))
+def content(page: str | None) -> list[str]:
+    """The blocks of the content paths, in page order."""
+    own = read(page) if page else _Page()
+    if not own.blocks:
+        return []
+    inside, blocks = _region(own)
+    score, plain = path_scores(own, blocks, inside)
+    weight = np.zeros(len(own.names))
+    for b in blocks:
+        weight[b[0]] += len(b[1])
+    for p in np.flatnonzero(weight).tolist():
+        weight[p] *= score[p] / plain[p] if plain[p] else 1.0
+    chosen = (score > 0) & (score >= LEAST * np.average(plain, weights=np.maximum(weight, 1e-9)))
+    return [b[1] for b in blocks if chosen[b[0]]]
 
 
 def main_text(page: str | None) -> str:
-    """The text of a page's article: its blocks, white space folded, joined by line ends. Null gives ''."""
-    own = read(page) if page else _Page()
-    blocks = own.blocks
-    if not blocks:
-        return ""
-    paths: dict[str, int] = {}
-    path = np.array([paths.setdefault(b[0], len(paths)) for b in blocks])
-    size = np.array([len(b[1]) - b[2] for b in blocks], dtype=np.float64).clip(0)
-    marks = np.array([len(_PUNCTUATION.findall(b[1])) for b in blocks], dtype=np.float64)
-    number = np.bincount(path)
-    text_ratio = np.bincount(path, size) / number
-    mark_ratio = np.bincount(path, marks) / number
-    fused = _smooth(text_ratio[path]) * (1.0 + _smooth(mark_ratio[path]))
-    score = np.bincount(path, fused) / number
-    total = np.bincount(path, size)
-    chosen = (score >= 0.3 * np.average(score, weights=np.maximum(total, 1e-9))) & (total > 0)
-    if not chosen.any():
-        return ""
-    content = chosen[path]
-    article = _article(own.names, blocks, content, size)
-    out = []
-    for hit, block in zip(content, blocks):
-        if article not in block[3]:
-            continue
-        # Outside an article or main, blocks of links are menus.
-        if hit or block[2] <= 0.6 * len(block[1]) or own.names[block[3][-1]] in HEADINGS or any(own.names[e] in ("article", "main") for e in block[3]):
-            out.append(block[1])
-    return "\n".join(out)
+    """The text of a page: its content blocks, white space folded, joined by line ends. Null gives ''."""
+    return "\n".join(content(page))
 
 
 def extract(pages: DataFrame) -> DataFrame:

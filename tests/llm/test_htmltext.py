@@ -56,3 +56,49 @@ def test_rows_and_columns(spark):
 )
 def test_nothing_else_of_an_article_is_dropped(page, want):
     assert H.main_text(page) == "\n".join(want)
+
+
+MENU = "<div class=c1><a href=/a>Home</a> <a href=/b>About us</a></div>"
+ADVERT = "<div class=c2>Buy two, get one.</div>"
+FOOT = "<div class=c4><p>Privacy policy terms</p></div>"
+BODY = f"<h1>T</h1><p>{LONG}</p><p>Short.</p><ul><li>one<li>two</ul><p>{LONG} {LONG}</p>"
+WANT = ["T", LONG, "Short.", "one", "two", f"{LONG} {LONG}"]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body>{MENU}{ADVERT}<div class=c3>{BODY}</div>{FOOT}</body>", WANT),
+        (f"<body><div class=w>{MENU}<div class=c3>{BODY}</div>{ADVERT}</div>{FOOT}</body>", WANT),
+        (f"<body>{MENU}<article>{BODY}</article>{ADVERT}{FOOT}</body>", WANT),
+        (f"<body>{MENU}<main>{BODY}</main>{FOOT}</body>", WANT),
+        (f"<article>{BODY}<div class='share'>Share Tweet</div><ul class=related><li><a href=x>More</a><li><a href=y>Other</a></ul></article>", WANT),
+        (f"<article>{BODY}<section id=comments><p>{LONG}</p><p>{LONG}</p></section></article>", WANT),
+        (f"<article>{BODY}<div class=alert><p>{LONG}</p></div><p class='related-work'>{LONG}</p><section id=form><p>{LONG}</p></section></article>", [*WANT, LONG, LONG, LONG]),
+        (f"<article class=c1 id=menu><h1 class=c2 id=t>T</h1><p class=c3 id=p>{LONG}</p><div id=p><p>{LONG}</p></div></article>", ["T", LONG, LONG]),
+    ],
+)
+def test_paths_decide_whatever_classes_are_called(page, want):
+    assert H.content(page) == want
+
+
+def test_the_path_step_decides_and_the_word_list_hardly(monkeypatch):
+    pages = [f"<body>{MENU}{ADVERT}<div class=c3>{BODY}</div>{FOOT}</body>", f"<body><div class=w>{MENU}<div class=c3>{BODY}</div>{ADVERT}</div>{FOOT}</body>"]
+    before = [H.content(p) for p in pages]
+    for name in ("STRONG_FACTOR", "WEAK_FACTOR", "WEAK_INSIDE"):
+        monkeypatch.setattr(H, name, 1.0)
+    assert [H.content(p) for p in pages] == before
+    monkeypatch.setattr(H, "LEAST", 0.0)
+    assert all(a != b for a, b in zip([H.content(p) for p in pages], before))
+
+
+def test_ratios_of_paths_against_plain_sums():
+    own = H.read(f"<div class=a><p>{LONG}</p><p>One, two.</p></div><div class=b>x</div>")
+    paths = {}
+    for path, text, *_ in own.blocks:
+        paths.setdefault(path, []).append(text)
+    assert sorted(map(len, paths.values())) == [1, 2]
+    score, plain = H.path_scores(own, own.blocks, 0)
+    assert (score == plain).all() and {p for p in range(len(score)) if score[p]} == set(paths)
+    p = next(k for k, v in paths.items() if len(v) == 2)
+    assert score[p] == max(score)
