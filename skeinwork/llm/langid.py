@@ -37,8 +37,8 @@ UNDETERMINED = "und"
 BUCKETS = 4096
 #: Rows of each language that are learned from at most; the rows of the smallest hashes are taken.
 SAMPLE_ROWS = 600
-#: Languages that are learned at most: the most frequent ones.
-SAMPLE_LANGUAGES = 64
+#: Rows that are learned from in all, shared out where there are many languages; each language has at least one.
+SAMPLE_TOTAL = 9_600
 SIZES = (1, 2, 3, 4)
 
 
@@ -47,15 +47,32 @@ def family_of(lang: str) -> str:
 
 
 @lru_cache(1)
-def _letters() -> np.ndarray:
-    """For each code point its lower-case code point if it is a letter, else a blank."""
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point its lower-case code point if it is a letter, itself if it is a mark, else a blank; and
+    whether it is a mark."""
     out = np.full(sys.maxunicode + 1, 0x20, dtype=np.uint32)
+    marks = np.zeros(sys.maxunicode + 1, dtype=bool)
     for c in range(sys.maxunicode + 1):
         char = chr(c)
-        if unicodedata.category(char)[0] in "LM":
+        kind = unicodedata.category(char)[0]
+        if kind in "LM":
             low = char.lower()
-            out[c] = ord(low) if len(low) == 1 else c
-    return out
+            out[c] = ord(low) if len(low) == 1 and kind == "L" else c
+            marks[c] = kind == "M"
+    return out, marks
+
+
+def _points(text: str) -> np.ndarray:
+    """The letters of a text and the marks behind a letter, folded; everything else is a blank."""
+    letters, marks = _letters()
+    raw = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    points, mark = letters[raw], marks[raw]
+    if mark.any():
+        # The last code point before each mark that is none decides: a mark counts only behind a letter.
+        place = np.where(mark, -1, np.arange(len(raw)))
+        last = np.maximum.accumulate(place)
+        points[mark & ((last < 0) | (points[last] == 0x20))] = 0x20
+    return points
 
 
 def features(text: str | None) -> np.ndarray | None:
@@ -65,7 +82,7 @@ def features(text: str | None) -> np.ndarray | None:
     counts = np.zeros(BUCKETS, dtype=np.float64)
     letters = False
     for at in range(0, len(text), 1 << 20):
-        points = _letters()[np.frombuffer(text[max(0, at - 3) : at + (1 << 20)].encode("utf-32-le"), dtype=np.uint32)]
+        points = _points(text[max(0, at - 3) : at + (1 << 20)])
         blank = points == 0x20
         if blank.all():
             continue
@@ -146,16 +163,18 @@ def _certainty(margin: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(2.5 * margin, -30, 30))))
 
 
-def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, languages: int = SAMPLE_LANGUAGES) -> Model:
-    """Learns from rows (text, lang) with a lang: at most `rows` of each of the `languages` most frequent ones.
+def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL) -> Model:
+    """Learns from rows (text, lang) with a lang: at most `rows` of each language, fewer where there are so many languages
+    that they would be over `total`. Every language that has a text with letters is learned.
 
     Only this bounded sample comes to the driver, as feature vectors made by the executors. Texts without
     letters are left out; with one language or none, that is what is predicted (or `und`).
     """
     own = labelled.filter(F.col("lang").isNotNull()).select(F.col("text").cast("string"), F.col("lang").cast("string"), F.xxhash64("text").alias("h"))
-    counts = own.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts")).orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = own.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts")).orderBy("lang").collect()  # a row a language
     if not counts:
         return Model([], np.zeros((0, BUCKETS + 1)), {}, {}, {})
+    rows = max(1, min(rows, total // len(counts)))
     # Rows of small hashes, a few more than needed: equal texts have equal hashes, so distinct ones are counted.
     bound = F.lit(None).cast("long")
     for r in counts:

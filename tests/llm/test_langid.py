@@ -47,9 +47,34 @@ def test_pieces_of_long_texts_count_like_a_whole():
     assert abs(L.features(text) - L.features((GERMAN + " ") * 100)).max() < 0.005  # one piece
 
 
-def test_the_sample_is_bounded_and_labels_alone_decide(spark):
-    few = L.fit(spark.createDataFrame(rows() * 3, "text string, lang string"), rows=10, languages=2)
-    assert len(few.languages) <= 2 and sum(map(len, few.languages.values())) == 2
+def test_the_sample_is_bounded_and_no_language_is_left_out(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "fit_svm", lambda x, y: seen.append(len(x)) or L.np.zeros(x.shape[1] + 1))
+    docs = spark.createDataFrame(rows() * 3 + [(f"word{i} of language {i}", f"l{i:03d}") for i in range(40)], "text string, lang string")
+    few = L.fit(docs, rows=10, total=88)
+    assert sum(map(len, few.languages.values())) == 44 and max(seen) == 4 * 2 + 40
+
+
+def test_marks_alone_are_no_letters():
+    assert L.features("\u0301\u0302 \u0903") is None and L.features("1\u0301") is None
+    assert L.features("e\u0301") is not None and (L.features("e\u0301 \u0301") == L.features("e\u0301  ")).all()
+    assert (L.features("cafe\u0301") != L.features("cafe")).any()
+
+
+def test_repeated_rows_stay(spark, model):
+    docs = spark.createDataFrame([(1, GERMAN), (1, GERMAN), (None, GERMAN), (None, GERMAN)], "doc_id long, text string")
+    assert [(r["lang_pred"], r["held_out"]) for r in L.identify(docs, model).collect()].count(("de", False)) == 4
+
+
+def test_a_plain_vote_gives_the_same_languages(model):
+    for text in [t for t, _ in rows()] + [GERMAN + ENGLISH, "xyz", "ß"]:
+        x = L.np.append(L.features(text).astype(float), 1.0)
+        family = max(range(len(model.families)), key=lambda i: float(model.family_weights[i] @ x))
+        names = model.languages[model.families[family]]
+        wins = [0] * len(names)
+        for (a, b), w in zip(model.pairs[model.families[family]], model.pair_weights[model.families[family]]):
+            wins[a if w @ x >= 0 else b] += 1
+        assert model.predict(text)[0] in [n for n, k in zip(names, wins) if k == max(wins)]
 
 
 def test_one_language_or_none(spark):
