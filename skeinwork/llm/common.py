@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.sources.storage import materialise, shared_dir, table
 
-__all__ = ["bound_batches", "fresh", "materialise", "row_key", "shared_dir", "table"]
+__all__ = ["bound_batches", "fresh", "hot_join", "materialise", "row_key", "shared_dir", "table"]
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -31,6 +31,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def row_key(df: DataFrame) -> Column:
-    """A digest of 128 bits of a whole row, as text; equal rows have equal digests."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    """A digest of 128 bits of a whole row, as text; equal rows have equal digests. Where the nulls are counts."""
+    columns = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
     return F.concat(F.hex(F.xxhash64(*columns)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *columns)))
+
+
+#: A key is frequent if it has more than a thousand rows and more than this share of all; so there are 20,000 at most.
+HOT_SHARE = 1 / 20_000
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """left joined to right, which has a row a key and in `count` the rows that left (of `total` rows) has of it.
+
+    Rows of frequent keys stay where they are: their few rows of right are broadcast. The others meet by a shuffle,
+    which no key can then fill a task of.
+    """
+    frequent = F.col(count) > max(1000.0, total * HOT_SHARE)
+    hot = F.broadcast(right.filter(frequent))
+    rest = left.join(hot.select(key), key, "left_anti").join(right.filter(~frequent), key)
+    return left.join(hot, key).unionByName(rest)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import materialise
+from skeinwork.llm.common import hot_join, materialise
 
 
 def spanning_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -32,18 +32,18 @@ def spanning_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[own], nodes[label[own]]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Links every larger neighbour of a node to the smallest node around it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = materialise(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "links-least")
+    return hot_join(both.filter("v > u"), least, "u", "n", 2 * n).select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = materialise(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "links-least")
+    moved = hot_join(down, least, "u", "n", n).filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
@@ -62,7 +62,8 @@ def components(edges: DataFrame) -> DataFrame:
         if after == state or not after["n"]:
             break
         state = after
-        now = materialise(_small_star(_large_star(now)), "links")
+        wide = materialise(_large_star(now, after["n"]), "links-wide")
+        now = materialise(_small_star(wide, after["n"]), "links")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     centres = stars.select(F.col("label").alias("node"), "label").distinct()
     alone = loops.join(stars.select("node").union(centres.select("node")), "node", "left_anti").select("node", F.col("node").alias("label"))

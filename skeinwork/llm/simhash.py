@@ -4,8 +4,8 @@ Let two fingerprints of 64 bits, laid out in a ring of m segments, differ in at
 segment from which every chain of l = 1..m consecutive segments differs in at most floor(l * t / m) bits
 (were each start to fail at some l, the failing chains would cover the ring with more than t differences).
 So it is enough to look for such starts. The first segments of a chain may not differ at all and the next
-ones in one bit at most, so of two halves of those one is equal: (start, exact segments, equal half) is a
-join key. Rows that share a key are compared in NumPy: the budgets of longer chains prune first, the whole
+ones in one bit at most, so of their parts all but one are equal: (start, exact segments, equal parts) is a
+join key, and the more fingerprints there are, the more parts are made, which widens the key. Rows that share a key are compared in NumPy: the budgets of longer chains prune first, the whole
 ring (the Hamming distance) decides.
 """
 
@@ -21,13 +21,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import bound_batches, fresh, materialise, row_key
+from skeinwork.llm.common import bound_batches, fresh, hot_join, materialise, row_key
 from skeinwork.llm.components import components, spanning_edges
 
 SEED = 42
 #: Fingerprints of one key that are compared in one go; larger groups are cut into blocks of this size,
 #: and each pair of blocks is a group of its own.
 BLOCK = 4096
+#: What writing and sorting a key costs, in comparisons of two fingerprints.
+KEY_COST = 20.0
 #: SQL of the pairs of blocks (numbered) that a row of block `own` of `n` takes part in: the pair of a block with itself
 #: is part of each pair of it with another.
 PAIRS = "CASE WHEN n = 1 THEN array(0) ELSE transform(filter(sequence(0, n - 1), x -> x <> own), x -> least(x, own) * n + greatest(x, own)) END"
@@ -115,22 +117,30 @@ class Ring:
         last = {self.budget(n): n * self.width for n in range(1, self.segments + 1)}
         return [(bits, budget) for budget, bits in sorted(last.items())]
 
-    def keys(self, value: str) -> list[str]:
-        """SQL of the keys of a fingerprint: start and half above, then the exact bits and the half's."""
+    def parts(self, rows: int) -> int:
+        """Parts that the loose bits are cut into: with one difference at most, all parts but one are equal. More parts make
+        wider keys, but more of them; so many are taken that writing the keys of `rows` fingerprints and comparing what
+        shares one (random ones) costs least. Any number finds every pair."""
+        most = [n for n in (2, 4, 8, 16) if n <= self.loose] or [1]
+        return min(most, key=lambda n: n * (KEY_COST + rows / 2.0 ** (self.exact + self.loose - self.loose // n)))
+
+    def keys(self, value: str, parts: int = 2) -> list[str]:
+        """SQL of the keys of a fingerprint: the start and the part left out, then the exact bits and the other parts."""
         out = []
         for start in range(self.segments):
             k = start * self.width
             turned = f"({value})" if k == 0 else f"(shiftleft({value}, {k}) | shiftrightunsigned({value}, {64 - k}))"
+            head = turned if self.exact == 64 else f"shiftrightunsigned({turned}, {64 - self.exact})"
             if self.limit == 0 or self.loose == 0:
-                out.append(f"struct({start} AS start, {turned} AS bits)" if self.exact == 64 else f"struct({start} AS start, shiftrightunsigned({turned}, {64 - self.exact}) AS bits)")
+                out.append(f"struct({start} AS start, {head} AS bits)")
+                if self.limit == 0:
+                    break
                 continue
-            first = self.loose // 2
-            for skip, take in ((0, first), (first, self.loose - first)):
-                head = f"shiftrightunsigned({turned}, {64 - self.exact})"
-                part = f"(shiftrightunsigned({turned}, {64 - self.exact - skip - take}) & {2**take - 1}L)"
-                out.append(f"struct({start + (self.segments if skip else 0)} AS start, (shiftleft({head}, {take}) | {part}) AS bits)")
-            if self.limit == 0:
-                break
+            loose = f"(shiftrightunsigned({turned}, {64 - self.exact - self.loose}) & {2**self.loose - 1}L)"
+            cuts = [self.loose * i // parts for i in range(parts + 1)]
+            for part, (low, high) in enumerate(zip(cuts, cuts[1:])):
+                rest = f"(shiftleft(shiftrightunsigned({loose}, {high}), {low}) | ({loose} & {2**low - 1}L))"
+                out.append(f"struct({start + part * self.segments} AS start, (shiftleft({head}, {self.loose - high + low}) | {rest}) AS bits)")
         return out
 
 
@@ -233,7 +243,8 @@ def fingerprint_links(fingerprints: DataFrame, ring: Ring, block: int = BLOCK) -
     Groups of over `block` fingerprints with one key are cut into blocks by a hash of the fingerprint; every
     pair of blocks is compared by a task of its own, so no task holds more than two blocks of a group.
     """
-    keys = fingerprints.select("fp", F.explode(F.expr(f"array({', '.join(ring.keys('fp'))})")).alias("key")).select("key.start", "key.bits", "fp")
+    parts = ring.parts(fingerprints.count())
+    keys = fingerprints.select("fp", F.explode(F.expr(f"array({', '.join(ring.keys('fp', parts))})")).alias("key")).select("key.start", "key.bits", "fp")
     hot = materialise(keys.groupBy("start", "bits").count().filter(F.col("count") > block).withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count"), "simhash-hot")
     if hot.isEmpty():
         rows = keys.withColumn("block", F.lit(0))
@@ -255,17 +266,17 @@ def simhash_groups(docs: DataFrame, width: int | None = 4, limit: int = 4, segme
     width is the shingle's number of words; None takes the distinct words instead. Texts without words
     (null, empty, white space) have fingerprint zero, linked like any other. Repeated rows stay repeated; rows
     with a null doc_id take part, and a component of such rows alone has a null component_id. Columns but
-    doc_id and text are left out. Rows of equal fingerprints meet only in aggregates and in a join that
-    adaptive execution can split, so copies do not gather in a task.
+    doc_id and text are left out. Rows of equal fingerprints meet only in aggregates and in joins to which frequent
+    keys are broadcast, so copies do not gather in a task.
     """
     bound_batches(docs.sparkSession)
     own = materialise(docs.select(F.col("doc_id").cast("long"), fingerprint_column(width)(F.col("text").cast("string")).alias("fp")), "simhash-fp")
-    distinct = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    distinct = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     labels = fingerprint_components(distinct.select("fp"), Ring(limit, segments))
-    labelled = distinct.join(labels, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_fp = labelled.join(smallest, "label").select("fp", "component_id")
-    return own.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    labelled = materialise(distinct.join(labels, "fp", "left").select("fp", "least", "n", F.coalesce("label", "fp").alias("label")), "simhash-labels")
+    smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    of_fp = materialise(hot_join(labelled, smallest, "label", "members", labelled.count()).select("fp", "n", "component_id"), "simhash-least")
+    return hot_join(own, of_fp, "fp", "n", own.count()).select("doc_id", "fp", "component_id")
 
 
 #: Bins of a sketch of shingle hashes.
@@ -440,7 +451,9 @@ def settled_links(members: DataFrame, sets: DataFrame, least: float, slack: floa
     `block` members or `size` bytes are cut into pairs of blocks."""
     sized = members.join(sets.select("cid", F.length("hashes").alias("bytes")), "cid")
     blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / size)).cast("int")
-    own = sized.join(sized.groupBy("label").agg(F.greatest(blocks, F.lit(1)).alias("n")), "label").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("n")).cast("int"))
+    sized = materialise(sized, "simhash-sized")
+    labels = materialise(sized.groupBy("label").agg(F.greatest(blocks, F.lit(1)).alias("n"), F.count("*").alias("members")), "simhash-sizes")
+    own = hot_join(sized, labels, "label", "members", sized.count()).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("n")).cast("int"))
     rows = own.select("label", F.explode(F.expr(PAIRS)).alias("block"), "cid").join(sets, "cid")
     dealt = rows.repartition("label", "block").sortWithinPartitions("label", "block")
     return dealt.select("label", "block", "cid", "hashes").mapInPandas(_settled_groups(least, slack), "a long, b long").distinct()
@@ -449,9 +462,10 @@ def settled_links(members: DataFrame, sets: DataFrame, least: float, slack: floa
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """(label, cid) of each group of two classes or more that share a band or a label, from (cid, label, bands).
     Of groups with the same members one stays."""
-    keys = classes.select("cid", F.explode(F.concat("bands", F.array(F.xxhash64(F.lit("label"), "label")))).alias("label"))
+    keys = materialise(classes.select("cid", F.explode(F.concat("bands", F.array(F.xxhash64(F.lit("label"), "label")))).alias("label")), "simhash-bands")
     groups = keys.groupBy("label").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"))
-    return keys.join(groups.filter("n > 1").groupBy("n", "x", "y").agg(F.min("label").alias("label")).select("label"), "label")
+    once = materialise(groups.filter("n > 1").groupBy("n", "x", "y").agg(F.min("label").alias("label")).select("label", "n"), "simhash-groups")
+    return hot_join(keys, once, "label", "n", keys.count()).select("label", "cid")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, slack: float = 0.15, width: int | None = None, limit: int = 4, segments: int = 16) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 
 from skeinwork.llm import simhash as S
+from skeinwork.llm.common import hot_join, row_key
 from skeinwork.llm.components import components, spanning_edges
 
 
@@ -228,3 +229,52 @@ def test_settled_links_in_blocks(spark, block):
     links = S.settled_links(sets.selectExpr("cid", "7L AS label"), sets, 0.8, 0.15, block).select("a", "b")
     got = {r["node"]: r["label"] for r in components(links).collect()}
     assert got == {c: c // 10 * 10 for c in texts}
+
+
+@pytest.mark.parametrize("parts", [2, 4, 8, 16])
+def test_wider_keys_find_every_close_pair(spark, parts, monkeypatch):
+    monkeypatch.setattr(S.Ring, "parts", lambda ring, rows: parts)
+    test_every_close_pair_shares_a_key_and_keeps_a_chain(spark, S.Ring())
+    assert len(S.Ring().keys("fp", parts)) == 16 * parts
+
+
+def test_keys_widen_with_the_number_of_fingerprints():
+    parts = [S.Ring().parts(n) for n in (0, 10**5, 10**8, 10**10)]
+    assert parts == sorted(parts) and parts[0] == 2 and parts[-1] >= 8
+
+
+def test_groups_of_all_kinds_of_copies_are_those_of_brute_force(spark):
+    rng = random.Random(21)
+    texts = [None, "", "  ", "one", "one", "ONE two"]
+    for g in range(25):
+        base = [f"g{g}w{rng.randint(0, 300)}" for _ in range(rng.randint(6, 150))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 5)):
+            words = list(base)
+            for _ in range(rng.randint(0, max(1, len(words) // 40))):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randint(0, 2)] = [f"x{rng.randint(0, 99)}" for _ in range(rng.randint(0, 3))]
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    sets = [set(S.shingle_hashes(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect()) == sorted(set(root))
+
+
+def test_rows_that_differ_in_where_the_null_is(spark):
+    rows = [(1, None, "a"), (1, "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string")
+    assert docs.select(row_key(docs)).distinct().count() == 2
+
+
+def test_frequent_keys_join_like_others(spark, monkeypatch):
+    left = spark.range(5000).selectExpr("IF(id < 3000, 0, id) AS k", "id AS v")
+    right = left.groupBy("k").count().withColumnRenamed("count", "n")
+    got = hot_join(left, right, "k", "n", 5000)
+    assert got.count() == 5000 and got.filter("k = 0").count() == 3000 and got.filter("n = 3000").count() == 3000
