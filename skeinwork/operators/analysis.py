@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinwork.functions.columns import percent
+from skeinwork.sources.storage import materialise
+
+#: Files of a product that one join task pairs with all others; a product in more is dealt over several tasks.
+SPLIT_FILES = 1000
 
 
 def _files_of(df: DataFrame) -> DataFrame:
@@ -39,11 +43,17 @@ def batch_similarity(df: DataFrame) -> DataFrame:
     """(file1, file2, shared, union, similarity in percent) of every two files that share a product.
 
     The join is on the product, so only files that meet are paired; a product in k files is in k(k-1)/2 pairs,
-    which is the size of what is asked. The pairs are counted before they are shuffled.
+    which is the size of what is asked. The pairs are counted before they are shuffled, and the files of a product
+    in very many are dealt over several tasks.
     """
-    pairs = df.filter(F.col("product").isNotNull()).select("file", "product").distinct()
+    found = df.filter(F.col("product").isNotNull()).select("file", "product").distinct()
+    pairs = materialise(found, "similarity-pairs")
     sizes = pairs.groupBy("file").agg(F.count("*").alias("n"))
-    met = pairs.select("product", F.col("file").alias("file1")).join(pairs.select("product", F.col("file").alias("file2")), "product").filter("file1 < file2")
+    often = pairs.groupBy("product").agg(F.count("*").alias("k")).filter(F.col("k") > SPLIT_FILES).select("product", F.ceil(F.col("k") / SPLIT_FILES).cast("int").alias("parts"))
+    split = pairs.join(often, "product", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    left = split.select("product", F.col("file").alias("file1"), F.pmod(F.xxhash64("file"), "parts").cast("int").alias("part"))
+    right = split.select("product", F.col("file").alias("file2"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = left.join(right, ["product", "part"]).filter("file1 < file2")
     shared = met.groupBy("file1", "file2").agg(F.count("*").alias("shared"))
     both = shared.join(sizes.select(F.col("file").alias("file1"), F.col("n").alias("n1")), "file1").join(sizes.select(F.col("file").alias("file2"), F.col("n").alias("n2")), "file2")
     whole = both.withColumn("union", F.col("n1") + F.col("n2") - F.col("shared"))

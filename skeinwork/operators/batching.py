@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,21 +61,26 @@ def plan_compaction(files: DataFrame, cap: int, small: int | None = None) -> Dat
     would take it over the cap; groups of two files or more are rewritten.
 
     With `small`, only files of less take part, as the smaller variant has it (its cap is twice its target). The
-    walk is sequential by nature and runs over the table of files, one row each, never over their rows.
+    walk is sequential by nature: it goes once over the sorted table of files, a few numbers each, in batches, and keeps
+    two numbers. A file without a size counts as empty.
     """
     own = files if small is None else files.filter(F.col("size") < small)
-    walk = own.agg(F.sort_array(F.collect_list(F.struct("place", "file", "size"))).alias("files"))
-    grouped = F.expr(
-        f"""aggregate(files,
-             named_struct('group_id', 0L, 'total', 0L, 'out', cast(array() AS array<struct<file: {dict(files.dtypes)["file"]}, place: bigint, size: bigint, group_id: bigint>>)),
-             (s, f) -> named_struct(
-                 'group_id', if(s.group_id > 0 AND s.total + f.size <= {cap}, s.group_id, s.group_id + 1),
-                 'total', if(s.group_id > 0 AND s.total + f.size <= {cap}, s.total + f.size, CAST(f.size AS bigint)),
-                 'out', concat(s.out, array(struct(f.file, CAST(f.place AS bigint) AS place, CAST(f.size AS bigint) AS size,
-                        if(s.group_id > 0 AND s.total + f.size <= {cap}, s.group_id, s.group_id + 1) AS group_id)))),
-             s -> s.out)"""
-    )
-    rows = walk.select(F.explode(grouped).alias("r")).select("r.*")
+    kind = dict(files.dtypes)["file"]
+    listed = own.select("file", F.col("place").cast("long"), F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, total = 0, 0
+        for batch in batches:
+            groups = []
+            for size in batch.column("size").to_pylist():
+                if group and total + size <= cap:
+                    total += size
+                else:
+                    group, total = group + 1, size
+                groups.append(group)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(groups, pa.int64())], names=[*batch.schema.names, "group_id"])
+
+    rows = listed.repartition(1).sortWithinPartitions("place", "file", "size").mapInArrow(walk, f"file {kind}, place long, size long, group_id long")
     return rows.withColumn("rewritten", F.count("*").over(Window.partitionBy("group_id")) > 1)
 
 
@@ -99,26 +107,58 @@ def limit_successes(df: DataFrame, n: int, ok: Column, order: list[str]) -> Data
     return df.crossJoin(F.broadcast(last)).filter((F.col("_n") < n) | (place <= F.col("_last"))).drop("_last", "_n")
 
 
-def recent(df: DataFrame, n: int, key: list[str], order: list[str], value: str) -> DataFrame:
-    """df with recent: the values of the last n rows up to each, oldest first."""
-    window = Window.partitionBy(*key).orderBy(*order).rowsBetween(1 - n, 0)
-    return df.withColumn("recent", F.collect_list(value).over(window))
+#: Rows in a row that a window task of one key gets; longer keys are cut.
+STRETCH = 100_000
+
+
+def _stretched(df: DataFrame, key: list[str], order: list[str], size: int) -> DataFrame:
+    """df with _rank, its place by key and order, and _stretch: rows of one key and stretch are neighbours, `size` at most."""
+    return with_rank(df, [*key, *order]).withColumnRenamed("rank", "_rank").withColumn("_stretch", F.floor(F.col("_rank") / size))
+
+
+def recent(df: DataFrame, n: int, key: list[str], order: list[str], value: str, size: int = STRETCH) -> DataFrame:
+    """df with recent: the values of the last n rows up to each, oldest first.
+
+    A key of many rows is cut into stretches, each with the last n - 1 rows of the one before, so no task sorts a key.
+    """
+    own = _stretched(df, key, order, max(size, n))
+    late = F.pmod("_rank", F.lit(max(size, n))) > max(size, n) - n
+    both = own.withColumn("_own", F.explode(F.when(late, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    window = Window.partitionBy(*key, "_at").orderBy("_rank").rowsBetween(1 - n, 0)
+    found = both.withColumn("_at", F.col("_stretch") + F.col("_own")).withColumn("recent", F.collect_list(value).over(window))
+    return found.filter("_own = 0").drop("_own", "_at", "_rank", "_stretch")
 
 
 def trailing_rate(log: DataFrame, seconds: int, most: int, least_gap: float, key: str, ts: str = "ts") -> DataFrame:
-    """log with requests (in the trailing seconds), over_limit and too_close (to the one before)."""
+    """log with requests (in the trailing seconds), over_limit and too_close (to the one before).
+
+    Time is cut into pieces, each with the end of the one before as far as a window reaches, so no task sorts a key.
+    """
+    reach = int(max(seconds, least_gap) * 1_000_000) + 1
+    width = 10 * reach
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    by_time = Window.partitionBy(key).orderBy("_at")
-    out = log.withColumn("_at", micros).withColumn("requests", F.count("*").over(by_time.rangeBetween(-seconds * 1_000_000, 0)))
+    own = log.withColumn("_at", micros).withColumn("_piece", F.floor(F.col("_at") / width))
+    late = F.col("_at") - F.col("_piece") * width >= width - reach
+    both = own.withColumn("_own", F.explode(F.when(late, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).withColumn("_piece", F.col("_piece") + F.col("_own"))
+    by_time = Window.partitionBy(key, "_piece").orderBy("_at")
+    out = both.withColumn("requests", F.count("*").over(by_time.rangeBetween(-seconds * 1_000_000, 0)))
     gap = F.col("_at") - F.lag("_at").over(by_time)
-    return out.withColumn("over_limit", F.col("requests") > most).withColumn("too_close", F.coalesce(gap < int(least_gap * 1_000_000), F.lit(False))).drop("_at")
+    out = out.withColumn("over_limit", F.col("requests") > most).withColumn("too_close", F.coalesce(gap < int(least_gap * 1_000_000), F.lit(False)))
+    return out.filter("_own = 0").drop("_at", "_piece", "_own")
+
 
+def failure_streaks(log: DataFrame, n: int, key: str, order: list[str], ok: Column, size: int = STRETCH) -> DataFrame:
+    """(key, first, last, failures) of runs of n or more failures in a row; a success ends a run.
 
-def failure_streaks(log: DataFrame, n: int, key: str, order: list[str], ok: Column) -> DataFrame:
-    """(key, first, last, failures) of runs of n or more failures in a row; a success ends a run."""
-    by_order = Window.partitionBy(key).orderBy(*order)
-    island = log.withColumn("_ok", ok.cast("int")).withColumn("_island", F.sum("_ok").over(by_order))
-    runs = island.filter("_ok = 0").groupBy(key, "_island").agg(F.min(order[-1]).alias("first"), F.max(order[-1]).alias("last"), F.count("*").alias("failures"))
+    A run is known by the successes before it: those in its stretch of the key, and the sums of the stretches before.
+    """
+    own = materialise(_stretched(log.withColumn("_ok", ok.cast("int")), [key], order, size), "streaks")
+    before = Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    bases = own.groupBy(key, "_stretch").agg(F.sum("_ok").alias("_sum")).select(key, "_stretch", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    within = F.sum("_ok").over(Window.partitionBy(key, "_stretch").orderBy("_rank"))
+    failed = own.withColumn("_within", within).filter("_ok = 0")
+    island = failed.join(bases, [key, "_stretch"]).withColumn("_island", F.col("_base") + F.col("_within"))
+    runs = island.groupBy(key, "_island").agg(F.min(order[-1]).alias("first"), F.max(order[-1]).alias("last"), F.count("*").alias("failures"))
     return runs.filter(F.col("failures") >= n).drop("_island")
 
 

@@ -44,6 +44,14 @@ def identity(df: DataFrame, profile: str, url: str = "SourceURL") -> Column:
     return own
 
 
+def page_ids(df: DataFrame, index: DataFrame | None = None, keys: str = "index") -> DataFrame:
+    """(id): the distinct ids of records by the page profile, and the keys of index maps (column `keys`), if given."""
+    own = df.select(identity(df, "page").alias("id"))
+    if index is not None:
+        own = own.union(index.select(F.explode(F.map_keys(keys)).alias("id")).select(F.col("id").cast("string")))
+    return own.filter("id IS NOT NULL AND id <> ''").distinct()
+
+
 def prepared_identity(df: DataFrame, seq: str, fields: tuple[str, ...] = ("sku", "SKU")) -> Column:
     """Keys of `prepare`; else the sku (of a list its first element, or that element's SKU); else the name with the
     row's place, which never repeats. Sku fields are JSON text, since they are a text, a list or records."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -11,22 +12,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Which element gives a field: (tag or '', class or '', attribute or '' for the text), in order of preference.
-Selector = tuple[str, str, str]
-SPEC: dict[str, list[Selector]] = {
-    "name": [("h1", "product-name", ""), ("", "product-title", ""), ("h1", "", ""), ("title", "", "")],
-    "sku": [("", "product-sku", ""), ("", "sku", "")],
-    "description": [("", "product-description", ""), ("meta", "description", "content"), ("p", "", "")],
-    "price": [("", "product-price", ""), ("", "price", "")],
-    "cpn": [("", "product-cpn", ""), ("", "cpn", "")],
-    "shipping_time": [("", "shipping-time", "")],
-    "origin": [("", "origin", "")],
-    "prop_65": [("", "prop-65", "")],
-    "supplier_name": [("", "supplier-name", "")],
-    "supplier_phone": [("", "supplier-phone", "")],
-    "supplier_fax": [("", "supplier-fax", "")],
+# The selectors of each field of a product page, in order of preference. The subset of CSS is tag, #id, .class,
+# [attribute], [attribute=value], [attribute*=value], a blank for "inside" and a + for "right behind"; @attribute at the
+# end takes that instead of the text.
+SPEC: dict[str, list[str]] = {
+    "name": ["#productDetailsMain h3.text-primary", "h1.product-title", ".product-name h1", "h1[data-product-name]", ".product-header h1", "h1"],
+    "sku": ["span.product-number.ng-binding", "span.product-number", ".product-sku", "[data-product-sku]", ".product-id", 'span[translate*="PRODUCT_NO"]'],
+    "description": ["#productDetailsMain div.product-info p.ng-binding", ".product-description p", ".product-summary p", "[data-product-description]"],
+    "price": [".product-price a.ng-binding", '.product-price a[ng-click*="scrollTo"]', ".product-price .ng-binding", ".product-price strong + a", "[data-product-price]", ".price-range"],
+    "cpn": ["div.product-cpn.ng-binding", ".product-cpn", "[data-product-cpn]"],
+    "shipping_time": ['div[ng-repeat*="ProductionTime"]', ".shipping-time"],
+    "origin": ['p[ng-if*="Origin"]', ".origin"],
+    "prop_65": ['p[ng-repeat*="PROP"]', ".prop-65"],
+    "supplier_name": [".supplier-name"],
+    "supplier_phone": [".supplier-phone"],
+    "supplier_fax": [".supplier-fax"],
 }
-IMAGES: list[Selector] = [("img", "main-image", "src"), ("img", "gallery", "src"), ("img", "", "src")]
+# Selectors of the image list; the first one that any element fits gives it.
+IMAGES = ['#productImages input[type="image"]@src', ".product-images img@src", ".variant-images img@src", "img[data-product-image]@src", "img.main-image@src", "img.gallery@src"]
+#: Fields whose text loses this prefix.
+PREFIXES = {"sku": "Product #:"}
 PARSED = """fields map<string,string>, images array<string>, attributes map<string,array<string>>,
 warnings array<string>, certifications array<string>, rush boolean, supplier_text string, supplier_link string,
 related array<struct<name: string, image: string, id: string>>,
@@ -46,9 +51,10 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         own = {k: v or "" for k, v in attrs}
         names = {*own.get("class", "").split(), *([own["name"]] if tag == "meta" and "name" in own else [])}
-        element = {"tag": tag, "classes": names, "attrs": own, "parts": [], "children": [], "up": self.stack[-1] if self.stack else None}
-        if self.stack:
-            self.stack[-1]["children"].append(element)
+        up = self.stack[-1] if self.stack else None
+        element = {"tag": tag, "classes": names, "attrs": own, "parts": [], "children": [], "up": up, "before": up["children"][-1] if up and up["children"] else None}
+        if up:
+            up["children"].append(element)
         self.elements.append(element)
         if tag not in VOID:
             self.stack.append(element)
@@ -76,10 +82,86 @@ def _text(e: dict) -> str:
     return " ".join("".join(e["parts"]).split())
 
 
-def _select(elements: list[dict], selector: Selector) -> list[str]:
-    tag, cls, attribute = selector
-    found = (e for e in elements if (not tag or e["tag"] == tag) and (not cls or cls in e["classes"]))
-    return [v for e in found if (v := (e["attrs"].get(attribute, "") if attribute else _text(e)).strip())]
+_COMPOUND = re.compile(r"""([\w-]+)|#([\w-]+)|\.([\w-]+)|\[\s*([\w-]+)\s*(?:(\*?=)\s*(?:"([^"]*)"|'([^']*)'|([^\]\s]+)))?\s*\]""")
+
+
+@lru_cache(1024)
+def selector(text: str) -> tuple[tuple[tuple[str, tuple], ...], str]:
+    """((relation to the one before, conditions), ...) of a selector, and the attribute that it takes ('': the text)."""
+    m = re.fullmatch(r"""((?:[^@"'\[]|"[^"]*"|'[^']*'|\[[^\]]*\])*)(?:@([\w-]+))?""", text.strip())
+    if m is None:
+        raise ValueError(f"no selector: {text}")
+    out, relation = [], " "
+    for part in re.findall(r"""(?:\[[^\]]*\]|[^\s\[])+""", m[1]):
+        if part == "+":
+            relation = "+"
+            continue
+        found, at = [], 0
+        for c in _COMPOUND.finditer(part):
+            if c.start() != at:
+                raise ValueError(f"no selector: {text}")
+            at = c.end()
+            value = next((x for x in c.groups()[5:] if x is not None), "")
+            found.append(("tag", c[1]) if c[1] else ("id", c[2]) if c[2] else ("class", c[3]) if c[3] else ("attribute", c[4], c[5], value))
+        if at != len(part):
+            raise ValueError(f"no selector: {text}")
+        out.append((relation, tuple(found)))
+        relation = " "
+    return tuple(out), m[2] or ""
+
+
+def _fits(e: dict, conditions: tuple) -> bool:
+    for c in conditions:
+        kind, own = c[0], c[1]
+        if kind == "tag" and e["tag"] != own.lower() or kind == "id" and e["attrs"].get("id") != own or kind == "class" and own not in e["classes"]:
+            return False
+        if kind == "attribute":
+            value = e["attrs"].get(own.lower())
+            if value is None or c[2] == "=" and value != c[3] or c[2] == "*=" and c[3] not in value:
+                return False
+    return True
+
+
+def _matches(e: dict, parts: tuple, last: int) -> bool:
+    """Whether the parts of a selector up to `last` lead to this element."""
+    relation, conditions = parts[last]
+    if not _fits(e, conditions):
+        return False
+    if last == 0:
+        return True
+    if relation == "+":
+        return e["before"] is not None and _matches(e["before"], parts, last - 1)
+    up = e["up"]
+    while up is not None:
+        if _matches(up, parts, last - 1):
+            return True
+        up = up["up"]
+    return False
+
+
+def select(elements: list[dict], text: str) -> list[dict]:
+    """The elements that a selector fits, in page order."""
+    parts, _ = selector(text)
+    return [e for e in elements if _matches(e, parts, len(parts) - 1)]
+
+
+def _value(e: dict, text: str) -> str:
+    attribute = selector(text)[1]
+    return (e["attrs"].get(attribute, "") if attribute else _text(e)).strip()
+
+
+def first_value(elements: list[dict], selectors: list[str], prefix: str = "") -> str | None:
+    """What the first selector gives whose first element is not empty."""
+    for text in selectors:
+        parts, _ = selector(text)
+        e = next((e for e in elements if _matches(e, parts, len(parts) - 1)), None)
+        if e is not None and (v := _value(e, text).replace(prefix, "").strip() if prefix else _value(e, text)):
+            return v
+    return None
+
+
+def _texts(elements: list[dict], cls: str) -> list[str]:
+    return [t for e in elements if cls in e["classes"] and (t := _text(e))]
 
 
 def _within(e: dict, cls: str) -> bool:
@@ -131,39 +213,56 @@ def _inside(e: dict, table: dict) -> bool:
     return up is table
 
 
-def parse_page(page: str | None) -> dict | None:
-    """What PARSED names, of one page; None for null."""
+def parse_page(page: str | None, spec: dict[str, list[str]] = SPEC, images: list[str] = IMAGES, wanted: frozenset[str] | None = None) -> dict | None:
+    """What PARSED names, of one page; None for null. With `wanted`, only those of its names are looked for."""
     if page is None:
         return None
     tree = _Tree()
     tree.feed(page)
     tree.close()
-    es = tree.elements
-    fields = {k: v for k, spec in SPEC.items() if (v := next((x for s in spec for x in _select(es, s)), None))}
-    images = next((list(dict.fromkeys(x)) for s in IMAGES if (x := _select(es, s))), [])
-    attributes: dict[str, list[str]] = {}
-    for e in es:
-        if "attribute" in e["classes"]:
-            label = next((_text(c).rstrip(":") for c in e["children"] if "label" in c["classes"]), "")
-            if label:
-                attributes.setdefault(label, []).extend(_text(c) for c in e["children"] if "value" in c["classes"] and _text(c))
-    supplier = " ".join(_text(e) for e in es if "supplier" in e["classes"])
-    link = next((e["attrs"]["href"] for e in es if e["tag"] == "a" and e["attrs"].get("href", "").startswith("http") and _within(e, "supplier")), None)
-    related = []
-    for e in es:
-        if "related-item" in e["classes"]:
-            image = next((c["attrs"].get("src", "") for c in es if c["tag"] == "img" and c["up"] is not None and _within_element(c, e)), "")
-            digits = re.search(r"/(\d+)", image)
-            related.append({"name": _text(e), "image": image, "id": digits[1] if digits else None})
-    data = next((e["attrs"]["data-product"] for e in es if e["attrs"].get("data-product")), None)
-    number = next((n[1] for e in es if (n := re.search(r'"[Nn]umber"\s*:\s*"?([\w-]+)', e["attrs"].get("data-product", "")))), None)
-    if number is None and fields.get("sku", "").isdigit():
-        number = fields["sku"]
-    return {
-        "fields": fields, "images": images, "attributes": attributes, "warnings": _select(es, ("", "warning", "")), "certifications": _select(es, ("", "certification", "")),
-        "rush": any("rush-available" in e["classes"] for e in es), "supplier_text": supplier, "supplier_link": link, "related": related,
-        "prices": [{"label": a, "quantity": q, "price": p, "discount_code": c} for a, q, p, c in price_grid(es)], "product_json": data, "product_number": number,
-    }
+    es, want = tree.elements, lambda name: wanted is None or name in wanted
+    out = dict(NOTHING)
+    if want("fields") or want("product_number"):
+        out["fields"] = {k: v for k, own in spec.items() if (v := first_value(es, own, PREFIXES.get(k, "")))}
+    if want("images"):
+        for text in images:
+            if found := select(es, text):
+                out["images"] = list(dict.fromkeys(v for e in found if (v := _value(e, text))))
+                break
+    if want("attributes"):
+        own: dict[str, list[str]] = {}
+        for e in es:
+            if "attribute" in e["classes"]:
+                label = next((_text(c).rstrip(":") for c in e["children"] if "label" in c["classes"]), "")
+                if label:
+                    own.setdefault(label, []).extend(_text(c) for c in e["children"] if "value" in c["classes"] and _text(c))
+        out["attributes"] = own
+    if want("warnings"):
+        out["warnings"] = _texts(es, "warning") + [t for e in select(es, 'p[ng-repeat*="SWCH"]') if (t := _text(e))]
+    if want("certifications"):
+        out["certifications"] = _texts(es, "certification") + [t for e in select(es, 'p[ng-if*="Certifications"]') if (t := _text(e))]
+    if want("rush"):
+        out["rush"] = any("rush-available" in e["classes"] for e in es) or bool(select(es, 'p[ng-if*="HasRushService"]'))
+    if want("supplier_text"):
+        out["supplier_text"] = " ".join(_texts(es, "supplier"))
+    if want("supplier_link"):
+        out["supplier_link"] = next((e["attrs"]["href"] for e in es if e["tag"] == "a" and e["attrs"].get("href", "").startswith("http") and _within(e, "supplier")), None)
+    if want("related"):
+        related = []
+        for e in es:
+            if "related-item" in e["classes"]:
+                image = next((c["attrs"].get("src", "") for c in es if c["tag"] == "img" and c["up"] is not None and _within_element(c, e)), "")
+                digits = re.search(r"/(\d+)", image)
+                related.append({"name": _text(e), "image": image, "id": digits[1] if digits else None})
+        out["related"] = related
+    if want("prices"):
+        out["prices"] = [{"label": a, "quantity": q, "price": p, "discount_code": c} for a, q, p, c in price_grid(es)]
+    if want("product_json"):
+        out["product_json"] = next((e["attrs"]["data-product"] for e in es if e["attrs"].get("data-product")), None)
+    if want("product_number"):
+        number = next((n[1] for e in es if (n := re.search(r'"[Nn]umber"\s*:\s*"?([\w-]+)', e["attrs"].get("data-product", "")))), None)
+        out["product_number"] = out["fields"]["sku"] if number is None and out["fields"].get("sku", "").isdigit() else number
+    return out
 
 
 def _within_element(e: dict, top: dict) -> bool:
@@ -179,27 +278,31 @@ NAMES = ("fields", "images", "attributes", "warnings", "certifications", "rush",
 NOTHING = {"fields": {}, "images": [], "attributes": {}, "warnings": [], "certifications": [], "rush": False, "supplier_text": "", "related": [], "prices": []}
 
 
-def parsed(html: Column) -> Column:
-    """What PARSED names, as a struct."""
+def parsed(html: Column, spec: dict[str, list[str]] = SPEC, images: list[str] = IMAGES, wanted: frozenset[str] | None = None) -> Column:
+    """What PARSED names, as a struct. A page is parsed once, whatever is made of the struct: the function counts as
+    nondeterministic, so the optimiser neither repeats it nor moves a filter over it."""
+    for own in [*spec.values(), images]:
+        for text in own:
+            selector(text)  # a bad one fails here
 
     @F.pandas_udf(PARSED)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for pages in batches:
-            rows = [parse_page(p) or NOTHING for p in pages]
+            rows = [parse_page(p, spec, images, wanted) or NOTHING for p in pages]
             yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=bool if n == "rush" else object) for n in NAMES})
 
-    return run(html)
+    return run.asNondeterministic()(html)
 
 
-def extract_pages(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+def extract_pages(pages: DataFrame, spec: dict[str, list[str]] = SPEC, images: list[str] = IMAGES, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """keep columns (page_id and url by default) with the typed fields of each page; nulls and empty lists for what a
-    page does not have."""
-    own = pages.select(*(keep or ["page_id", "url"]), html, parsed(F.col(html)).alias("p"))
+    page does not have. `spec` names the fields and their selectors, `images` those of the image list."""
+    own = pages.select(*(keep or ["page_id", "url"]), html, parsed(F.col(html), spec, images).alias("p"))
     f = F.col("p.fields")
     image = F.transform("p.images", lambda x: clean_image(x))
     return own.select(
         *(keep or ["page_id", "url"]),
-        *[f[k].alias(k) for k in SPEC],
+        *[f[k].alias(k) for k in spec],
         F.array_distinct(image).alias("images"),
         F.coalesce(F.try_element_at(image, F.lit(1)), F.lit("N/A")).alias("main_image"),
         F.col("p.attributes").alias("attributes"),
@@ -213,10 +316,15 @@ def extract_pages(pages: DataFrame, html: str = "html", keep: list[str] | None =
         update_date(F.col(html)).alias("update_date"),
         F.col("p.product_json").alias("product_json"),
         F.col("p.product_number").alias("product_number"),
-        art_template(F.col(html)).alias("art_template"),
     )
 
 
+def price_rows(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """keep columns with a row for each price of the page's tables: label, quantity, price, discount_code."""
+    own = pages.select(*(keep or ["page_id"]), parsed(F.col(html), {}, [], frozenset({"prices"})).alias("p"))
+    return own.select(*(keep or ["page_id"]), F.explode("p.prices").alias("p")).select(*(keep or ["page_id"]), "p.*")
+
+
 def _found(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -239,18 +347,54 @@ def clean_image(url: Column) -> Column:
     return F.replace(F.when(url.startswith("//"), F.concat(F.lit("https:"), url)).otherwise(url), F.lit("/400/"), F.lit("/"))
 
 
-# Where pages name the art template, in order.
-ART = (r'"artTemplateUrl"\s*:\s*"([^"]+)"', r'data-art-template="([^"]+)"', r"""href=["']([^"']*art[-_]?template[^"']*)["']""")
+def _exactly(c: Column) -> Column:
+    """A column's text as a pattern for itself."""
+    return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("")), F.lit("\\E"))
+
+
+def _pattern(base: str, *parts: str | Column) -> Column:
+    return F.concat(_exactly(F.lit(base.rstrip("/"))), *[F.lit(p) if isinstance(p, str) else _exactly(F.coalesce(p, F.lit(""))) for p in parts])
+
+
+def links(html: Column) -> Column:
+    """The targets of a page's links, in order."""
+    return F.regexp_extract_all(html, F.lit(r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
+
+
+def art_template(html: Column, number: Column, base: str) -> Column:
+    """URL of the art template of a product: the first of three forms below `base` that holds its number, else the first
+    link to a template or download that does, made absolute. Null if there is none, or no number."""
+    # The three forms, in order.
+    forms = [("/fs/artTemplates/", number, r'/[^"\s]+'), ("/artTemplates/", number, r'/[^"\s]+'), (r'/fs/artTemplates/[^"\s]*', number, r'[^"\s]*')]
+    named = [F.regexp_substr(html, _pattern(base, *form)) for form in forms]
+    link = F.try_element_at(F.filter(links(html), lambda x: x.contains(number) & (x.contains("artTemplates") | x.contains("download"))), F.lit(1))
+    return F.when(number != "", F.coalesce(*named, absolute(link, base)))
+
+
+def absolute(url: Column, base: str) -> Column:
+    host = base.rstrip("/")
+    return F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), url).when(url.startswith("//"), F.concat(F.lit(host.split("//")[0]), url)).when(url.startswith("/"), F.concat(F.lit(host), url)).otherwise(F.concat(F.lit(host + "/"), url))
 
 
-def art_template(html: Column) -> Column:
-    return F.coalesce(*[_found(F.regexp_extract(html, f"(?i){p}", 1)) for p in ART])
+def color_images(html: Column, number: Column, colors: Column, base: str, most: int = 5) -> Column:
+    """array<struct<color, color_code, vendor_code, sku, images>>: for each of colors (array<struct<Name, VendorCode, SKU, Code>>)
+    with a vendor code or SKU the images below `base` that are named by it, distinct, `most` at most (the field's size);
+    colors without images are left out."""
+    host = re.sub(r"^\w+://(www\.)?", "", base.rstrip("/"))
 
+    def of(c: Column) -> Column:
+        own, name = F.coalesce(_found(c["VendorCode"]), _found(c["SKU"])), F.coalesce(c["Name"], F.lit(""))
+        # How images are named, in order.
+        forms = [
+            ("/imageManager/show/", number, "_", own, "_"), ("/imageManager/show/", own, "_"), ("/imageManager/show/", number, "_", name, "_"),
+            ("/fs/images/", number, "_", own, "_"), ("/fs/images/", own, "_"),
+        ]
+        named = [F.regexp_extract_all(html, _pattern(base, *form, r'[^"\s]+\.(jpg|png)'), F.lit(0)) for form in forms]
+        shown = F.filter(F.regexp_extract_all(html, F.lit(r'<img[^>]+src="([^"]*)"[^>]*>'), F.lit(1)), lambda x: x.contains(host) & (x.contains(own) | F.lower(x).contains(F.lower(name))))
+        images = F.when(own.isNull() | html.isNull(), F.array().cast("array<string>")).otherwise(F.slice(F.array_distinct(F.concat(*named, shown)), 1, most))
+        return F.struct(name.alias("color"), c["Code"].alias("color_code"), c["VendorCode"].alias("vendor_code"), c["SKU"].alias("sku"), images.alias("images"))
 
-def color_images(html: Column, color: Column, most: int = 5) -> Column:
-    """Whole URLs of images whose name holds the color, distinct, at most `most` (the field's size)."""
-    every = F.regexp_extract_all(html, F.lit(r"""(https?://[^\s"'<>]+\.(?:jpg|jpeg|png|gif|webp))"""), F.lit(1))
-    return F.slice(F.array_distinct(F.filter(every, lambda x: F.lower(x).contains(F.replace(F.lower(color), F.lit(" "), F.lit("-"))))), 1, most)
+    return F.filter(F.transform(colors, of), lambda x: F.size(x["images"]) > 0)
 
 
 def update_date(html: Column) -> Column:

@@ -9,15 +9,19 @@ from skeinwork.functions.columns import first_truthy
 
 
 def validate_lines(parsed: DataFrame) -> DataFrame:
-    """Per file: valid, invalid and total non-blank lines and the numbers of the invalid ones (needs line_no)."""
+    """Per file: valid, invalid and total non-blank lines; invalid_lines has the numbers of the invalid ones."""
     return parsed.groupBy("file").agg(
         F.count_if("valid").alias("valid_lines"),
         F.count_if(~F.col("valid")).alias("invalid_lines"),
         F.count("*").alias("total_lines"),
-        F.sort_array(F.collect_list(F.when(~F.col("valid"), F.col("line_no")))).alias("invalid_line_numbers"),
     )
 
 
+def invalid_lines(parsed: DataFrame) -> DataFrame:
+    """(file, line_no): a row for each invalid line, so that a file of bad lines alone fills no row."""
+    return parsed.filter(~F.col("valid")).select("file", "line_no")
+
+
 def validate_files(parsed: DataFrame) -> DataFrame:
     """Per file: products (valid lines), errors and whether it is valid."""
     files = parsed.groupBy("file").agg(F.count_if("valid").alias("products"), F.count_if(~F.col("valid")).alias("errors"))

@@ -24,10 +24,19 @@ def supplier_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("file")).agg(F.count_distinct("l_partkey").alias("size")).select("file", F.col("file").alias("place"), "size")
 
 
-def compaction_sql(where: str) -> str:
-    return f"""WITH RECURSIVE f AS (SELECT *, row_number() OVER (ORDER BY place) AS n FROM ({SIZES}) WHERE {where}),
+#: Sizes that differ from supplier to supplier, some below the bound of the smaller variant and some above.
+VARIED = f"SELECT file, place, size % 97 + 1 AS size FROM ({SIZES})"
+SMALL, SMALL_CAP = 60, 150
+
+
+def varied_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return supplier_sizes(spark, sf_dir).withColumn("size", F.col("size") % 97 + 1)
+
+
+def compaction_sql(where: str, sizes: str = SIZES, cap: int = CAP) -> str:
+    return f"""WITH RECURSIVE f AS (SELECT *, row_number() OVER (ORDER BY place) AS n FROM ({sizes}) WHERE {where}),
   w AS (SELECT file, place, size, n, 1::BIGINT AS group_id, size::BIGINT AS total FROM f WHERE n = 1
-    UNION ALL SELECT f.file, f.place, f.size, f.n, w.group_id + (w.total + f.size > {CAP})::BIGINT, CASE WHEN w.total + f.size > {CAP} THEN f.size ELSE w.total + f.size END FROM w JOIN f ON f.n = w.n + 1)
+    UNION ALL SELECT f.file, f.place, f.size, f.n, w.group_id + (w.total + f.size > {cap})::BIGINT, CASE WHEN w.total + f.size > {cap} THEN f.size ELSE w.total + f.size END FROM w JOIN f ON f.n = w.n + 1)
   SELECT file, place, size, group_id, count(*) OVER (PARTITION BY group_id) > 1 AS rewritten FROM w"""
 
 
@@ -66,9 +75,9 @@ def w7_plan_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.plan_compaction(supplier_sizes(spark, sf_dir), CAP)
 
 
-@query(compaction_sql(f"size < {CAP // 2}"))
+@query(compaction_sql(f"size < {SMALL}", VARIED, SMALL_CAP))
 def w7_plan_small_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.plan_compaction(supplier_sizes(spark, sf_dir), CAP, CAP // 2)
+    return W.plan_compaction(varied_sizes(spark, sf_dir), SMALL_CAP, SMALL)
 
 
 @query(f"SELECT *, row_number() OVER (ORDER BY file) - 1 AS index FROM ({FILES}) QUALIFY index >= 20 AND index < 45")

@@ -9,6 +9,7 @@ from skeinwork.operators import analysis as A
 from skeinwork.operators import batching as W
 from skeinwork.operators import dedup as D
 from skeinwork.operators import identity as K
+from skeinwork.plans.batching import SMALL, SMALL_CAP, VARIED, compaction_sql, varied_sizes
 from skeinwork.plans.registry import query
 from skeinwork.sources.sinks import merge_catalogs
 from skeinwork.sources.storage import table
@@ -75,10 +76,12 @@ def d8_catalog_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.catalog_index(keyed(spark, sf_dir), "key", "seq")
 
 
-@query("SELECT user_id, array_to_string(list_distinct_ordered, '|') AS kinds FROM (SELECT user_id, list(event_type ORDER BY first) AS list_distinct_ordered FROM (SELECT user_id, event_type, min(event_id) AS first FROM events GROUP BY 1, 2) GROUP BY 1)")
+@query("SELECT user_id, page, array_to_string(list_distinct_ordered, '|') AS kinds FROM (SELECT user_id, page, list(event_type ORDER BY first) AS list_distinct_ordered FROM (SELECT user_id, event_id // 5000 AS page, event_type, min(event_id) AS first FROM events GROUP BY 1, 2, 3) GROUP BY 1, 2)")
 def d9_array_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))).alias("e"))
-    return rows.select("user_id", F.array_join(F.array_distinct(F.col("e.event_type")), "|").alias("kinds"))
+    """The kinds of event of each user and five thousand event ids, in order; an array holds that many at most."""
+    page = F.floor(F.col("event_id") / 5000).alias("page")
+    rows = table(spark, sf_dir, "events").groupBy("user_id", page).agg(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))).alias("e"))
+    return rows.select("user_id", "page", F.array_join(F.array_distinct(F.col("e.event_type")), "|").alias("kinds"))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')")
@@ -87,16 +90,14 @@ def d10_skip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.skip_processed(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), done, "o_custkey")
 
 
-@query("""WITH f AS (SELECT doc_id AS file, doc_id = min(doc_id) OVER (PARTITION BY md5(text)) AS kept FROM documents),
-  r AS (SELECT l_suppkey, count(DISTINCT l_partkey) AS size FROM lineitem GROUP BY 1)
-  SELECT (SELECT count(*) FROM f) AS files, (SELECT count(*) FILTER (NOT kept) FROM f) AS files_removed, (SELECT count(*) FROM r WHERE size < 0) AS files_consolidated,
+@query(f"""WITH f AS (SELECT doc_id AS file, doc_id = min(doc_id) OVER (PARTITION BY md5(text)) AS kept FROM documents), p AS ({compaction_sql(f"size < {SMALL}", VARIED, SMALL_CAP)})
+  SELECT (SELECT count(*) FROM f) AS files, (SELECT count(*) FILTER (NOT kept) FROM f) AS files_removed, (SELECT count(*) FILTER (rewritten) FROM p) AS files_consolidated,
   (SELECT count(*) FROM documents) AS rows_before, (SELECT count(DISTINCT md5(text)) FROM documents) AS rows_after, (SELECT count(*) - count(DISTINCT md5(text)) FROM documents) AS rows_removed""")
 def a8_cleanup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: identical ones go; no supplier is under the size below which files are merged."""
+    """Documents as files: identical ones go; small suppliers are merged."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), F.md5(F.col("text").cast("binary")).alias("md5"))
     files = D.dedup_files(docs)
-    sizes = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count_distinct("l_partkey").alias("size")).select(F.col("l_suppkey").alias("file"), F.col("l_suppkey").alias("place"), "size")
-    return A.cleanup_report(files, W.plan_compaction(sizes, 0, 0), docs, D.dedup_first(docs, ["md5"], "file"))
+    return A.cleanup_report(files, W.plan_compaction(varied_sizes(spark, sf_dir), SMALL_CAP, SMALL), docs, D.dedup_first(docs, ["md5"], "file"))
 
 
 @query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_totalprice + 1 FROM orders WHERE o_orderstatus <> 'F'")

@@ -30,6 +30,34 @@ def k1_identity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("p_partkey", *[K.identity(own, n).alias(n) for n in names])
 
 
+CAMEL = """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'P' || p_partkey END AS pid, CASE WHEN p_partkey % 8 IN (0, 1) THEN 0 ELSE p_partkey END AS id,
+  CASE WHEN p_partkey % 16 IN (0, 1) THEN 'https://shop.example.com/x' ELSE 'https://shop.example.com/?a=1&productID=' || p_partkey || 'x' END AS url FROM part"""
+
+
+def camel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with ProductID, id and SourceURL, each missing or empty by a rule of the part's key."""
+    k = F.col("p_partkey")
+    pid = F.when(k % 4 == 0, "").when(k % 4 == 1, F.lit(None)).otherwise(F.concat(F.lit("P"), k))
+    url = F.when((k % 16).isin(0, 1), "https://shop.example.com/x").otherwise(F.concat(F.lit("https://shop.example.com/?a=1&productID="), k, F.lit("x")))
+    return table(spark, sf_dir, "part").select("p_partkey", pid.alias("ProductID"), F.when((k % 8).isin(0, 1), 0).otherwise(k).alias("id"), url.alias("SourceURL"))
+
+
+@query(f"""SELECT p_partkey, coalesce(nullif(pid, ''), nullif(id, 0)::VARCHAR, nullif(regexp_extract(url, 'productID=(\\d+)', 1), '')) AS page, nullif(pid, '') AS sync, coalesce(nullif(pid, ''), nullif(id, 0)::VARCHAR, '?') AS probe,
+  coalesce(nullif(pid, ''), nullif(id, 0)::VARCHAR) AS "import" FROM ({CAMEL})""")
+def k1_camel_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiles that ask for ProductID, down to the number in the URL and the default."""
+    own = camel(spark, sf_dir)
+    return own.select("p_partkey", *[K.identity(own, n).alias(n) for n in ("page", "sync", "probe", "import")])
+
+
+@query(f"""SELECT DISTINCT id FROM (SELECT coalesce(nullif(pid, ''), nullif(id, 0)::VARCHAR, nullif(regexp_extract(url, 'productID=(\\d+)', 1), '')) AS id FROM ({CAMEL}) UNION ALL SELECT 'P' || s_suppkey FROM supplier UNION ALL SELECT 'S' || s_suppkey FROM supplier) WHERE id IS NOT NULL""")
+def k1_page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of page records and of the keys of an index map, some of which the records have as well."""
+    key = F.col("s_suppkey")
+    index = table(spark, sf_dir, "supplier").select(F.create_map(F.concat(F.lit("P"), key), F.lit("a"), F.concat(F.lit("S"), key), F.lit("b")).alias("index"))
+    return K.page_ids(camel(spark, sf_dir), index)
+
+
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'X' || p_partkey WHEN 1 THEN p_brand WHEN 2 THEN 'P' || p_partkey ELSE p_name || '_' || p_partkey END AS key FROM part")
 def k3_prepared_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")

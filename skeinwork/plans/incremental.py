@@ -29,6 +29,14 @@ def event_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def ordered_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the damaged lines in one file per event type, in order of the event's id."""
+    path = fresh_path(spark, "ordered")
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", F.expr(DAMAGE).alias("value"))
+    rows.repartition("event_type").sortWithinPartitions("event_type", "event_id").drop("event_id").write.partitionBy("event_type").text(path)
+    return path
+
+
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = S.read_lines(spark, event_lines(spark, sf_dir), recursive=True)
     return S.parse_lines(lines).withColumn("file", F.regexp_extract("file", "event_type=([^/]*)", 1))
@@ -58,10 +66,11 @@ def s3_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'https://shop.example.com/' || event_id AS url, event_id::VARCHAR AS id, CASE WHEN event_id % 3 = 0 THEN 'N/A' ELSE event_type END AS name FROM events WHERE event_id > 0")
 def s4_flatten_search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as results of search responses, one response per user; half of them hold d as JSON text."""
+    """Events as results of search responses, one for each user and thousand of event ids, so that none grows without
+    bound; half of them hold d as JSON text."""
     events = table(spark, sf_dir, "events")
     result = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.col("event_id").alias("Id")))).otherwise(F.to_json(F.struct(F.col("event_id").alias("ProductId"), F.col("event_type").alias("ProductName"))))
-    body = events.groupBy("user_id").agg(F.concat(F.lit('{"Results":['), F.array_join(F.collect_list(result), ","), F.lit("]}")).alias("d"))
+    body = events.groupBy("user_id", F.floor(F.col("event_id") / 1000)).agg(F.concat(F.lit('{"Results":['), F.array_join(F.collect_list(result), ","), F.lit("]}")).alias("d"))
     response = F.when(F.col("user_id") % 2 == 0, F.concat(F.lit('{"d":'), "d", F.lit("}"))).otherwise(F.to_json(F.struct("d")))
     return S.flatten_search_results(body.select(response.alias("response")), "https://shop.example.com/{id}")
 
@@ -76,14 +85,11 @@ def s6_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("SELECT event_type AS file, count(*) AS digests, count(DISTINCT md5(" + DAMAGE + ")) > 0 AS any FROM events GROUP BY 1")
+@query(f"SELECT event_type AS file, md5(content) AS md5, strlen(content) AS bytes, TRUE AS dated FROM (SELECT event_type, string_agg({DAMAGE}, chr(10) ORDER BY event_id) || chr(10) AS content FROM events GROUP BY 1)")
 def s7_scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of lines with their size and digest, counted back to lines through the lines read from them."""
-    path = event_lines(spark, sf_dir)
-    files = S.scan_files(spark, f"{path}/*", "*.txt").filter("bytes > 0")
-    lines = S.read_lines(spark, path, recursive=True).groupBy("file").count()
-    own = files.select(F.regexp_extract("file", "[^/]*/[^/]*$", 0).alias("name"), "md5").join(lines.select(F.regexp_extract("file", "[^/]*/[^/]*$", 0).alias("name"), "count"), "name")
-    return own.groupBy(F.regexp_extract("name", "event_type=([^/]*)", 1).alias("file")).agg(F.sum("count").alias("digests"), (F.count_distinct("md5") > 0).alias("any"))
+    """One file of lines per event type, with its size, digest and whether it has a date."""
+    files = S.scan_files(spark, f"{ordered_lines(spark, sf_dir)}/*", "*.txt").filter("bytes > 0")
+    return files.select(F.regexp_extract("file", "event_type=([^/]*)", 1).alias("file"), "md5", "bytes", (F.col("modified") > "2020-01-01").alias("dated"))
 
 
 @query("SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F'")
@@ -95,17 +101,23 @@ def s8_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.append_new(orders.select(F.col("o_orderkey").alias("id")), path, "id")
 
 
-@query("SELECT 0 AS file_no, count(*) FILTER (event_type = 'click' AND event_id % 10 IN (3, 5, 6, 7, 8, 9)) AS n FROM events UNION ALL SELECT 1, count(*) FILTER (event_type = 'view' AND event_id % 10 IN (3, 5, 6, 7, 8, 9)) FROM events")
+@query("SELECT dense_rank() OVER (ORDER BY event_type) - 1 AS file_no, count(*) FILTER (event_id % 10 IN (3, 5, 6, 7, 8, 9)) AS n FROM events GROUP BY event_type")
 def s9_union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event types' files, in the order of their names."""
     path = event_lines(spark, sf_dir)
-    return S.union_files(spark, [f"{path}/event_type=click", f"{path}/event_type=view"]).groupBy("file_no").agg(F.count("*").alias("n"))
+    types = [r[0] for r in table(spark, sf_dir, "events").select("event_type").distinct().orderBy("event_type").collect()]  # a row a file
+    return S.union_files(spark, [f"{path}/event_type={t}" for t in types]).groupBy("file_no").agg(F.count("*").alias("n"))
 
 
-@query("SELECT count(*) FILTER (event_type = 'click') AS lines FROM events")
+@query("SELECT event_type AS kind, count(*) AS lines FROM events WHERE event_id % 3 <> 0 GROUP BY 1")
 def s10_file_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the files whose name fits are read."""
-    path = event_lines(spark, sf_dir)
-    return S.read_lines(spark, f"{path}/event_type=click", "part-*.txt").agg(F.count("*").alias("lines"))
+    """Only the files whose name fits are read: a third of the events lies in files of another ending beside them."""
+    path = fresh_path(spark, "filtered")
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", F.lit("line").alias("value"))
+    rows.filter("event_id % 3 <> 0").drop("event_id").write.partitionBy("event_type").text(path)
+    rows.filter("event_id % 3 = 0").drop("event_id").write.mode("append").option("compression", "gzip").partitionBy("event_type").text(path)
+    lines = S.read_lines(spark, path, "part-*.txt", recursive=True)
+    return lines.groupBy(F.regexp_extract("file", "event_type=([^/]*)", 1).alias("kind")).agg(F.count("*").alias("lines"))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -133,7 +145,14 @@ def s13_read_id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT event_type AS file, count(*) FILTER (NOT ({BAD})) AS valid_lines, count(*) FILTER ({BAD}) AS invalid_lines, count(*) AS total_lines FROM events WHERE event_id % 10 <> 4 GROUP BY 1")
 def v1_validate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsed_lines(spark, sf_dir).withColumn("line_no", F.col("row"))
-    return V.validate_lines(parsed).drop("invalid_line_numbers")
+    return V.validate_lines(parsed)
+
+
+@query(f"SELECT event_type AS file, line_no FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line_no FROM events) WHERE {BAD}")
+def v1_invalid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the invalid lines; blank lines count."""
+    parsed = S.parse_lines(S.with_line_no(S.read_lines(spark, ordered_lines(spark, sf_dir), recursive=True)))
+    return V.invalid_lines(parsed).select(F.regexp_extract("file", "event_type=([^/]*)", 1).alias("file"), F.col("line_no").cast("long").alias("line_no"))
 
 
 @query(f"SELECT count(DISTINCT event_type) AS files, count(DISTINCT event_type) FILTER ({BAD}) AS invalid_files, count(*) FILTER (NOT ({BAD})) AS products FROM events WHERE event_id % 10 <> 4")
@@ -147,25 +166,35 @@ def v3_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("file", "value")
 
 
+def event_files(spark: SparkSession, sf_dir: str, name: str, files: int) -> str:
+    """A folder of so many files, each with the events of one remainder of the id."""
+    path = fresh_path(spark, name)
+    for i in range(files):
+        table(spark, sf_dir, "events").filter(F.col("event_id") % files == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query("SELECT DISTINCT user_id FROM events")
 def t1_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The users of the event stream, each once; a second run over the same files adds nothing."""
-    path = fresh_path(spark, "ingested")
+    """The users of the event stream, each once, from four files in four micro-batches, so that most were seen in an earlier
+    file; a second run over the same files adds nothing."""
+    path, source = fresh_path(spark, "ingested"), event_files(spark, sf_dir, "arriving", 4)
     schema = table(spark, sf_dir, "events").schema
     for _ in range(2):
-        stream = T.read_stream(spark, f"{sf_dir}/events.parquet*", schema).select("user_id")
+        stream = T.read_stream(spark, source, schema, files_per_batch=1).select("user_id")
         T.ingest(T.seen_once(stream, "user_id"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+@query("SELECT file, (rank - 1) // 300 + 1 AS flush, count(*) AS n, min(event_id) AS first FROM (SELECT event_id % 3 AS file, event_id, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS rank FROM events) GROUP BY 1, 2")
 def t2_publish_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch of the stream is published as a folder of its own."""
-    path = fresh_path(spark, "micro")
-    stream = T.read_stream(spark, f"{sf_dir}/events.parquet*", table(spark, sf_dir, "events").schema, files_per_batch=1)
-    publish = lambda batch, number: batch.select("event_type").write.mode("overwrite").parquet(f"{path}/out/batch={number}")
-    T.publish_batches(stream, publish, f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out").groupBy("event_type").agg(F.count("*").alias("n"))
+    """Three files arrive one after the other; of each, every 300 events are published, and then the remainder."""
+    path, source = fresh_path(spark, "micro"), event_files(spark, sf_dir, "arriving", 3)
+    stream = T.read_stream(spark, source, table(spark, sf_dir, "events").schema, files_per_batch=1)
+    publish = lambda batch, number: batch.select("event_id", F.col("batch_id").alias("flush")).write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+    T.publish_batches(stream, publish, f"{path}/checkpoint", 300, ["event_id"]).awaitTermination()
+    out = spark.read.parquet(f"{path}/out").groupBy("batch", "flush").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.min(F.col("event_id") % 3).alias("file"))
+    return out.select("file", "flush", "n", "first")
 
 
 @query("SELECT event_id FROM events")

@@ -102,7 +102,7 @@ def p15_select_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as images of their customer: the first is the main one, the others variants."""
     keys = F.transform(F.sort_array(F.collect_list("o_orderkey")), lambda x: x.cast("string"))
     rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(keys.alias("k"))
-    images = P.select_images(F.col("k")[0], F.slice("k", 2, 1000), F.lit(None).cast("array<string>"))
+    images = P.select_images(F.col("k")[0], F.slice("k", F.lit(2), F.size("k")), F.lit(None).cast("array<string>"))
     return rows.select("o_custkey", images.alias("i")).select("o_custkey", "i.featured", "i.gallery")
 
 
@@ -144,7 +144,7 @@ def p19_price_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p20_pricing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the parts has tables of its own, some of all parts but another third those of variants, the rest the page's."""
     key = F.col("l_partkey")
-    own = price_tables(spark, sf_dir).select("l_partkey", F.slice("tables", 2, 100).alias("tables"))
+    own = price_tables(spark, sf_dir).select("l_partkey", F.slice("tables", F.lit(2), F.size("tables")).alias("tables"))
     kind = dict(own.dtypes)["tables"]
     tables, none = F.transform("tables", lambda t: F.struct(t["type"].alias("type"), t["breaks"].alias("breaks"))), F.array().cast(kind)
     variants = F.when((key % 2 == 0) & (key % 3 != 2), F.array(F.struct(F.lit("v").alias("number"), tables.alias("tables"))))

@@ -94,10 +94,11 @@ def j8_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.enrich(own, table(spark, sf_dir, "labels"), "doc_id", ["quality", "toxic"])
 
 
-@query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error') AND c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase')")
+@query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error' AND user_id % 5 <> 0) AND c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND user_id % 3 = 0)")
 def j9_retry_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All users fail and all purchase; of the failures four in five count, of the purchases a third."""
     users = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "event_type")
-    return J.retry_backlog(users.filter("event_type = 'error'"), users.filter("event_type = 'purchase'"), customers(spark, sf_dir))
+    return J.retry_backlog(users.filter("event_type = 'error' AND id % 5 <> 0"), users.filter("event_type = 'purchase' AND id % 3 = 0"), customers(spark, sf_dir))
 
 
 @query("""WITH c AS (SELECT min(p_type) AS name, replace(lower(p_type), ' ', '-') AS slug FROM part GROUP BY 2), d AS (SELECT p_brand AS name, replace(lower(p_brand), ' ', '-') AS slug, row_number() OVER (ORDER BY p_brand) AS id FROM (SELECT DISTINCT p_brand FROM part)

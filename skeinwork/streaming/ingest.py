@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from skeinwork.operators.batching import assign_batches
+
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None, kind: str = "parquet", **options: str) -> DataFrame:
     reader = spark.readStream.format(kind).schema(schema).options(**options)
@@ -34,9 +36,14 @@ def ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-def publish_batches(stream: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Hands every micro-batch, and at last the remainder, to publish(batch, number)."""
-    return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def publish_batches(stream: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str, size: int | None = None, order: list[str] | None = None) -> StreamingQuery:
+    """Hands every micro-batch to publish(batch, number). With `size` its rows have rank and batch_id: every `size` rows in
+    `order` are a batch to flush, and what is left at the end is the last."""
+
+    def flush(batch: DataFrame, number: int) -> None:
+        publish(assign_batches(batch, size, order) if size else batch, number)
+
+    return stream.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def monitor(stream: DataFrame, ts: str, ok: str, every: str = "60 seconds", delay: str = "10 minutes") -> DataFrame:

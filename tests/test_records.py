@@ -156,3 +156,49 @@ def test_broken_and_missing_pages(spark):
     rows = {r["page_id"]: r for r in H.extract_pages(df).collect()}
     assert rows[1]["name"] is None and rows[1]["main_image"] == "N/A" and rows[2]["prices"] == []
     assert rows[3]["name"].startswith("T")
+
+
+def test_windows_of_a_long_key_are_cut(spark):
+    """Results do not depend on where a key is cut."""
+    log = spark.range(500).select(F.col("id"), F.when(F.col("id") < 420, 0).otherwise(F.col("id") % 5).alias("user"), (F.col("id") * 7 % 11 > 4).alias("ok"))
+    whole = sorted((r["id"], tuple(r["recent"])) for r in W.recent(log, 4, ["user"], ["id"], "id").collect())
+    assert whole[50] == (50, (47, 48, 49, 50)) and len(whole) == 500
+    assert sorted((r["id"], tuple(r["recent"])) for r in W.recent(log, 4, ["user"], ["id"], "id", 7).collect()) == whole
+    streaks = [sorted(map(tuple, W.failure_streaks(log, 2, "user", ["id"], F.col("ok"), size).collect())) for size in (100_000, 7)]
+    assert streaks[0] == streaks[1] and streaks[0]
+    timed = log.withColumn("ts", F.timestamp_seconds(F.col("id") * F.col("id") % 997))
+    got = {r["id"]: (r["requests"], r["over_limit"], r["too_close"]) for r in W.trailing_rate(timed, 5, 3, 1.5, "user").collect()}
+    at = {r["id"]: (r["user"], r["ts"].timestamp()) for r in timed.collect()}
+    for i, (user, t) in at.items():
+        near = [x for j, (u, x) in at.items() if u == user and t - 5 <= x <= t]
+        assert got[i][:2] == (len(near), len(near) > 3)
+    assert len(got) == 500
+
+
+def test_selectors():
+    page = H._Tree()
+    page.feed('<div id="a" class="x y"><p>one</p><b data-k="v1">two</b><i>three</i></div><p class="x">four</p>')
+    texts = lambda s: [H._text(e) for e in H.select(page.elements, s)]
+    assert texts("#a p") == ["one"] and texts("div.x.y b") == ["two"] and texts(".x p") == ["one"] and texts("p") == ["one", "four"]
+    assert texts('[data-k*="v"]') == ["two"] and texts("[data-k=v1] + i") == ["three"] and texts("b + p") == [] and texts("p + b") == ["two"]
+    assert H.first_value(page.elements, [".none", "p.x", "p"]) == "four"
+    with pytest.raises(ValueError):
+        H.selector("p:first-child")
+
+
+def test_pages_of_another_layout(spark):
+    """A table of selectors of one's own."""
+    df = spark.createDataFrame([(1, "u", "<h1>no</h1><section id=s><h2 data-t='x'>Title</h2><img class=big data-src='/a.png'></section>")], "page_id int, url string, html string")
+    row = H.extract_pages(df, spec={"name": ["#s h2"], "mark": ["h2@data-t"]}, images=["img.big@data-src"]).first()
+    assert (row["name"], row["mark"], row["images"]) == ("Title", "x", ["/a.png"]) and "sku" not in row.asDict()
+
+
+def test_art_templates_by_number(spark):
+    base = "https://www.vendor.example.com"
+    rows = [
+        ("7", f'x "{base}/fs/artTemplates/7/a.pdf"', f"{base}/fs/artTemplates/7/a.pdf"), ("7", f'"{base}/artTemplates/7/b.pdf" "{base}/fs/artTemplates/7/a.pdf"', f"{base}/fs/artTemplates/7/a.pdf"),
+        ("7", f'"{base}/fs/artTemplates/x7y"', f"{base}/fs/artTemplates/x7y"), ("7", '<a href="/download/8"></a><a class=c href="download/7?x">d</a>', f"{base}/download/7?x"), ("7", '<a href="//h.example.com/artTemplates/7">d</a>', "https://h.example.com/artTemplates/7"),
+        ("7", f'"{base}/fs/artTemplates/8/a.pdf"', None), ("", f'"{base}/fs/artTemplates/7/a.pdf"', None), (None, "x", None), ("7", None, None), ("a.b", f'"{base}/artTemplates/axb/c"', None),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, number string, html string, want string")
+    assert df.filter(~H.art_template(F.col("html"), F.col("number"), base).eqNullSafe(F.col("want"))).count() == 0
