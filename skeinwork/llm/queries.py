@@ -12,7 +12,8 @@ from skeinwork.llm.common import table
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-SHARD_LIMIT = 64 << 20
+#: Bytes of a shard of op5: small enough that the given tables split.
+SHARD_LIMIT = 1 << 20
 RULES = [
     urlfilter.Rule("block", "com", "/en/"),
     urlfilter.Rule("allow", "example.com", "/en/7"),
@@ -23,44 +24,54 @@ RULES = [
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole document and the bytes that they decode to, as digests."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each benchmark item that it leaks."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL, by rule or by the model."""
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.fit(urlfilter.labelled_urls(spark)), RULES)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs.filter(~langid.held_out("doc_id"))))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), SHARD_LIMIT)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), width=4, limit=4)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document's lines."""
     return tokencounts.count_sections(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
 def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth id."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, written as token ids and read back."""
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 

@@ -87,3 +87,10 @@ def test_columns_of_clashing_names_are_kept(spark):
     assert row["_tokens"] == "x" and row["intact"] and row["n_tokens"] == len(row["ids"])
     out = bpe.decode_documents(bpe.encode_documents(docs, PATH), PATH).first()
     assert bytes(out["decoded"]) == b"a b"
+
+
+def test_columns_of_the_names_of_the_result_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 7, "y")], "doc_id long, text string, ids string, n_tokens int, intact string")
+    out = bpe.with_tokens(docs, PATH)
+    row = out.first()
+    assert sorted(out.columns) == sorted(docs.columns) and row["intact"] is True and row["n_tokens"] == len(row["ids"]) == 2

@@ -18,8 +18,8 @@ def test_every_operator_is_registered():
 
 @pytest.mark.parametrize("limit", [queries.SHARD_LIMIT, 20_000])
 def test_sharding_equals_its_sql(spark, monkeypatch, limit):
+    sql = queries.ORACLES["op5_sharding"].replace(str(queries.SHARD_LIMIT), str(limit))
     monkeypatch.setattr(queries, "SHARD_LIMIT", limit)
-    sql = queries.ORACLES["op5_sharding"].replace(str(64 << 20), str(limit))
     got = queries.op5_sharding(spark, SF).toPandas()
     assert rows(got) == rows(connect(SF).sql(sql).df())
 

@@ -45,3 +45,10 @@ def test_copies_of_one_row_and_oversized_documents(spark):
     over = [n for n, b in size.items() if b > 500]
     assert [r["doc_id"] for r in rows if r["shard"] in over] == [2]
     assert len({r["shard"] for r in rows if r["doc_id"] == 1}) >= 6
+
+
+def test_a_very_long_text_stands_alone(spark):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 7, F.repeat(F.lit("x"), 3_000_000)).otherwise("short").alias("text"))
+    rows = {r["doc_id"]: r for r in S.shard_documents(docs, 1000).collect()}
+    assert len(rows) == 40 and rows[7]["shard_bytes"] == 3_000_000
+    assert all(r["shard_bytes"] <= 1000 for i, r in rows.items() if i != 7)

@@ -278,3 +278,11 @@ def test_frequent_keys_join_like_others(spark, monkeypatch):
     right = left.groupBy("k").count().withColumnRenamed("count", "n")
     got = hot_join(left, right, "k", "n", 5000)
     assert got.count() == 5000 and got.filter("k = 0").count() == 3000 and got.filter("n = 3000").count() == 3000
+
+
+def test_very_long_texts(spark):
+    base = " ".join(f"w{i % 9173}" for i in range(300_000))
+    docs = spark.createDataFrame([(1, base), (2, base + " end"), (3, "x" * 2_000_000), (4, "other words here")], "doc_id long, text string")
+    rows = {r["doc_id"]: r["component_id"] for r in S.simhash_groups(docs).collect()}
+    assert rows[1] == rows[2] == 1 and {rows[3], rows[4]} == {3, 4}
+    assert sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect()) == [1, 3, 4]

@@ -34,3 +34,12 @@ def test_counts_equal_a_walk_over_the_tokens(spark):
         assert [r["n_tokens"] for r in own] == want and [r["n_crossing"] for r in own] == cross
         assert sum(want) == len(ids)
     assert T.count_sections(docs.limit(0), PATH).count() == 0
+
+
+def test_very_long_texts_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "a line of words\n" * 40_000), (2, "word " * 100_000), (3, "x y\nz"), (3, "x y\nz"), (None, "x y\nz")], "doc_id long, text string")
+    rows = {}
+    for r in T.count_sections(docs, PATH).collect():
+        rows.setdefault(r["doc_id"], []).append((r["section"], r["n_tokens"]))
+    assert len(rows[1]) == 40_000 and len({n for _, n in rows[1]}) == 1 and len(rows[2]) == 1
+    assert sorted(rows[3]) == sorted(2 * rows[None])
