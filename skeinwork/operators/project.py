@@ -229,9 +229,14 @@ def normal_charges(charges: Column) -> Column:
 
 def methods_by_name(methods: Column, default: str) -> Column:
     """Map of name to {description, charges}; unnamed ones share a default name, of one name the last wins."""
-    named = F.transform(methods, lambda m, i: F.struct(F.coalesce(F.nullif(m["Name"], F.lit("")), F.lit(default)).alias("k"), i.alias("i"), F.struct(m["Description"].alias("description"), m["Charges"].alias("charges")).alias("v")))
-    last = F.filter(named, lambda x: ~F.exists(named, lambda y: (y["k"] == x["k"]) & (y["i"] > x["i"])))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"])))
+    named = lambda m, i: F.struct(
+        F.coalesce(F.nullif(m["Name"], F.lit("")), F.lit(default)).alias("k"), i.alias("i"), F.struct(m["Description"].alias("description"), m["Charges"].alias("charges")).alias("v")
+    )
+    # Sorted by name and place, the last of a name is the one before another name or the end.
+    ordered = F.array_sort(F.transform(methods, named))
+    beside = F.arrays_zip(ordered, F.slice(ordered, F.lit(2), F.greatest(F.size(ordered), F.lit(0))))
+    last = F.filter(beside, lambda x: ~F.coalesce(x["0"]["k"] == x["1"]["k"], F.lit(False)))
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["0"]["k"], x["0"]["v"])))
 
 
 def truthy_map(df: DataFrame, names: list[str], more: Column | None = None) -> Column:

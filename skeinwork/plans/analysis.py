@@ -56,13 +56,18 @@ def j11_shared_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.shared_products(pairs, most).select("file1", "file2", F.explode("products").alias("product"))
 
 
-@query(f"""SELECT CASE WHEN duplication_rate > 20 THEN 'high_duplication' WHEN duplication_rate > 10 THEN 'moderate_duplication' ELSE 'low_duplication' END AS code, duplication_rate AS value,
+RECOMMENDED = f"""SELECT CASE WHEN duplication_rate > 20 THEN 'high_duplication' WHEN duplication_rate > 10 THEN 'moderate_duplication' ELSE 'low_duplication' END AS code, duplication_rate AS value,
   NULL::BIGINT AS file1, NULL::BIGINT AS file2 FROM ({SUMMARY})
   UNION ALL SELECT 'similar_pairs', count(*)::DOUBLE, NULL, NULL FROM ({ALIKE}) WHERE similarity > 80 HAVING count(*) > 0
   UNION ALL (SELECT 'similar_pair', similarity, file1, file2 FROM ({ALIKE}) WHERE similarity > 80 ORDER BY similarity DESC, file1, file2 LIMIT 3)
-  UNION ALL SELECT 'in_4_plus_files', in_4_plus_files::DOUBLE, NULL, NULL FROM ({DISTRIBUTION}) WHERE in_4_plus_files > 0""")
+  UNION ALL SELECT 'in_4_plus_files', in_4_plus_files::DOUBLE, NULL, NULL FROM ({DISTRIBUTION}) WHERE in_4_plus_files > 0"""
+
+
+@query("WITH twice AS (SELECT 2 * l_suppkey + c AS l_suppkey, l_partkey FROM lineitem, (VALUES (0), (1)) v(c) WHERE c = 0 OR l_partkey % 10 <> 0) " + RECOMMENDED.replace("FROM lineitem", "FROM twice"))
 def a5_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.recommendations(catalogue_pairs(spark, sf_dir))
+    """Every supplier's file is there twice, the second time without every tenth part, so that there are similar pairs."""
+    copies = catalogue_pairs(spark, sf_dir).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("c")).filter("c = 0 OR product % 10 <> 0")
+    return A.recommendations(copies.select((2 * F.col("file") + F.col("c")).alias("file"), "product"))
 
 
 @query("SELECT l_suppkey AS file, sum(length(l_returnflag || l_linestatus))::BIGINT AS bytes, max(l_shipdate) AS modified, count(*) AS rows, count(DISTINCT l_partkey) AS unique_products FROM lineitem GROUP BY 1")

@@ -76,6 +76,21 @@ def k4_product_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("p_partkey", K.product_number(own).alias("number"))
 
 
+@query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'A-' || (10000 + p_partkey) WHEN 1 THEN (10000 + p_partkey % 5000)::VARCHAR WHEN 2 THEN 'B' || (10000 + p_partkey) WHEN 3 THEN 'C' || (10000 + p_partkey) WHEN 4 THEN 'D' || (10000 + p_partkey) WHEN 5 THEN 'E' || (10000 + p_partkey)
+  WHEN 6 THEN 'F' || p_partkey ELSE 'G' || p_partkey END AS number FROM part""")
+def k4_number_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each field in turn holds the number, as text, list or record; the ones before it are too short or hold none."""
+    key = F.col("p_partkey")
+    at = lambda i, value: F.when(key % 8 == i, value).when(key % 8 > i, F.lit("x")).otherwise(F.lit(None))
+    n = key + 10000
+    own = table(spark, sf_dir, "part").select(
+        "p_partkey", at(0, F.concat(F.lit("A-"), n)).alias("number"), at(1, F.concat(F.lit('["'), key % 5000 + 10000, F.lit('XL"]'))).alias("numbers"), at(2, F.concat(F.lit(" B"), n)).alias("product_number"), at(3, F.concat(F.lit("C#"), n)).alias("ProductNumber"),
+        at(4, F.concat(F.lit('{"SKU":"D'), n, F.lit('"}'))).alias("sku"), at(5, F.concat(F.lit("E"), n)).alias("product_id"),
+        F.when(key % 8 == 6, F.concat(F.lit('{"Number":"F'), key, F.lit('"}'))).when(key % 8 == 7, F.concat(F.lit('{"Number":"","Numbers":["G'), key, F.lit('","H"]}'))).alias("raw_data"),
+    )
+    return own.select("p_partkey", K.product_number(own).alias("number"))
+
+
 @query("SELECT page_id, CASE WHEN regexp_matches(url, '(?i)[?&]page=') THEN regexp_extract(url, '(?i)[?&]page=([^&#]*)', 1) END AS page FROM pages")
 def k5_id_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", K.id_from_url(F.col("url"), "page").alias("page"))

@@ -67,9 +67,30 @@ def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", F.when(key % 2 == 0, nested).otherwise(flat).alias("doc"))
 
 
-@query("""SELECT p_partkey::VARCHAR AS product_id, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN 'f' ELSE 'i' END AS image_url, '{"w":' || p_size || '}' AS pricing_info, '{}' AS attributes, CASE WHEN p_partkey % 2 = 0 THEN '["t"]' ELSE '[]' END AS themes, '0' AS extraction_time FROM part""")
+@query("""SELECT p_partkey::VARCHAR AS product_id, p_name AS name, CASE p_partkey % 2 WHEN 0 THEN 'd' || p_size ELSE '' END AS description, 'sd' AS short_description, p_brand AS sku, CASE p_partkey % 2 WHEN 0 THEN 'N' || p_partkey ELSE '' END AS product_number,
+  CASE p_partkey % 2 WHEN 0 THEN 'f' ELSE 'i' END AS image_url, 'u' || p_partkey AS product_url, '{"w":' || p_size || '}' AS pricing_info, CASE p_partkey % 2 WHEN 0 THEN '{"a":1}' ELSE '{}' END AS attributes, CASE p_partkey % 2 WHEN 0 THEN '{"i":2}' ELSE '{"i":3}' END AS imprinting,
+  '{"s":"' || p_brand || '"}' AS supplier_info, CASE p_partkey % 2 WHEN 0 THEN '{"p":4}' ELSE '{"p":5}' END AS production_info, CASE p_partkey % 2 WHEN 0 THEN '{"h":6}' ELSE '{}' END AS shipping, CASE p_partkey % 2 WHEN 0 THEN '{"weight":' || p_size || '}' ELSE '{}' END AS specifications,
+  CASE p_partkey % 2 WHEN 0 THEN '["v"]' ELSE '[]' END AS variants, '[]' AS warnings, CASE p_partkey % 2 WHEN 0 THEN '["s"]' ELSE '[]' END AS services, CASE p_partkey % 2 WHEN 0 THEN '[]' ELSE '["im"]' END AS images, '[]' AS virtual_samples, '{}' AS raw_data,
+  CASE p_partkey % 2 WHEN 0 THEN '7' ELSE '0' END AS extraction_time, CASE p_partkey % 2 WHEN 0 THEN '' ELSE 'api' END AS extraction_method, 'day' AS scraped_date, '[]' AS related_products, CASE p_partkey % 2 WHEN 0 THEN '["c"]' ELSE '[]' END AS categories,
+  CASE p_partkey % 2 WHEN 0 THEN '["t"]' ELSE '[]' END AS themes, '{}' AS color_images, CASE p_partkey % 2 WHEN 0 THEN 'art' || p_partkey END AS product_art_url, CASE p_partkey % 2 WHEN 0 THEN '{"f":8}' END AS fpd_config, CASE p_partkey % 2 WHEN 1 THEN '{"m":9}' END AS meta FROM part""")
 def p10_flatten_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.flatten_sections(sectioned(spark, sf_dir), "doc").select("product_id", "name", "image_url", "pricing_info", "attributes", "themes", "extraction_time")
+    """All outputs, of sectioned records and of flat ones, each with some of the fields."""
+    p, one = table(spark, sf_dir, "part"), lambda name, value: F.struct((F.lit(value) if isinstance(value, int) else value).alias(name))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    product = F.struct(
+        key.alias("id"), F.col("p_name").alias("name"), F.concat(F.lit("d"), size).alias("description"), F.lit("sd").alias("short_description"), F.col("p_brand").alias("sku"), F.concat(F.lit("N"), key).alias("product_number"), F.lit("f").alias("featured_image"), F.concat(F.lit("u"), key).alias("product_url"),
+    )
+    lists = lambda *names: [F.array(F.lit(v)).alias(n) for n, v in names]
+    nested = F.struct(
+        product.alias("product"), F.lit("top").alias("name"), F.lit("flat").alias("description"), one("w", size).alias("pricing"), one("a", 1).alias("attributes"), one("i", 2).alias("imprinting"), one("s", F.col("p_brand")).alias("supplier"), one("p", 4).alias("production"), one("h", 6).alias("shipping"),
+        one("weight", size).alias("specifications"), one("x", 0).alias("pricing_info"), *lists(("variants", "v"), ("services", "s"), ("categories", "c"), ("themes", "t")), F.lit(7).alias("extraction_time"), F.lit("day").alias("scraped_date"),
+        one("url", F.concat(F.lit("art"), key)).alias("art_template"), one("f", 8).alias("fpd_config"),
+    )
+    flat = F.struct(
+        key.alias("product_id"), F.col("p_name").alias("name"), F.lit("sd").alias("short_description"), F.col("p_brand").alias("sku"), F.lit("i").alias("image_url"), F.concat(F.lit("u"), key).alias("product_url"), one("w", size).alias("pricing_info"), one("i", 3).alias("imprinting"), one("s", F.col("p_brand")).alias("supplier_info"),
+        one("p", 5).alias("production_info"), *lists(("images", "im")), F.lit("api").alias("extraction_method"), F.lit("day").alias("scraped_date"), one("m", 9).alias("meta"),
+    )
+    return P.flatten_sections(p.select(F.when(key % 2 == 0, F.to_json(nested)).otherwise(F.to_json(flat)).alias("doc")), "doc")
 
 
 @query("""SELECT p_partkey, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN '{"w":' || p_size || '}' END AS pricing, CASE WHEN p_partkey % 2 = 0 THEN p_size::VARCHAR END AS weight FROM part""")
@@ -86,9 +107,14 @@ def p12_store_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.store_payload(own).select("title", "content", "status", m["external_product_id"].alias("id"), F.try_element_at(m, F.lit("_sku")).alias("sku"), m["shipping_info"].alias("shipping"), F.size(m).alias("keys"))
 
 
-@query('SELECT p_partkey AS "ProductID", p_name AS "Name", p_brand AS "SKU", p_type AS "Description" FROM part')
+@query("""SELECT 'product_id' || p_partkey AS "ProductID", 'name' || p_partkey AS "Name", 'sku' || p_partkey AS "SKU", 'description' || p_partkey AS "Description", 'short_description' || p_partkey AS "ShortDescription", 'image_url' || p_partkey AS "ImageURL",
+  'product_url' || p_partkey AS "ProductURL", 'supplier_info' || p_partkey AS "SupplierInfo", 'pricing_info' || p_partkey AS "PricingTable", 'production_info' || p_partkey AS "ProductionInfo", 'attributes' || p_partkey AS "Attributes", 'imprinting' || p_partkey AS "Imprint",
+  'shipping' || p_partkey AS "Shipping", 'variants' || p_partkey AS "Variants", 'warnings' || p_partkey AS "Warnings", 'services' || p_partkey AS "Services", 'images' || p_partkey AS "Images", 'extraction_time' || p_partkey AS "ExtractionTime",
+  'extraction_method' || p_partkey AS "ExtractionMethod", 'scraped_date' || p_partkey AS "ScrapedDate" FROM part""")
 def p13_to_pascal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.to_pascal(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("sku"), F.col("p_type").alias("description")))
+    """All renames; each field holds its own name and the part's key, and one more field is left out."""
+    names = "scraped_date extraction_method extraction_time images services warnings variants shipping imprinting attributes production_info pricing_info supplier_info product_url image_url short_description description sku name product_id other".split()
+    return P.to_pascal(table(spark, sf_dir, "part").select(*[F.concat(F.lit(n), "p_partkey").alias(n) for n in names]))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 > 1 THEN 'variable' WHEN p_partkey % 2 = 0 THEN 'external' ELSE 'simple' END AS type FROM part")

@@ -13,6 +13,7 @@ from skeinwork.operators import identity as K
 from skeinwork.operators import pages as H
 from skeinwork.operators import project as P
 from skeinwork.operators import sync as J
+from skeinwork.sources import sinks
 
 
 def values(df, *names):
@@ -202,3 +203,9 @@ def test_art_templates_by_number(spark):
     ]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, number string, html string, want string")
     assert df.filter(~H.art_template(F.col("html"), F.col("number"), base).eqNullSafe(F.col("want"))).count() == 0
+
+
+def test_link_columns_come_first_and_the_rest_is_sorted(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "z int, name int, a int, id int, url int")
+    assert sinks.reorder_link_columns(df).columns == ["url", "id", "name", "a", "z"]
+    assert sinks.reorder_link_columns(df.drop("url")).columns == ["z", "name", "a", "id"]
