@@ -59,20 +59,25 @@ def orders(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndar
     return near, place
 
 
-def search_file(rows: pd.DataFrame, asked: pd.DataFrame, k: int, share: float, least: int) -> pd.DataFrame:
+def matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
+def search_file(rows: pd.DataFrame, asked: pd.DataFrame, k: int, share: float, least: int, postings: int) -> pd.DataFrame:
     """For each query its k nearest rows among the best share of a file by footrule (ties included): query, query_id, row,
-    vec_id, score, probe (the file's number to the query), part (of the file that is not worse by footrule).
+    vec_id, score, probe (the first file, in the query's order, of those under `postings` pivots that hold the row),
+    part (of this file that is not worse by footrule).
 
     Cosines are taken row by row from the vectors as they are, so equal vectors tie exactly.
     """
     ids, row = rows["vec_id"].to_numpy(), rows["row"].to_numpy()
-    vectors, queries = scaled(np.stack(rows["v"].to_numpy())), scaled(np.stack(asked["v"].to_numpy()))
+    vectors, queries = scaled(matrix(rows["v"])), scaled(matrix(asked["v"]))
     size, asked_size = lengths(vectors), lengths(queries)
     kind = np.uint16 if len(rows["place"].iloc[0]) > 2 * 256 else np.uint8
     place, asked_place = (np.frombuffer(b"".join(x["place"]), dtype=kind).reshape(len(x), -1) for x in (rows, asked))
     wanted = max(least, int(np.ceil(share * len(ids))), k + 1)
     out = []
-    for i, (q, query_id, probe) in enumerate(zip(asked["row"], asked["vec_id"], asked["probe"])):
+    for i, (q, query_id) in enumerate(zip(asked["row"], asked["vec_id"])):
         rule = (np.maximum(place, asked_place[i]) - np.minimum(place, asked_place[i])).sum(axis=1, dtype=np.int64)
         found = np.flatnonzero(row != q)
         if len(found) > wanted:
@@ -82,7 +87,8 @@ def search_file(rows: pd.DataFrame, asked: pd.DataFrame, k: int, share: float, l
         cosine = (vectors[found] * queries[i]).sum(axis=1) / (size[found] * asked_size[i])
         best = np.lexsort((row[found], ids[found], -cosine))[:k]
         part = np.searchsorted(np.sort(rule), rule[found[best]], "right") / len(rule)
-        out += [(q, query_id, int(row[found[j]]), int(ids[found[j]]), float(cosine[j]), int(probe), float(p)) for j, p in zip(best, part)]
+        probe = np.where(place[found[best]] < postings, asked_place[i], place.shape[1]).min(axis=1)
+        out += [(q, query_id, int(row[found[j]]), int(ids[found[j]]), float(cosine[j]), int(f), float(p)) for j, f, p in zip(best, probe, part)]
     return pd.DataFrame(out, columns=FOUND_NAMES)
 
 
@@ -91,8 +97,8 @@ FOUND_NAMES = [c.split()[0] for c in FOUND.split(", ")]
 
 
 def _usable(embeddings: DataFrame) -> DataFrame:
-    """(row, vec_id, v, dim) of the vectors that take part, as doubles, numbered."""
-    v = F.col("embedding").cast("array<double>")
+    """(row, vec_id, v, dim) of the vectors that take part, numbered; floats travel as such and are doubles in tasks."""
+    v = F.col("embedding").cast("array<float>" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "array<double>")
     own = embeddings.filter(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return own.filter(F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)).select(F.monotonically_increasing_id().alias("row"), "vec_id", "v", F.size("v").alias("dim"))
@@ -106,7 +112,7 @@ def _chosen_pivots(rows: DataFrame, pivots: int) -> dict[int, np.ndarray]:
     by_size: dict[int, list[list[float]]] = {}
     for r in chosen:
         by_size.setdefault(len(r["v"]), []).append(r["v"])
-    return {n: units(np.array(v)) for n, v in by_size.items()}
+    return {n: units(np.array(v, dtype=np.float64)) for n, v in by_size.items()}
 
 
 def _indexed(rows: DataFrame, pivots: dict[int, np.ndarray], postings: int, every: int) -> DataFrame:
@@ -121,18 +127,18 @@ def _indexed(rows: DataFrame, pivots: dict[int, np.ndarray], postings: int, ever
                 if known is None:
                     yield own.assign(place=[b"\0"] * len(own), near=[[0]] * len(own))
                     continue
-                near, place = orders(units(np.stack(own["v"].to_numpy())), known)
+                near, place = orders(units(matrix(own["v"])), known)
                 asked = (own["vec_id"] % every == 0).to_numpy()
                 yield own.assign(place=[p.tobytes() for p in place], near=[p if a else p[:postings] for p, a in zip(near, asked)])
 
     return rows.mapInPandas(run, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema)}, place binary, near array<int>")
 
 
-def _search(rows: DataFrame, queries: DataFrame, k: int, postings: int, probes: int, share: float, least: int, block_rows: int, block_queries: int) -> DataFrame:
+def _search(rows: DataFrame, queries: DataFrame, k: int, postings: int, probes: int, share: float, least: int, block_rows: int, block_queries: int, most: int) -> DataFrame:
     """What search_file finds for each query in each of the first `probes` files of its order, over rows that are
     posted under `postings` pivots. Long files, and files that many queries read, are met in blocks."""
     posted = rows.select("row", "vec_id", "v", "place", "dim", F.explode(F.slice("near", 1, postings)).alias("pivot"))
-    read = queries.select("row", "vec_id", "v", "place", "dim", F.posexplode(F.slice("near", 1, probes)).alias("probe", "pivot"))
+    read = queries.select("row", "vec_id", "v", "place", "dim", F.explode(F.slice("near", 1, probes)).alias("pivot"))
     count = lambda df, size: F.ceil(F.count("*") / size).cast("int")
     files = posted.groupBy("dim", "pivot").agg(count(posted, block_rows).alias("n"))
     readers = read.groupBy("dim", "pivot").agg(count(read, block_queries).alias("m"))
@@ -141,10 +147,10 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, postings: int, probes:
     left = posted.join(F.broadcast(blocks), ["dim", "pivot"]).withColumn("row_block", F.pmod(F.xxhash64("row"), F.col("n")).cast("int")).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     right = read.join(F.broadcast(blocks), ["dim", "pivot"]).withColumn("query_block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("m")).cast("int")).withColumn("row_block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     names = [*key, "row", "vec_id", "v", "place"]
-    right = right.select(*[F.col(c).alias(c) for c in (*names, "probe")])  # columns of their own: both sides are of one table
+    right = right.select(*[F.col(c).alias(c) for c in names])  # columns of their own: both sides are of one table
 
     def run(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return search_file(own, asked, k, share, least) if len(own) and len(asked) else pd.DataFrame([], columns=FOUND_NAMES)
+        return search_file(own, asked, k, share, least, most) if len(own) and len(asked) else pd.DataFrame([], columns=FOUND_NAMES)
 
     return left.select(names).groupBy(key).cogroup(right.groupBy(key)).applyInPandas(run, FOUND)
 
@@ -158,9 +164,10 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 def measured_setting(rows: DataFrame, queries: DataFrame, k: int, pivots: int, postings: int, recall: float, least: int, block_rows: int) -> tuple[int, int, float]:
     """(postings, probes, share): the cheapest setting that finds `recall` of the answers of a sample of queries, or the
-    exact one. Their answers come from all files with all rows compared."""
+    exact one. Their answers come from all files, with each row in that of its nearest pivot and all rows compared; of an
+    answer it is known which file of the query would have held it, and how far down by footrule."""
     sample = materialise(queries.orderBy(F.xxhash64("row"), "row").limit(SAMPLE_QUERIES), "ann-sample")
-    found = materialise(_search(rows, sample, k, postings, pivots, 1.0, least, block_rows, SAMPLE_QUERIES), "ann-measured")
+    found = materialise(_search(rows, sample, k, 1, pivots, 1.0, least, block_rows, SAMPLE_QUERIES, postings), "ann-measured")
     true = _best(found, k).select("query", "row")
     entries = found.join(true, ["query", "row"], "right").groupBy("query", "row")
     grid = [(p, s) for p in PROBES for s in SHARES if p < pivots]
@@ -188,5 +195,5 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = 5, pivots: int = PI
     indexed = materialise(_indexed(rows, known, postings, every), "ann-index")
     queries = indexed.filter(F.col("vec_id") % every == 0)
     posted, probes, share = setting or measured_setting(indexed, queries, k, pivots, postings, recall, least, block_rows)
-    found = _search(indexed, queries, k, posted, probes, share, least, block_rows, block_queries)
+    found = _search(indexed, queries, k, posted, probes, share, least, block_rows, block_queries, posted)
     return _best(found, k).select("query_id", "rank", "vec_id", "score")
