@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from skeinwork.llm.common import bound_batches, shared_dir
 
 MANIFEST = "shard int, name string, n_docs long, n_ids long, id_bytes int"
-#: Bytes of text a shard holds on average.
-SHARD_BYTES = 64 << 20
+#: Bytes of text a shard holds on average, up to so many shards; beyond it they grow, since the bounds of a range
+#: partitioning are drawn from a sample of each range's keys, which the driver sorts.
+SHARD_BYTES, MOST_SHARDS = 64 << 20, 20_000
 #: First characters of a text by which rows of one doc_id are ordered.
-HEAD_CHARS = 64
+HEAD_CHARS = 16
 #: Pre-tokens a worker keeps encoded: so many of late and, of those before them, at most as many again.
 CACHE_ENTRIES = 300_000
 #: Longer pre-tokens are not kept.
@@ -141,7 +142,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, shard_byt
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.substring(text, 1, HEAD_CHARS).alias("head"), F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("copy"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, -(-total // shard_bytes)))
     order = ("doc_id", "head", "hash", "copy")
     dealt = own.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
     id_bytes = 2 if max(tokenizer(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4

@@ -47,7 +47,7 @@ def test_hosts_paths_and_rules(spark, model):
 PLAIN = (
     "bbc.co.uk en.wikipedia.org github.com nasa.gov arxiv.org python.org stanford.edu lemonde.fr www.nytimes.com stackoverflow.com apache.org mozilla.org elpais.com spiegel.de "
     "reuters.com who.int un.org mit.edu ox.ac.uk nature.com ikea.com imdb.com archive.org gutenberg.org openstreetmap.org debian.org postgresql.org leeds.ac.uk downloads.example.org "
-    "betterhomes.example.com wordpress.org medium.com adsorption.example.org sussex.ac.uk trackandfield.example.org linkedin.com paypal.com gardens.example.org"
+    "betterhomes.example.com kernel.org medium.com adsorption.example.org sussex.ac.uk trackandfield.example.org linkedin.com paypal.com gardens.example.org"
 ).split()
 BAD = (
     "mega-casino.example.biz royal-slots.example.com pokerstars-bonus.example.net buy-viagra.example.org pharmacy-meds.example.com xxx-tube.example.net free-porn-cams.example.com "
