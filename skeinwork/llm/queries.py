@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.llm import ann, bpe, decontaminate, htmltext, langid, sharding, simhash, tokencounts, tokenfiles, urlfilter
+from skeinwork.llm import ann, bpe, decontaminate, htmltext, langid, packing, sharding, simhash, tokencounts, tokenfiles, urlfilter
 from skeinwork.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+PACK_TOKENIZER, PACK_END_ID, PACK_LONGEST = "word_bpe_49k.json", 1, 2048
 #: Bytes of a shard of op5: small enough that the given tables split.
 SHARD_LIMIT = 1 << 20
 RULES = [
@@ -75,7 +76,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_url_filter, op4_language_id, op5_sharding, op6_simhash, op7_token_counts, op8_permutation_index, op9_html_text, op10_token_files)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, each a sequence of its own."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER), PACK_END_ID, PACK_LONGEST)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_url_filter, op4_language_id, op5_sharding, op6_simhash, op7_token_counts, op8_permutation_index, op9_html_text, op10_token_files, op11_packing)}
 ORACLES = {
     # Sums only shrink with depth, so a leaf is a prefix that fits under a parent that does not.
     "op5_sharding": f"""WITH r AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, lpad(bin(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 15))::BIGINT), 60, '0') AS place FROM documents),

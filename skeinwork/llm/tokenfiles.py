@@ -90,7 +90,7 @@ class Encoder(dict):
         self.model = self.library.model
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as file:
-            rules = json.load(file)
+            self.rules = rules = json.load(file)
         cut = rules.get("pre_tokenizer") or {}
         self.cuts = not rules.get("normalizer") and cut.get("type") == "ByteLevel" and rules["model"].get("type") == "BPE" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
 
