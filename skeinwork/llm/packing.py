@@ -44,9 +44,9 @@ def words() -> re.Pattern:
 class LowercaseEncoder(Encoder):
     """Ids of whole texts by the tokenizers library, for tokenizers that lower-case and drop white space.
 
-    Without uncommon code points a text is in NFC, its lower case is that of its characters, and tokens never cross
-    a match of SPLIT, so each distinct match goes through the library's model once. A text for which that is not certain, and
-    every text of a tokenizer of another kind, is encoded whole.
+    Where the lower case of a text has no uncommon code points, NFC changes nothing in it and tokens never cross a match of
+    SPLIT, so each distinct match goes through the library's model once. Other texts, and all texts of a tokenizer of
+    another kind, are encoded whole.
     """
 
     def __init__(self, path: str, kind: np.dtype) -> None:
@@ -54,13 +54,13 @@ class LowercaseEncoder(Encoder):
         self.cuts = self.rules.get("normalizer") == NORMALIZER and self.rules.get("pre_tokenizer") == PRETOKENIZER and self.rules["model"].get("type") == "BPE"
 
     def ids(self, text: str) -> bytes:
-        # U+0130 is the one common letter whose lower case is two characters.
-        if not self.cuts or "İ" in text or UNCOMMON.search(text) or any(t in text for t in self.added):
+        lower = text.lower()  # which may hold uncommon letters where the text held none
+        if not self.cuts or UNCOMMON.search(lower) or any(t in text for t in self.added):
             return self.whole(text)
         if len(self) > CACHE_ENTRIES:
             self.older = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, words().findall(text.lower())))
+        return b"".join(map(self.__getitem__, words().findall(lower)))
 
 
 @lru_cache(2)
