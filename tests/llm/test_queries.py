@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver'
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
 
 
 @pytest.mark.parametrize("limit", [queries.SHARD_LIMIT, 20_000])
