@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -39,25 +41,60 @@ prices array<struct<label: string, quantity: int, price: double, discount_code:
 product_json string, product_number string""".replace("\n", " ")
 
 
-class _Tree(HTMLParser):
-    """The page's elements in order, each (tag, classes, attributes, text), and the rows of its tables."""
+_NONE: dict[str, str] = {}
 
-    def __init__(self) -> None:
+
+class Page(HTMLParser):
+    """A page's elements, numbered as they open: element i holds those from i + 1 to end[i], and text[start[i]:stop[i]].
+
+    Text is kept once, in one buffer. Elements are listed by tag, id, class and attribute. All of it grows with the page
+    alone, however deep elements nest and however many are never closed.
+    """
+
+    def __init__(self, html: str = "") -> None:
         super().__init__(convert_charrefs=True)
-        self.elements: list[dict] = []
-        self.stack: list[dict] = []
-        self.off = 0
+        self.tags: list[str] = []
+        self.attrs: list[dict[str, str]] = []
+        self.up: list[int] = []
+        self.before: list[int] = []
+        self.end: list[int] = []
+        self.start: list[int] = []
+        self.stop: list[int] = []
+        self.index: dict[tuple[str, str], list[int]] = {}
+        self.pieces: list[str] = []
+        self.length = self.off = 0
+        self.stack: list[int] = []
+        self.open: Counter[str] = Counter()
+        self.youngest: dict[int, int] = {}
+        self.feed(html)
+        self.close()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        own = {k: v or "" for k, v in attrs}
-        names = {*own.get("class", "").split(), *([own["name"]] if tag == "meta" and "name" in own else [])}
-        up = self.stack[-1] if self.stack else None
-        element = {"tag": tag, "classes": names, "attrs": own, "parts": [], "children": [], "up": up, "before": up["children"][-1] if up and up["children"] else None}
-        if up:
-            up["children"].append(element)
-        self.elements.append(element)
+        own, i = {k: v or "" for k, v in attrs} if attrs else _NONE, len(self.tags)
+        up = self.stack[-1] if self.stack else -1
+        self.tags.append(tag)
+        self.attrs.append(own)
+        self.up.append(up)
+        self.before.append(self.youngest.get(up, -1) if up >= 0 else -1)
+        self.youngest[up] = i
+        self.end.append(i + 1)
+        self.start.append(self.length)
+        self.stop.append(self.length)
+        put = self.index.setdefault
+        put(("tag", tag), []).append(i)
+        if attrs:
+            for name, value in own.items():
+                put(("attribute", name), []).append(i)
+            if "id" in own:
+                put(("id", own["id"]), []).append(i)
+            names = set(own["class"].split()) if "class" in own else set()
+            if tag == "meta" and "name" in own:
+                names.add(own["name"])
+            for name in names:
+                put(("class", name), []).append(i)
         if tag not in VOID:
-            self.stack.append(element)
+            self.stack.append(i)
+            self.open[tag] += 1
             self.off += tag in ("script", "style")
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -65,21 +102,88 @@ class _Tree(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def _leave(self) -> str:
+        i = self.stack.pop()
+        tag = self.tags[i]
+        self.end[i], self.stop[i] = len(self.tags), self.length
+        self.open[tag] -= 1
+        self.off -= tag in ("script", "style")
+        return tag
+
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i]["tag"] == tag:
-                self.off -= sum(e["tag"] in ("script", "style") for e in self.stack[i:])
-                del self.stack[i:]
-                break
+        if self.open[tag]:  # else no element ends here, and none is looked at
+            while self._leave() != tag:
+                pass
 
     def handle_data(self, data: str) -> None:
         if not self.off:
-            for e in self.stack:
-                e["parts"].append(data)
-
-
-def _text(e: dict) -> str:
-    return " ".join("".join(e["parts"]).split())
+            self.pieces.append(data)
+            self.length += len(data)
+
+    def close(self) -> None:
+        super().close()
+        while self.stack:
+            self._leave()
+        self.buffer = "".join(self.pieces)
+
+    def text(self, i: int) -> str:
+        return " ".join(self.buffer[self.start[i] : self.stop[i]].split())
+
+    def of(self, kind: str, name: str) -> list[int]:
+        """Elements of a tag, id, class or attribute, in page order."""
+        return self.index.get((kind, name), [])
+
+    def children(self, kind: str, name: str) -> dict[int, list[int]]:
+        """By parent, its children of a tag, id, class or attribute."""
+        out: dict[int, list[int]] = {}
+        for i in self.of(kind, name):
+            out.setdefault(self.up[i], []).append(i)
+        return out
+
+    def inside(self, found: list[int], tops: list[int]) -> list[int]:
+        """Those of found (in page order) that lie in one of tops (in page order): the furthest end of the tops before tells."""
+        out, at, furthest = [], 0, 0
+        for i in found:
+            while at < len(tops) and tops[at] < i:
+                furthest = max(furthest, self.end[tops[at]])
+                at += 1
+            if furthest > i:
+                out.append(i)
+        return out
+
+    def nearest(self, found: list[int], tops: list[int]) -> dict[int, list[int]]:
+        """By top, those of found whose innermost one it is; found and tops are in page order."""
+        out: dict[int, list[int]] = {t: [] for t in tops}
+        stack, at = [], 0
+        for i in found:
+            while at < len(tops) and tops[at] < i:
+                while stack and self.end[stack[-1]] <= tops[at]:
+                    stack.pop()
+                stack.append(tops[at])
+                at += 1
+            while stack and self.end[stack[-1]] <= i:
+                stack.pop()
+            if stack:
+                out[stack[-1]].append(i)
+        return out
+
+    @cached_property
+    def numbers(self) -> tuple[list[int], list[int]]:
+        """Where runs of digits, dots and commas with two characters up to a last digit start, and where they end."""
+        runs = [(m.start(), m.start() + len(m.group().rstrip(".,"))) for m in re.finditer(r"[\d.,]+", self.buffer)]
+        long = [r for r in runs if r[1] - r[0] > 1]
+        return [s for s, _ in long], [e for _, e in long]
+
+    def first_number(self, i: int) -> str | None:
+        """The first number of two characters or more in an element's text, as far as it lies in it."""
+        starts, ends = self.numbers
+        at = bisect_right(ends, self.start[i])
+        while at < len(starts) and starts[at] < self.stop[i]:
+            own = self.buffer[max(starts[at], self.start[i]) : min(ends[at], self.stop[i])].rstrip(".,")
+            if len(own) > 1:
+                return own
+            at += 1
+        return None
 
 
 _COMPOUND = re.compile(r"""([\w-]+)|#([\w-]+)|\.([\w-]+)|\[\s*([\w-]+)\s*(?:(\*?=)\s*(?:"([^"]*)"|'([^']*)'|([^\]\s]+)))?\s*\]""")
@@ -102,7 +206,7 @@ def selector(text: str) -> tuple[tuple[tuple[str, tuple], ...], str]:
                 raise ValueError(f"no selector: {text}")
             at = c.end()
             value = next((x for x in c.groups()[5:] if x is not None), "")
-            found.append(("tag", c[1]) if c[1] else ("id", c[2]) if c[2] else ("class", c[3]) if c[3] else ("attribute", c[4], c[5], value))
+            found.append(("tag", c[1].lower()) if c[1] else ("id", c[2]) if c[2] else ("class", c[3]) if c[3] else ("attribute", c[4].lower(), c[5], value))
         if at != len(part):
             raise ValueError(f"no selector: {text}")
         out.append((relation, tuple(found)))
@@ -110,170 +214,142 @@ def selector(text: str) -> tuple[tuple[tuple[str, tuple], ...], str]:
     return tuple(out), m[2] or ""
 
 
-def _fits(e: dict, conditions: tuple) -> bool:
-    for c in conditions:
-        kind, own = c[0], c[1]
-        if kind == "tag" and e["tag"] != own.lower() or kind == "id" and e["attrs"].get("id") != own or kind == "class" and own not in e["classes"]:
-            return False
-        if kind == "attribute":
-            value = e["attrs"].get(own.lower())
-            if value is None or c[2] == "=" and value != c[3] or c[2] == "*=" and c[3] not in value:
-                return False
-    return True
-
-
-def _matches(e: dict, parts: tuple, last: int) -> bool:
-    """Whether the parts of a selector up to `last` lead to this element."""
-    relation, conditions = parts[last]
-    if not _fits(e, conditions):
-        return False
-    if last == 0:
-        return True
-    if relation == "+":
-        return e["before"] is not None and _matches(e["before"], parts, last - 1)
-    up = e["up"]
-    while up is not None:
-        if _matches(up, parts, last - 1):
-            return True
-        up = up["up"]
-    return False
-
-
-def select(elements: list[dict], text: str) -> list[dict]:
-    """The elements that a selector fits, in page order."""
-    parts, _ = selector(text)
-    return [e for e in elements if _matches(e, parts, len(parts) - 1)]
-
-
-def _value(e: dict, text: str) -> str:
+def _fitting(page: Page, conditions: tuple) -> list[int]:
+    """The elements that fit all conditions of one part of a selector, in page order; the rarest condition is taken first."""
+    lists = [page.of(c[0], c[1]) for c in conditions]
+    found = min(lists, key=len)
+    for c, own in zip(conditions, lists):
+        if own is not found:
+            there = set(own)
+            found = [i for i in found if i in there]
+        if c[0] == "attribute" and c[2]:
+            value = lambda i: page.attrs[i][c[1]]  # noqa: B023, E731
+            found = [i for i in found if (value(i) == c[3] if c[2] == "=" else c[3] in value(i))]
+    return found
+
+
+def select(page: Page, text: str) -> list[int]:
+    """The elements that a selector fits, in page order: each of its parts is found for the whole page at once."""
+    found: list[int] | None = None
+    for relation, conditions in selector(text)[0]:
+        own = _fitting(page, conditions)
+        if found is None:
+            found = own
+        elif relation == "+":
+            there = set(found)
+            found = [i for i in own if page.before[i] in there]
+        else:
+            found = page.inside(own, found)
+    return found or []
+
+
+def _value(page: Page, i: int, text: str) -> str:
     attribute = selector(text)[1]
-    return (e["attrs"].get(attribute, "") if attribute else _text(e)).strip()
+    return (page.attrs[i].get(attribute, "") if attribute else page.text(i)).strip()
 
 
-def first_value(elements: list[dict], selectors: list[str], prefix: str = "") -> str | None:
+def first_value(page: Page, selectors: list[str], prefix: str = "") -> str | None:
     """What the first selector gives whose first element is not empty."""
     for text in selectors:
-        parts, _ = selector(text)
-        e = next((e for e in elements if _matches(e, parts, len(parts) - 1)), None)
-        if e is not None and (v := _value(e, text).replace(prefix, "").strip() if prefix else _value(e, text)):
+        found = select(page, text)
+        if found and (v := _value(page, found[0], text).replace(prefix, "").strip() if prefix else _value(page, found[0], text)):
             return v
     return None
 
 
-def _texts(elements: list[dict], cls: str) -> list[str]:
-    return [t for e in elements if cls in e["classes"] and (t := _text(e))]
-
-
-def _within(e: dict, cls: str) -> bool:
-    while e:
-        if cls in e["classes"]:
-            return True
-        e = e["up"]
-    return False
-
-
-def _cells(row: dict) -> list[dict]:
-    return [c for c in row["children"] if c["tag"] in ("td", "th")]
+def _texts(page: Page, cls: str) -> list[str]:
+    return [t for i in page.of("class", cls) if (t := page.text(i))]
 
 
 def _is_price(text: str) -> bool:
     return re.fullmatch(r"\$?\d+(\.\d+)?", text.strip()) is not None
 
 
-def price_grid(elements: list[dict]) -> list[tuple[str, int, float, str | None]]:
+def price_grid(page: Page) -> list[tuple[str, int, float, str | None]]:
     """(label, quantity, price, code) of tables whose first row holds quantities and whose rows hold prices."""
     out = []
-    for table in (e for e in elements if e["tag"] == "table"):
-        rows = [e for e in elements if e["tag"] == "tr" and _inside(e, table)]
+    tables = page.nearest(page.of("tag", "tr"), page.of("tag", "table"))
+    cells_of: dict[int, list[int]] = {}
+    for i in sorted([*page.of("tag", "td"), *page.of("tag", "th")]):
+        cells_of.setdefault(page.up[i], []).append(i)
+    codes = page.children("class", "price-code")
+    for rows in tables.values():
         if len(rows) < 2:
             continue
-        quantity = {i: int(d) for i, c in enumerate(_cells(rows[0])) if i and (d := re.sub(r"\D", "", _text(c))) and 0 < int(d) < 2**31}
+        quantity = {i: int(d) for i, c in enumerate(cells_of.get(rows[0], [])) if i and (d := re.sub(r"\D", "", page.text(c))) and 0 < int(d) < 2**31}
         for row in rows[1:]:
-            cells = _cells(row)
-            label = _text(cells[0]) if len(cells) > 1 else ""
+            cells = cells_of.get(row, [])
+            if len(cells) < 2 or not any(i in quantity for i in range(len(cells))):
+                continue
+            label = page.text(cells[0])
             if not label or _is_price(label):
                 continue
             for i, cell in enumerate(cells):
-                m = re.search(r"[\d.,]+\d", _text(cell)) if i in quantity else None
-                if m is None:
+                number = page.first_number(cell) if i in quantity else None
+                if number is None:
                     continue
                 try:
-                    price = float(m.group().replace(",", ""))
+                    price = float(number.replace(",", ""))
                 except ValueError:
                     continue
-                code = next((_text(c).strip("()") for c in cell["children"] if c["tag"] in ("small", "span") and "price-code" in c["classes"]), None)
+                code = next((page.text(c).strip("()") for c in codes.get(cell, []) if page.tags[c] in ("small", "span")), None)
                 out.append((label, quantity[i], price, code))
     return out
 
 
-def _inside(e: dict, table: dict) -> bool:
-    up = e["up"]
-    while up is not None and up["tag"] != "table":
-        up = up["up"]
-    return up is table
-
-
 def parse_page(page: str | None, spec: dict[str, list[str]] = SPEC, images: list[str] = IMAGES, wanted: frozenset[str] | None = None) -> dict | None:
     """What PARSED names, of one page; None for null. With `wanted`, only those of its names are looked for."""
     if page is None:
         return None
-    tree = _Tree()
-    tree.feed(page)
-    tree.close()
-    es, want = tree.elements, lambda name: wanted is None or name in wanted
+    tree, want = Page(page), lambda name: wanted is None or name in wanted
     out = dict(NOTHING)
     if want("fields") or want("product_number"):
-        out["fields"] = {k: v for k, own in spec.items() if (v := first_value(es, own, PREFIXES.get(k, "")))}
+        out["fields"] = {k: v for k, own in spec.items() if (v := first_value(tree, own, PREFIXES.get(k, "")))}
     if want("images"):
         for text in images:
-            if found := select(es, text):
-                out["images"] = list(dict.fromkeys(v for e in found if (v := _value(e, text))))
+            if found := select(tree, text):
+                out["images"] = list(dict.fromkeys(v for i in found if (v := _value(tree, i, text))))
                 break
     if want("attributes"):
         own: dict[str, list[str]] = {}
-        for e in es:
-            if "attribute" in e["classes"]:
-                label = next((_text(c).rstrip(":") for c in e["children"] if "label" in c["classes"]), "")
-                if label:
-                    own.setdefault(label, []).extend(_text(c) for c in e["children"] if "value" in c["classes"] and _text(c))
+        labels, values = tree.children("class", "label"), tree.children("class", "value")
+        for i in tree.of("class", "attribute"):
+            label = tree.text(labels[i][0]).rstrip(":") if i in labels else ""
+            if label:
+                own.setdefault(label, []).extend(t for c in values.get(i, []) if (t := tree.text(c)))
         out["attributes"] = own
     if want("warnings"):
-        out["warnings"] = _texts(es, "warning") + [t for e in select(es, 'p[ng-repeat*="SWCH"]') if (t := _text(e))]
+        out["warnings"] = _texts(tree, "warning") + [t for i in select(tree, 'p[ng-repeat*="SWCH"]') if (t := tree.text(i))]
     if want("certifications"):
-        out["certifications"] = _texts(es, "certification") + [t for e in select(es, 'p[ng-if*="Certifications"]') if (t := _text(e))]
+        out["certifications"] = _texts(tree, "certification") + [t for i in select(tree, 'p[ng-if*="Certifications"]') if (t := tree.text(i))]
     if want("rush"):
-        out["rush"] = any("rush-available" in e["classes"] for e in es) or bool(select(es, 'p[ng-if*="HasRushService"]'))
+        out["rush"] = bool(tree.of("class", "rush-available") or select(tree, 'p[ng-if*="HasRushService"]'))
     if want("supplier_text"):
-        out["supplier_text"] = " ".join(_texts(es, "supplier"))
+        out["supplier_text"] = " ".join(_texts(tree, "supplier"))
     if want("supplier_link"):
-        out["supplier_link"] = next((e["attrs"]["href"] for e in es if e["tag"] == "a" and e["attrs"].get("href", "").startswith("http") and _within(e, "supplier")), None)
+        links = [i for i in tree.of("tag", "a") if tree.attrs[i].get("href", "").startswith("http")]
+        suppliers = tree.of("class", "supplier")
+        own, within = set(suppliers), set(tree.inside(links, suppliers))
+        out["supplier_link"] = next((tree.attrs[i]["href"] for i in links if i in own or i in within), None)
     if want("related"):
-        related = []
-        for e in es:
-            if "related-item" in e["classes"]:
-                image = next((c["attrs"].get("src", "") for c in es if c["tag"] == "img" and c["up"] is not None and _within_element(c, e)), "")
-                digits = re.search(r"/(\d+)", image)
-                related.append({"name": _text(e), "image": image, "id": digits[1] if digits else None})
+        related, shown = [], tree.of("tag", "img")
+        for i in tree.of("class", "related-item"):
+            at = bisect_right(shown, i)
+            image = tree.attrs[shown[at]].get("src", "") if at < len(shown) and shown[at] < tree.end[i] else ""
+            digits = re.search(r"/(\d+)", image)
+            related.append({"name": tree.text(i), "image": image, "id": digits[1] if digits else None})
         out["related"] = related
     if want("prices"):
-        out["prices"] = [{"label": a, "quantity": q, "price": p, "discount_code": c} for a, q, p, c in price_grid(es)]
+        out["prices"] = [{"label": a, "quantity": q, "price": p, "discount_code": c} for a, q, p, c in price_grid(tree)]
+    data = tree.of("attribute", "data-product")
     if want("product_json"):
-        out["product_json"] = next((e["attrs"]["data-product"] for e in es if e["attrs"].get("data-product")), None)
+        out["product_json"] = next((v for i in data if (v := tree.attrs[i]["data-product"])), None)
     if want("product_number"):
-        number = next((n[1] for e in es if (n := re.search(r'"[Nn]umber"\s*:\s*"?([\w-]+)', e["attrs"].get("data-product", "")))), None)
+        number = next((n[1] for i in data if (n := re.search(r'"[Nn]umber"\s*:\s*"?([\w-]+)', tree.attrs[i]["data-product"]))), None)
         out["product_number"] = out["fields"]["sku"] if number is None and out["fields"].get("sku", "").isdigit() else number
     return out
 
 
-def _within_element(e: dict, top: dict) -> bool:
-    up = e["up"]
-    while up is not None:
-        if up is top:
-            return True
-        up = up["up"]
-    return False
-
-
 NAMES = ("fields", "images", "attributes", "warnings", "certifications", "rush", "supplier_text", "supplier_link", "related", "prices", "product_json", "product_number")
 NOTHING = {"fields": {}, "images": [], "attributes": {}, "warnings": [], "certifications": [], "rush": False, "supplier_text": "", "related": [], "prices": []}
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skeinwork.operators import quality as V
 from skeinwork.plans.registry import query
 from skeinwork.sources import jsonl as S
-from skeinwork.sources import sinks
+from skeinwork.sources import sinks, versions
 from skeinwork.sources.storage import fresh_path, table
 from skeinwork.streaming import ingest as T
 
@@ -75,14 +75,31 @@ def s4_flatten_search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.flatten_search_results(body.select(response.alias("response")), "https://shop.example.com/{id}")
 
 
-@query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders")
-def s6_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publishes the orders over an older version of the table."""
+def published(spark: SparkSession, sf_dir: str) -> str:
+    """A table of orders in two versions; a writer that started from the first one as well is refused."""
     path = fresh_path(spark, "published")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
-    sinks.publish(orders.filter("price > 100000"), path)
-    sinks.publish(orders, path)
-    return spark.read.parquet(path)
+    first = versions.publish(orders.filter("price > 100000"), path)
+    versions.publish(orders, path, base=first)
+    try:
+        versions.publish(orders.filter("price <= 100000"), path, base=first)
+    except versions.VersionConflict:
+        return path
+    raise AssertionError("a version was replaced")
+
+
+@query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders")
+def s6_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version of the published orders."""
+    return versions.read_version(spark, published(spark, sf_dir))
+
+
+@query("SELECT 1 AS version, count(*) FILTER (o_totalprice > 100000) AS n, coalesce(sum(o_orderkey) FILTER (o_totalprice > 100000), 0)::BIGINT AS keys FROM orders UNION ALL SELECT 2, count(*), sum(o_orderkey)::BIGINT FROM orders")
+def s6_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each version of the published orders holds; the older one can still be read."""
+    path = published(spark, sf_dir)
+    own = [versions.read_version(spark, path, n).agg(F.lit(n).alias("version"), F.count("*").alias("n"), F.coalesce(F.sum("id"), F.lit(0)).alias("keys")) for n in versions.versions(spark, path)]
+    return own[0].unionByName(own[1])
 
 
 @query(f"SELECT event_type AS file, md5(content) AS md5, strlen(content) AS bytes, TRUE AS dated FROM (SELECT event_type, string_agg({DAMAGE}, chr(10) ORDER BY event_id) || chr(10) AS content FROM events GROUP BY 1)")
@@ -97,8 +114,18 @@ def s8_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the second run appends, the first one having brought the finished orders."""
     path = fresh_path(spark, "appended")
     orders = table(spark, sf_dir, "orders")
-    sinks.append_new(orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id")), path, "id")
-    return sinks.append_new(orders.select(F.col("o_orderkey").alias("id")), path, "id")
+    versions.append_new(orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id")), path, "id")
+    return versions.append_new(orders.select(F.col("o_orderkey").alias("id")), path, "id")
+
+
+@query("""SELECT id, CASE WHEN id % 3 = 0 THEN 1 WHEN id % 3 = 1 THEN 2 ELSE 3 END AS run FROM (SELECT DISTINCT l_partkey AS id FROM lineitem)""")
+def s8_appended_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts that each of three runs was the first to bring; every run also brings those of the runs before, several times."""
+    path = fresh_path(spark, "runs")
+    lines, found = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("id")), []
+    for run in (1, 2, 3):
+        found.append(versions.append_new(lines.filter(F.col("id") % 3 < run), path, "id").withColumn("run", F.lit(run)))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query("SELECT dense_rank() OVER (ORDER BY event_type) - 1 AS file_no, count(*) FILTER (event_id % 10 IN (3, 5, 6, 7, 8, 9)) AS n FROM events GROUP BY event_type")

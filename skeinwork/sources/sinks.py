@@ -1,9 +1,7 @@
-"""Sinks: numbered batches, atomic publishing, append of what is new, reports."""
+"""Sinks: numbered batches, reports, merged catalogues. Publishing and appending are in versions."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,35 +17,6 @@ def write_batches(df: DataFrame, size: int, path: str, order: list[str]) -> None
     joined.write.partitionBy("batch_id", "batch_count").json(path)
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Writes parquet to a fresh folder beside path, then swaps it in by renames, so readers see old or new."""
-    staging, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(staging)
-    jvm = df.sparkSession.sparkContext._jvm
-    to = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    store = to(path).getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
-    replaced = store.exists(to(path))
-    if replaced and not store.rename(to(path), to(old)):
-        raise OSError(f"{path} can't be moved aside")
-    if not store.rename(to(staging), to(path)):
-        raise OSError(f"{path} can't be published; the data is in {staging}")
-    if replaced:
-        store.delete(to(old), True)
-
-
-def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Appends the rows whose key the parquet table at path does not hold (first of each key; null keys are dropped);
-    returns the keys appended."""
-    spark = df.sparkSession
-    new = df.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
-    run = uuid.uuid4().hex
-    new.withColumn("run", F.lit(run)).write.mode("append").parquet(path)
-    return spark.read.parquet(path).filter(F.col("run") == run).select(key)
-
-
 def write_report(tables: dict[str, DataFrame], path: str) -> None:
     """One folder of JSON for each result table."""
     for name, df in tables.items():

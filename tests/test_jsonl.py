@@ -64,14 +64,6 @@ def test_canonical_form_sorts_keys_and_leaves_out_dates():
     assert canonical("x", ()) is None and canonical(None, ()) is None
 
 
-def test_publish_replaces_a_table_at_once(spark, tmp_path):
-    path = str(tmp_path / "table")
-    sinks.publish(spark.range(3), path)
-    sinks.publish(spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5
-    assert [p.name for p in tmp_path.iterdir()] == ["table"]
-
-
 def test_batches_hold_their_size_but_the_last(spark, tmp_path):
     sinks.write_batches(spark.range(25).withColumn("x", F.col("id")), 10, str(tmp_path / "b"), ["id"])
     counts = spark.read.json(str(tmp_path / "b")).groupBy("batch_id").count().orderBy("batch_id").collect()

@@ -1,5 +1,10 @@
 """Identity, survivors, synchronisation, projections: literal rows in, literal rows out."""
 
+import random
+import re
+import time
+from html.parser import HTMLParser
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -177,16 +182,113 @@ def test_windows_of_a_long_key_are_cut(spark):
 
 
 def test_selectors():
-    page = H._Tree()
-    page.feed('<div id="a" class="x y"><p>one</p><b data-k="v1">two</b><i>three</i></div><p class="x">four</p>')
-    texts = lambda s: [H._text(e) for e in H.select(page.elements, s)]
+    page = H.Page('<div id="a" class="x y"><p>one</p><b data-k="v1">two</b><i>three</i></div><p class="x">four</p>')
+    texts = lambda s: [page.text(i) for i in H.select(page, s)]
     assert texts("#a p") == ["one"] and texts("div.x.y b") == ["two"] and texts(".x p") == ["one"] and texts("p") == ["one", "four"]
     assert texts('[data-k*="v"]') == ["two"] and texts("[data-k=v1] + i") == ["three"] and texts("b + p") == [] and texts("p + b") == ["two"]
-    assert H.first_value(page.elements, [".none", "p.x", "p"]) == "four"
+    assert H.first_value(page, [".none", "p.x", "p"]) == "four"
     with pytest.raises(ValueError):
         H.selector("p:first-child")
 
 
+def test_broken_pages_take_time_and_memory_in_proportion():
+    """200,000 elements that are never closed, end tags that close nothing, tables in tables; each grid, selector and list."""
+    n = 200_000
+    deep = ["<p>" * n, "<div class='supplier'><a href='x'>" * (n // 2), "<b>" * n + "</i>" * n, "<table><tr><td>a<td>1" * (n // 4), "<table><tr><td>q</td><td>10</td></tr>" + "<tr><td>a</td><td>x" * (n // 3), "<tr><td>7</td>" * (n // 2)]
+    for html in deep:
+        began, page = time.process_time(), H.Page(html)
+        for text in ["p b", "div p + a", "p p p p", ".supplier a[href*=x]", "table tr td"]:
+            H.select(page, text)
+        H.price_grid(page)
+        H.parse_page(html, wanted=frozenset({"fields", "images", "rush", "supplier_link", "prices", "product_json", "product_number"}))
+        assert time.process_time() - began < 12, html[:20]
+        assert len(page.tags) <= n + 10 and len(page.pieces) <= n + 10 and all(a < b for a, b in zip(range(len(page.end)), page.end))
+    page = H.Page("<p>" * n + "end")
+    assert page.text(0) == page.text(n - 1) == "end" and page.end[0] == page.end[-1] == n
+
+
+def plain_tree(html):
+    """Every element with the parts of its text, as they are handed to all that are open."""
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.all, self.stack = [], []
+
+        def handle_starttag(self, tag, attrs):
+            own = {k: v or "" for k, v in attrs}
+            up = self.stack[-1] if self.stack else None
+            kin = [e for e in self.all if up is not None and e["up"] is up]
+            e = {"n": len(self.all), "tag": tag, "attrs": own, "up": up, "before": kin[-1] if kin else None, "text": ""}
+            self.all.append(e)
+            if tag not in H.VOID:
+                self.stack.append(e)
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)
+            if tag not in H.VOID:
+                self.handle_endtag(tag)
+
+        def handle_endtag(self, tag):
+            at = [i for i, e in enumerate(self.stack) if e["tag"] == tag]
+            if at:
+                del self.stack[at[-1] :]
+
+        def handle_data(self, data):
+            if not any(e["tag"] in ("script", "style") for e in self.stack):
+                for e in self.stack:
+                    e["text"] += data
+
+    tree = Plain()
+    tree.feed(html)
+    tree.close()
+    return tree.all
+
+
+def fits(e, part):
+    kind = {"tag": e["tag"] == part[1], "id": e["attrs"].get("id") == part[1], "class": part[1] in e["attrs"].get("class", "").split()}
+    if part[0] != "attribute":
+        return kind[part[0]]
+    value = e["attrs"].get(part[1])
+    return value is not None and (part[2] is None or (value == part[3] if part[2] == "=" else part[3] in value))
+
+
+def matches(e, parts, last):
+    relation, conditions = parts[last]
+    if not all(fits(e, c) for c in conditions):
+        return False
+    if not last:
+        return True
+    if relation == "+":
+        return e["before"] is not None and matches(e["before"], parts, last - 1)
+    while (e := e["up"]) is not None:
+        if matches(e, parts, last - 1):
+            return True
+    return False
+
+
+def test_random_pages_against_a_plain_tree():
+    rng = random.Random(2)
+    opening = ["<p>", "<div class='x y'>", "<b id=a>", "<i data-k='v1'>", "<td class=x>", "<tr>", "<table>", "<img src=q>", "<span class='y'/>", "<script>", "text ", "12,5", " 7. ", "3"]
+    closing = ["</p>", "</div>", "</b>", "</i>", "</td>", "</tr>", "</table>", "</script>"]
+    queries = ["p", ".x .y", "div p", "div div b", "p + i", ".x + .y", "#a", "[data-k]", "[data-k*=v] + p", "table tr td.x", "i[data-k=v1]", "div.x.y td", "p p p", "b + b p"]
+    for _ in range(400):
+        html = "".join(rng.choice(opening if rng.random() < 0.6 else closing) for _ in range(rng.randint(0, 60)))
+        page, plain = H.Page(html), plain_tree(html)
+        assert [" ".join(e["text"].split()) for e in plain] == [page.text(i) for i in range(len(page.tags))]
+        for q in queries:
+            parts = H.selector(q)[0]
+            assert H.select(page, q) == [e["n"] for e in plain if matches(e, parts, len(parts) - 1)], (html, q)
+        for e in plain:
+            m = re.search(r"[\d.,]+\d", e["text"])
+            assert page.first_number(e["n"]) == (m.group() if m else None)
+        for t in (e for e in plain if e["tag"] == "table"):
+            def nearest(r):
+                while (r := r["up"]) is not None and r["tag"] != "table":
+                    pass
+                return r
+            assert page.nearest(page.of("tag", "tr"), page.of("tag", "table"))[t["n"]] == [r["n"] for r in plain if r["tag"] == "tr" and nearest(r) is t]
+
+
 def test_pages_of_another_layout(spark):
     """A table of selectors of one's own."""
     df = spark.createDataFrame([(1, "u", "<h1>no</h1><section id=s><h2 data-t='x'>Title</h2><img class=big data-src='/a.png'></section>")], "page_id int, url string, html string")
