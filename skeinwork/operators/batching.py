@@ -3,25 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
-from skeinwork.sources.storage import materialise
+from skeinwork.sources.storage import fresh_path, materialise
 
 
 def with_rank(df: DataFrame, order: list[str]) -> DataFrame:
     """df with rank, the 1-based place in the total order, without a sort of all rows in one task.
 
-    Rows are range-partitioned once and written; each range is numbered on its own, and the ranges' counts
-    (one row each) give the base. Rows that tie in the order are numbered in any order.
+    Rows are range-partitioned and sorted once and written, a file for each range. A row's place in its file comes
+    with the file, and the files' counts (one row each) give the base, so nothing is shuffled a second time. Rows that tie in
+    the order are numbered in any order.
     """
-    parted = materialise(df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()), "ranked")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parted.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return parted.withColumn("_at", within).join(bases, "_part").withColumn("rank", F.col("_base") + F.col("_at")).drop("_part", "_at", "_base")
+    rows, sizes = _ranges(df.repartitionByRange(*order).sortWithinPartitions(*order), df.schema, "ranked")
+    return rows.join(F.broadcast(sizes), "_file").withColumn("rank", F.col("_base") + F.col("_row") + 1).drop("_file", "_row", "_base")
+
+
+def _ranges(sorted_: DataFrame, schema: StructType, name: str) -> tuple[DataFrame, DataFrame]:
+    """Writes sorted ranges; returns their rows with _file and _row (the place in it, from 0), and a row for each file with _base, the
+    rows of the files before."""
+    spark, path = sorted_.sparkSession, fresh_path(sorted_.sparkSession, name)
+    sorted_.write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    number = [F.regexp_extract("_file", p, 1).cast("long") for p in (r"^part-(\d+)", r"-c(\d+)")]  # of the task, and of its file
+    before = Window.orderBy(*number).rowsBetween(Window.unboundedPreceding, -1)
+    return rows, rows.groupBy("_file").count().select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
 
 
 def assign_batches(df: DataFrame, size: int, order: list[str]) -> DataFrame:
@@ -56,32 +70,126 @@ def top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def plan_compaction(files: DataFrame, cap: int, small: int | None = None) -> DataFrame:
+def _batches(rows: Iterator[tuple], schema: StructType, most: int = 10_000) -> Iterator[pa.RecordBatch]:
+    own = to_arrow_schema(schema)
+    while held := list(islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), own)], schema=own)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(n).to_pylist() for n in names))
+
+
+def _prefix_sums(df: DataFrame, order: list[str], value: str, parts: int) -> DataFrame:
+    """df with _i, the place in the total order from 1, and _sum, the values up to and with it: sums within each sorted range, and the ranges' totals
+    (one row each) for those before."""
+    schema = StructType([*df.schema.fields]).add("_part", IntegerType()).add("_i", LongType()).add("_sum", LongType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, total = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            sums = total + np.cumsum(batch.column(value).to_numpy())
+            own = [pa.array(np.full(len(sums), part, np.int32)), pa.array(n + 1 + np.arange(len(sums))), pa.array(sums)]
+            if len(sums):
+                n, total = n + len(sums), sums[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=schema.names)
+
+    rows = materialise(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema), "prefix-sums")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("_part").agg(F.max("_i").alias("n"), F.max("_sum").alias("s")).select("_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in "ns"])
+    return rows.join(F.broadcast(ends), "_part").withColumns({"_i": F.col("_i") + F.col("_n"), "_sum": F.col("_sum") + F.col("_s")}).drop("_part", "_n", "_s")
+
+
+def _jumps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """A range of places and thresholds, the largest first: for each file (part, i, next, exit, file, place, size).
+
+    next is where the group after one that starts here starts: the last place that came by, whose sum is over this one's threshold. exit
+    is the first start outside this range, whichever starts lie between. Where no place has come by yet, next is open, and
+    an exit by way of such a file is the file's number below zero. At the end a row without i has the last place as next.
+    """
+    part, last, exits, top = TaskContext.get().partitionId(), None, [], None
+    for kind, i, *file in _rows(batches, "kind", "_i", "file", "place", "size"):
+        if kind == 0:
+            last = i
+            continue
+        top = i if top is None else top
+        after = None if last is None else max(last, i + 1)
+        exits.append(-i if after is None else after if after > top else exits[top - after])
+        yield part, i, after, exits[-1], *file
+    if last is not None:
+        yield part, None, last, None, None, None, None
+
+
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Files by range and place, with `entry` where a group starts that no start of this range leads to: adds the starts so far in the
+    range, and whether this is one."""
+    part, expected, n = None, None, 0
+    for own, i, after, entry, *file in _rows(batches, "part", "i", "next", "entry", "file", "place", "size"):
+        if own != part:
+            part, expected, n = own, None, 0
+        start = bool(entry) or i == expected
+        if start:
+            expected, n = after, n + 1
+        yield own, i, after, n, start, *file
+
+
+def _reached(jumps: DataFrame) -> DataFrame:
+    """Places that the jumps lead to from place 1, by pointer doubling: each round takes twice as many steps at once."""
+    spark = jumps.sparkSession
+    targets = jumps.select(F.col("exit").alias("i")).union(spark.range(1, 2).select(F.col("id").alias("i"))).distinct()
+    steps, found, n = materialise(jumps.join(targets, "i", "left_semi"), "jumps"), spark.range(1, 2).select(F.col("id").alias("i")), 1
+    while True:
+        found = materialise(found.union(found.join(steps, "i").select(F.col("exit").alias("i"))).distinct(), "reached")
+        before, n = n, found.count()
+        if n == before:
+            return found
+        steps = materialise(steps.join(steps.select(F.col("i").alias("exit"), F.col("exit").alias("further")), "exit").select("i", F.col("further").alias("exit")), "jumps")
+
+
+def plan_compaction(files: DataFrame, cap: int, small: int | None = None, parts: int | None = None) -> DataFrame:
     """(file, place, size, group_id, rewritten): files are taken in order of place, and a group is closed when the next
     would take it over the cap; groups of two files or more are rewritten.
 
-    With `small`, only files of less take part, as the smaller variant has it (its cap is twice its target). The
-    walk is sequential by nature: it goes once over the sorted table of files, a few numbers each, in batches, and keeps
-    two numbers. A file without a size counts as empty.
+    With `small`, only files of less take part, as the smaller variant has it (its cap is twice its target). A file without
+    a size counts as empty. Sizes are not below zero.
+
+    No task sees all files. Sums up to each file are taken by sorted ranges (`parts` of them). A group that starts at a file ends
+    before the first place whose sum is over the file's threshold: places and thresholds are sorted together, by ranges again, and each
+    range finds them and the first start beyond it. These jumps are followed from the first file by pointer doubling, in as many joins as
+    the logarithm of the number of ranges; they say where each range is entered, and it marks its own starts.
     """
     own = files if small is None else files.filter(F.col("size") < small)
-    kind = dict(files.dtypes)["file"]
+    spark, kind = files.sparkSession, files.schema["file"].dataType
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = own.select("file", F.col("place").cast("long"), F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"))
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, total = 0, 0
-        for batch in batches:
-            groups = []
-            for size in batch.column("size").to_pylist():
-                if group and total + size <= cap:
-                    total += size
-                else:
-                    group, total = group + 1, size
-                groups.append(group)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(groups, pa.int64())], names=[*batch.schema.names, "group_id"])
-
-    rows = listed.repartition(1).sortWithinPartitions("place", "file", "size").mapInArrow(walk, f"file {kind}, place long, size long, group_id long")
-    return rows.withColumn("rewritten", F.count("*").over(Window.partitionBy("group_id")) > 1)
+    summed = _prefix_sums(listed, ["place", "file", "size"], "size", parts)
+    payload = ["file", "place", "size"]
+    places = summed.select(F.col("_sum").alias("value"), F.lit(0).alias("kind"), "_i", *[F.lit(None).cast(listed.schema[c].dataType).alias(c) for c in payload])
+    thresholds = summed.select((F.col("_sum") - F.col("size") + cap).alias("value"), F.lit(1).alias("kind"), "_i", *payload)
+    falling = [F.desc(c) for c in ("value", "kind", "_i")]  # a place of the same sum is not over the threshold
+    tail = StructType([StructField("file", kind), StructField("place", LongType()), StructField("size", LongType())])
+    numbers = lambda *names: [StructField(n, IntegerType() if n == "part" else LongType()) for n in names]
+    schema = StructType([*numbers("part", "i", "next", "exit"), *tail.fields])
+    both = places.unionByName(thresholds).repartitionByRange(parts, *falling).sortWithinPartitions(*falling)
+    found = materialise(both.mapInArrow(lambda b: _batches(_jumps(b), schema), schema), "jumps")
+
+    over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = found.groupBy("part").agg(F.min(F.when(F.col("i").isNull(), F.col("next"))).alias("last"), F.max("i").alias("top"))
+    edges = F.broadcast(ranges.select("part", F.min("last").over(over).alias("carry"), F.max("top").over(Window.partitionBy()).alias("n")))  # a row a range
+    by = lambda i: F.greatest(F.when(F.col("carry").isNotNull(), i + 1), F.col("carry"))
+    jumps = found.filter(F.col("i").isNotNull()).join(edges, "part")
+    jumps = jumps.withColumns({"next": F.coalesce("next", by(F.col("i"))), "exit": F.when(F.col("exit") > 0, F.col("exit")).otherwise(by(-F.col("exit")))})
+    entries = _reached(jumps.filter(F.col("exit") <= F.col("n")).select("i", "exit"))
+    flagged = jumps.join(F.broadcast(entries.withColumn("entry", F.lit(True))), "i", "left")  # two a range at most
+    schema = StructType([*numbers("part", "i", "next", "starts"), StructField("start", BooleanType()), *tail.fields])
+    in_order = flagged.repartition("part").sortWithinPartitions("part", "i").select("part", "i", "next", "entry", *payload)
+    marked = materialise(in_order.mapInArrow(lambda b: _batches(_starts(b), schema), schema), "starts")
+    # Later ranges lie further down the order of places.
+    below = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = marked.groupBy("part").agg(F.count_if("start").alias("m"), F.max("i").alias("top")).select("part", F.coalesce(F.sum("m").over(below), F.lit(0)).alias("base"), F.max("top").over(Window.partitionBy()).alias("n"))
+    alone = F.col("start") & (F.coalesce("next", F.col("n") + 1) == F.col("i") + 1)
+    return marked.join(F.broadcast(bases), "part").select(*payload, (F.col("base") + F.col("starts")).alias("group_id"), (~alone).alias("rewritten"))
 
 
 def plan_chunk(files: DataFrame, start: int, most: int) -> tuple[DataFrame, DataFrame]:
@@ -147,19 +255,52 @@ def trailing_rate(log: DataFrame, seconds: int, most: int, least_gap: float, key
     return out.filter("_own = 0").drop("_at", "_piece", "_own")
 
 
-def failure_streaks(log: DataFrame, n: int, key: str, order: list[str], ok: Column, size: int = STRETCH) -> DataFrame:
-    """(key, first, last, failures) of runs of n or more failures in a row; a success ends a run.
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple]:
+    """Runs of failures in one sorted range: (key, part, at, first, last, failures, opens, closes).
 
-    A run is known by the successes before it: those in its stretch of the key, and the sums of the stretches before.
+    `opens` and `closes` say whether a run is at the range's first and last row, where it may go on. A range whose first or
+    last row is no failure has an empty run there, so that its neighbours know.
+    """
+    part, at, run, n = TaskContext.get().partitionId(), 0, None, 0
+    for own, ok, place in _rows(batches, key, "_ok", "_place"):
+        if run is not None and (ok or own != run[0]):
+            yield run[0], part, at, *run[1:], at == 0, False
+            run, at = None, at + 1
+        elif n == 0 and ok:
+            yield own, part, 0, None, None, 0, True, False
+        at += n == 0 and bool(ok)
+        n += 1
+        if not ok:
+            run = [own, place, place, 1] if run is None else [own, run[1], place, run[3] + 1]
+    if run is not None:
+        yield run[0], part, at, *run[1:], at == 0, True
+    elif n:
+        yield None, part, at, None, None, 0, False, True
+
+
+def failure_streaks(log: DataFrame, n: int, key: str, order: list[str], ok: Column, parts: int | None = None) -> DataFrame:
+    """(key, first, last, failures) of runs of n or more failures in a row; a success ends a run. A null outcome is a failure; rows
+    without a key are one of their own.
+
+    Rows are sorted once, by ranges of key and order, and each range is made to runs as it passes. Only the runs at a range's first and
+    last row may go on in the next one: a few rows a range, which are put together by their key.
     """
-    own = materialise(_stretched(log.withColumn("_ok", ok.cast("int")), [key], order, size), "streaks")
-    before = Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    bases = own.groupBy(key, "_stretch").agg(F.sum("_ok").alias("_sum")).select(key, "_stretch", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    within = F.sum("_ok").over(Window.partitionBy(key, "_stretch").orderBy("_rank"))
-    failed = own.withColumn("_within", within).filter("_ok = 0")
-    island = failed.join(bases, [key, "_stretch"]).withColumn("_island", F.col("_base") + F.col("_within"))
-    runs = island.groupBy(key, "_island").agg(F.min(order[-1]).alias("first"), F.max(order[-1]).alias("last"), F.count("*").alias("failures"))
-    return runs.filter(F.col("failures") >= n).drop("_island")
+    spark = log.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slim = log.select(key, *[c for c in order if c != key], F.coalesce(ok, F.lit(False)).alias("_ok"), F.col(order[-1]).alias("_place"))
+    place = slim.schema["_place"].dataType
+    schema = StructType([slim.schema[key], StructField("_part", IntegerType()), StructField("_at", LongType()), StructField("first", place), StructField("last", place), StructField("failures", LongType())])
+    for name in ("_opens", "_closes"):
+        schema = schema.add(name, BooleanType())
+    sorted_ = slim.repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
+    runs = materialise(sorted_.select(key, "_ok", "_place").mapInArrow(lambda b: _batches(_runs(b, key), schema), schema), "runs")
+    inner = runs.filter("NOT _opens AND NOT _closes").select(key, "first", "last", "failures")
+    edges = runs.filter("_opens OR _closes")
+    in_order = Window.orderBy("_part", "_at")
+    goes_on = F.lag("_closes").over(in_order) & (F.lag("failures").over(in_order) > 0) & F.col("_opens") & (F.col("failures") > 0) & F.lag(key).over(in_order).eqNullSafe(F.col(key))
+    joined = edges.withColumn("_run", F.sum((~F.coalesce(goes_on, F.lit(False))).cast("long")).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    outer = joined.filter("failures > 0").groupBy(key, "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("failures").alias("failures")).drop("_run")
+    return inner.unionByName(outer).filter(F.col("failures") >= n)
 
 
 def latest_file(files: DataFrame, pattern: str) -> DataFrame:

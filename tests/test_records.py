@@ -114,6 +114,74 @@ def test_compaction_groups(spark):
     assert W.plan_compaction(files.limit(0), 100).count() == 0
 
 
+def walk(sizes, cap):
+    """The groups by the walk that the plan does without."""
+    groups, total = [], 0
+    for size in sizes:
+        if groups and total + size <= cap:
+            total += size
+            groups.append(groups[-1])
+        else:
+            total = size
+            groups.append(groups[-1] + 1 if groups else 1)
+    return [(g, groups.count(g) > 1) for g in groups]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5, 8])
+def test_compaction_equals_a_walk(spark, parts):
+    rng = random.Random(parts)
+    for kind in ([1, 2, 3], [0, 0, 0, 1], [5, 150], [100], [0, 40, 101], [1] * 30 + [99]):
+        sizes = [rng.choice(kind) for _ in range(rng.choice([1, 2, 7, 40, 150]))]
+        files = spark.createDataFrame([(f"f{i}", i // 2, n or None) for i, n in enumerate(sizes)], "file string, place long, size long")
+        # Files of one place go by name, as text.
+        order = sorted(range(len(sizes)), key=lambda i: (i // 2, f"f{i}"))
+        got = sorted(values(W.plan_compaction(files, 100, parts=parts), "place", "file", "size", "group_id", "rewritten"))
+        want = [(i // 2, f"f{i}", sizes[i], *g) for i, g in zip(order, walk([sizes[i] for i in order], 100))]
+        assert got == want, (kind, len(sizes))
+
+
+def test_a_million_files_in_ranges(spark):
+    n = 1_000_000
+    size = lambda c: F.pmod(F.xxhash64(c), F.lit(97)) + 1
+    files = spark.range(0, n, 1, 8).select(F.col("id").alias("file"), F.col("id").alias("place"), size(F.col("id")).alias("size"))
+    got = W.plan_compaction(files, 5000, parts=8).select("place", "size", "group_id").toPandas().sort_values("place")
+    sums, groups, total, group = got["size"].tolist(), [], 0, 0
+    for x in sums:
+        group, total = (group, total + x) if group and total + x <= 5000 else (group + 1, x)
+        groups.append(group)
+    assert len(got) == n and got["group_id"].tolist() == groups
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_streaks_across_ranges(spark, parts):
+    rng = random.Random(parts)
+    for share in (0.3, 0.9, 1.0):
+        log = [(rng.choice(["a", "b", "c", None]) if share < 1 else "a", i, rng.random() > share) for i in range(200)]
+        df = spark.createDataFrame([(u, i, ok if i % 50 else (None if not ok else ok)) for u, i, ok in log], "user string, id long, ok boolean")
+        got = sorted(values(W.failure_streaks(df, 2, "user", ["id"], F.col("ok"), parts=parts), "user", "first", "last", "failures"), key=str)
+        want = []
+        for u in {u for u, *_ in log}:
+            run = []
+            for _, i, ok in [r for r in log if r[0] == u] + [(u, None, True)]:
+                if ok and len(run) > 1:
+                    want.append((u, run[0], run[-1], len(run)))
+                run = [] if ok else [*run, i]
+        assert got == sorted(want, key=str)
+    assert W.failure_streaks(df.limit(0), 2, "user", ["id"], F.col("ok"), parts=parts).count() == 0
+
+
+def exchanges(df):
+    """Shuffles of rows in a plan, without broadcasts and without those of tables of a row a range (single partition)."""
+    plan = df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    return len([line for line in plan.splitlines() if re.search(r"Exchange (hash|range)partitioning", line) and "_file" not in line])
+
+
+def test_numbering_shuffles_once_and_windows_once_more(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS user", "id")
+    assert exchanges(W.assign_batches(df, 50, ["id"])) == 0  # behind the written ranges
+    assert exchanges(W.recent(df, 3, ["user"], ["id"], "id")) == 1
+
+
 def test_ranks_do_not_depend_on_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     for n in ("1", "8"):
