@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinwork.functions.columns import percent
+from skeinwork.operators.batching import with_place
 from skeinwork.sources.storage import materialise
 
 #: Files of a product that one join task pairs with all others; a product in more is dealt over several tasks.
@@ -24,10 +25,16 @@ def duplication_summary(df: DataFrame) -> DataFrame:
     return rows.crossJoin(products).withColumn("duplication_rate", F.round(percent(F.col("duplicate_products"), F.col("unique_products")), 6))
 
 
-def duplicate_products(df: DataFrame) -> DataFrame:
-    """(product, files, file_count) of products in several files, most files first, ties by product."""
+def duplicate_products(df: DataFrame, size: int = 1000, parts: int | None = None) -> DataFrame:
+    """(product, page, files, file_count) of products in several files, most files first, ties by product.
+
+    Files are in order, `size` of them a page (from 0), so no row and no task holds all files of a product in very many.
+    """
     pairs = df.filter(F.col("product").isNotNull()).select("file", "product").distinct()
-    return pairs.groupBy("product").agg(F.sort_array(F.collect_list("file")).alias("files"), F.count("*").alias("file_count")).filter("file_count > 1").orderBy(F.desc("file_count"), "product")
+    placed = with_place(pairs, "product", ["file"], parts).withColumn("page", F.floor((F.col("place") - 1) / size))
+    pages = materialise(placed.groupBy("product", "page").agg(F.sort_array(F.collect_list("file")).alias("files"), F.max("place").alias("most")), "product-pages")
+    counts = pages.groupBy("product").agg(F.max("most").alias("file_count")).filter("file_count > 1")
+    return pages.join(counts, "product").select("product", "page", "files", "file_count").orderBy(F.desc("file_count"), "product", "page")
 
 
 def file_distribution(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def with_rank(df: DataFrame, order: list[str]) -> DataFrame:
     with the file, and the files' counts (one row each) give the base, so nothing is shuffled a second time. Rows that tie in
     the order are numbered in any order.
     """
-    rows, sizes = _ranges(df.repartitionByRange(*order).sortWithinPartitions(*order), df.schema, "ranked")
+    rows, sizes = _ranges(_ranged(df, None, *order), df.schema, "ranked")
     return rows.join(F.broadcast(sizes), "_file").withColumn("rank", F.col("_base") + F.col("_row") + 1).drop("_file", "_row", "_base")
 
 
@@ -81,7 +82,12 @@ def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(n).to_pylist() for n in names))
 
 
-def _prefix_sums(df: DataFrame, order: list[str], value: str, parts: int) -> DataFrame:
+def _ranged(df: DataFrame, parts: int | None, *order: Column | str) -> DataFrame:
+    """df in sorted ranges: `parts` of them, or as many as its size asks for when it runs."""
+    return (df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+
+
+def _prefix_sums(df: DataFrame, order: list[str], value: str, parts: int | None) -> DataFrame:
     """df with _i, the place in the total order from 1, and _sum, the values up to and with it: sums within each sorted range, and the ranges' totals
     (one row each) for those before."""
     schema = StructType([*df.schema.fields]).add("_part", IntegerType()).add("_i", LongType()).add("_sum", LongType())
@@ -95,12 +101,46 @@ def _prefix_sums(df: DataFrame, order: list[str], value: str, parts: int) -> Dat
                 n, total = n + len(sums), sums[-1]
             yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=schema.names)
 
-    rows = materialise(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema), "prefix-sums")
+    rows = materialise(_ranged(df, parts, *order).mapInArrow(run, schema), "prefix-sums")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     ends = rows.groupBy("_part").agg(F.max("_i").alias("n"), F.max("_sum").alias("s")).select("_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in "ns"])
     return rows.join(F.broadcast(ends), "_part").withColumns({"_i": F.col("_i") + F.col("_n"), "_sum": F.col("_sum") + F.col("_s")}).drop("_part", "_n", "_s")
 
 
+def with_place(df: DataFrame, key: str, order: list[str], parts: int | None = None) -> DataFrame:
+    """df with place, the 1-based place among the rows of its key, without a task that sees a whole key.
+
+    Rows are sorted once, by ranges of key and order, and numbered as they pass; of a key that goes on from one range to the
+    next the rows before are added from a table of the ranges' edges.
+    """
+    schema = StructType([*df.schema.fields]).add("_part", IntegerType()).add("_first", BooleanType()).add("place", LongType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, place, first = TaskContext.get().partitionId(), None, 0, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(key)
+            codes = pc.fill_null(keys.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+            goes_on = before is not None and keys[0].as_py() == before[0]
+            change = np.append(not goes_on, codes[1:] != codes[:-1])
+            at = np.arange(len(codes))
+            starts = np.maximum.accumulate(np.where(change, at, -1))
+            places = np.where(starts < 0, place + at + 1, at - starts + 1)
+            in_first = np.cumsum(change) == (1 if before is None else 0) if first else np.zeros(len(codes), dtype=bool)
+            before, place, first = (keys[-1].as_py(),), int(places[-1]), bool(in_first[-1])
+            own = [pa.array(np.full(len(codes), part, np.int32)), pa.array(in_first), pa.array(places)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=schema.names)
+
+    rows = materialise(_ranged(df, parts, key, *order).mapInArrow(run, schema), "placed")
+    ends = rows.groupBy("_part").agg(F.min(F.struct(key)).alias("f"), F.max(F.struct(key, "place")).alias("l"))  # the first and the last row
+    entry = lambda of, n, first: ends.select("_part", F.col(f"{of}.{key}").alias("k"), n.alias("n"), F.lit(first).alias("first"))
+    before = Window.partitionBy("k").orderBy("_part", F.desc("first")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = entry("f", F.lit(0), True).unionByName(entry("l", F.col("l.place"), False)).withColumn("_base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    edges = F.broadcast(bases.filter("first").select("_part", "_base"))  # a row a range
+    return rows.join(edges, "_part").withColumn("place", F.col("place") + F.when(F.col("_first"), F.col("_base")).otherwise(0)).drop("_part", "_first", "_base")
+
+
 def _jumps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """A range of places and thresholds, the largest first: for each file (part, i, next, exit, file, place, size).
 
@@ -154,14 +194,13 @@ def plan_compaction(files: DataFrame, cap: int, small: int | None = None, parts:
     With `small`, only files of less take part, as the smaller variant has it (its cap is twice its target). A file without
     a size counts as empty. Sizes are not below zero.
 
-    No task sees all files. Sums up to each file are taken by sorted ranges (`parts` of them). A group that starts at a file ends
+    No task sees all files. Sums up to each file are taken by sorted ranges (`parts`, or as many as their size asks for). A group that starts at a file ends
     before the first place whose sum is over the file's threshold: places and thresholds are sorted together, by ranges again, and each
     range finds them and the first start beyond it. These jumps are followed from the first file by pointer doubling, in as many joins as
     the logarithm of the number of ranges; they say where each range is entered, and it marks its own starts.
     """
     own = files if small is None else files.filter(F.col("size") < small)
-    spark, kind = files.sparkSession, files.schema["file"].dataType
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = files.schema["file"].dataType
     listed = own.select("file", F.col("place").cast("long"), F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"))
     summed = _prefix_sums(listed, ["place", "file", "size"], "size", parts)
     payload = ["file", "place", "size"]
@@ -171,7 +210,7 @@ def plan_compaction(files: DataFrame, cap: int, small: int | None = None, parts:
     tail = StructType([StructField("file", kind), StructField("place", LongType()), StructField("size", LongType())])
     numbers = lambda *names: [StructField(n, IntegerType() if n == "part" else LongType()) for n in names]
     schema = StructType([*numbers("part", "i", "next", "exit"), *tail.fields])
-    both = places.unionByName(thresholds).repartitionByRange(parts, *falling).sortWithinPartitions(*falling)
+    both = _ranged(places.unionByName(thresholds), parts, *falling)
     found = materialise(both.mapInArrow(lambda b: _batches(_jumps(b), schema), schema), "jumps")
 
     over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -285,15 +324,12 @@ def failure_streaks(log: DataFrame, n: int, key: str, order: list[str], ok: Colu
     Rows are sorted once, by ranges of key and order, and each range is made to runs as it passes. Only the runs at a range's first and
     last row may go on in the next one: a few rows a range, which are put together by their key.
     """
-    spark = log.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = log.select(key, *[c for c in order if c != key], F.coalesce(ok, F.lit(False)).alias("_ok"), F.col(order[-1]).alias("_place"))
     place = slim.schema["_place"].dataType
     schema = StructType([slim.schema[key], StructField("_part", IntegerType()), StructField("_at", LongType()), StructField("first", place), StructField("last", place), StructField("failures", LongType())])
     for name in ("_opens", "_closes"):
         schema = schema.add(name, BooleanType())
-    sorted_ = slim.repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
-    runs = materialise(sorted_.select(key, "_ok", "_place").mapInArrow(lambda b: _batches(_runs(b, key), schema), schema), "runs")
+    runs = materialise(_ranged(slim, parts, key, *order).select(key, "_ok", "_place").mapInArrow(lambda b: _batches(_runs(b, key), schema), schema), "runs")
     inner = runs.filter("NOT _opens AND NOT _closes").select(key, "first", "last", "failures")
     edges = runs.filter("_opens OR _closes")
     in_order = Window.orderBy("_part", "_at")

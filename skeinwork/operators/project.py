@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skeinwork.functions.columns import absolute_url, first_truthy, slug, truthy
 
@@ -125,31 +128,44 @@ KEPT = (
 )
 
 
+def _texts(*names: str, **nested: StructType) -> StructType:
+    """A schema that takes fields as text; parts that are not scalars stay JSON. Nested ones are taken apart."""
+    return StructType([*[StructField(n, StringType()) for n in names], *[StructField(n, t) for n, t in nested.items()]])
+
+
 def flatten_sections(df: DataFrame, doc: str) -> DataFrame:
     """Sectioned records (JSON text) as flat columns of text; nested parts stay JSON. A section wins over the flat
-    field of the same meaning, and flat records keep theirs."""
-    get = lambda path: F.get_json_object(F.col(doc), f"$.{path}")
-    fields = [F.coalesce(get(f"product.{inner}"), get(flat), F.lit("")).alias(flat) for flat, inner in FLAT]
-    fields += [F.coalesce(get(section), get(flat), F.lit("{}")).alias(flat) for flat, section in SECTIONS]
+    field of the same meaning, and flat records keep theirs. A record is parsed once."""
+    flat = dict.fromkeys([name for name, _ in (*FLAT, *SECTIONS, *KEPT)] + [section for _, section in SECTIONS] + ["fpd_config", "meta"])
+    schema = _texts(*flat, product=_texts(*[inner for _, inner in FLAT]), art_template=_texts("url"))
+    own = df.select(F.from_json(doc, schema).alias("r"))
+    get = lambda *path: F.col(".".join(f"`{p}`" for p in ("r", *path)))
+    fields = [F.coalesce(get("product", inner), get(name), F.lit("")).alias(name) for name, inner in FLAT]
+    fields += [F.coalesce(get(section), get(name), F.lit("{}")).alias(name) for name, section in SECTIONS]
     fields += [F.coalesce(get(name), F.lit(default)).alias(name) for name, default in KEPT]
-    extra = [get("art_template.url").alias("product_art_url"), get("fpd_config").alias("fpd_config"), get("meta").alias("meta")]
-    return df.select(*fields, *extra)
+    extra = [get("art_template", "url").alias("product_art_url"), get("fpd_config").alias("fpd_config"), get("meta").alias("meta")]
+    return own.select(*fields, *extra)
 
 
+# The sections that are laid over a product.
 OVERLAID = ("pricing", "attributes", "imprinting", "supplier", "production", "shipping", "specifications", "fpd_config", "variants", "virtual_samples", "related_products", "services", "warnings", "categories", "themes")
 
 
 def overlay_sections(df: DataFrame, doc: str) -> DataFrame:
     """(product map<string,string>): the fields of `product` with the record's sections laid over them, and weight and
-    dimensions of the specifications; records whose product is no object stay whole."""
-    product = F.from_json(F.get_json_object(doc, "$.product"), "map<string,string>")
-    sections = F.map_from_arrays(F.array(*[F.lit(s) for s in OVERLAID]), F.array(*[F.get_json_object(doc, f"$.{s}") for s in OVERLAID]))
-    parts = F.map_from_arrays(F.array(F.lit("weight"), F.lit("dimensions")), F.array(F.get_json_object(doc, "$.specifications.weight"), F.get_json_object(doc, "$.specifications.dimensions")))
+    dimensions of the specifications; records whose product is no object stay whole. A record is parsed once, and the
+    product and the specifications as parts of it."""
+    parsed = f"_{uuid.uuid4().hex}"  # no column of df
+    own = df.withColumn(parsed, F.from_json(doc, _texts("product", *OVERLAID)))
+    get = lambda name: F.col(f"`{parsed}`.`{name}`")
+    product, specs = F.from_json(get("product"), "map<string,string>"), F.from_json(get("specifications"), _texts("weight", "dimensions"))
+    sections = F.map_from_arrays(F.array(*[F.lit(s) for s in OVERLAID]), F.array(*[get(s) for s in OVERLAID]))
+    parts = F.map_from_arrays(F.array(F.lit("weight"), F.lit("dimensions")), F.array(specs["weight"], specs["dimensions"]))
     given = lambda m: F.map_filter(m, lambda _, v: v.isNotNull())
     keep = lambda m, o: F.map_filter(m, lambda k, _: ~F.map_contains_key(o, k))
     over = F.map_concat(given(sections), given(parts))
     merged = F.map_concat(keep(product, over), over)
-    return df.withColumn("product", F.when(F.get_json_object(doc, "$.product").startswith("{"), merged).otherwise(F.from_json(doc, "map<string,string>")))
+    return own.withColumn("product", F.when(get("product").startswith("{"), merged).otherwise(F.from_json(doc, "map<string,string>"))).drop(parsed)
 
 
 # Key in the store's meta map, field of the record.

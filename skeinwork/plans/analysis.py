@@ -32,9 +32,14 @@ def a1_duplication_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.duplication_summary(catalogue_pairs(spark, sf_dir))
 
 
-@query(f"SELECT product, array_to_string(list_sort(list(file)), ',') AS files, count(*) AS file_count FROM ({PAIRS}) GROUP BY product HAVING count(*) > 1")
+#: Files of a page of A2: few enough that the given tables need several.
+PAGE = 3
+
+
+@query(f"""SELECT product, (place - 1) // {PAGE} AS page, array_to_string(list(file ORDER BY file), ',') AS files, any_value(n) AS file_count FROM
+  (SELECT *, row_number() OVER (PARTITION BY product ORDER BY file) AS place, count(*) OVER (PARTITION BY product) AS n FROM ({PAIRS})) WHERE n > 1 GROUP BY 1, 2""")
 def a2_duplicate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = A.duplicate_products(catalogue_pairs(spark, sf_dir))
+    found = A.duplicate_products(catalogue_pairs(spark, sf_dir), PAGE)
     return found.withColumn("files", F.array_join(F.transform("files", lambda x: x.cast("string")), ","))
 
 

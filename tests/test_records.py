@@ -170,6 +170,26 @@ def test_streaks_across_ranges(spark, parts):
     assert W.failure_streaks(df.limit(0), 2, "user", ["id"], F.col("ok"), parts=parts).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 6])
+def test_places_within_a_key_across_ranges(spark, parts):
+    rng = random.Random(parts)
+    for keys in (["a"], ["a", "b", "c", None], [str(i) for i in range(200)], ["a"] * 9 + ["b"]):
+        rows = [(rng.choice(keys), i) for i in range(300)]
+        df = spark.createDataFrame(rows, "k string, i long").repartition(3)
+        got = sorted(values(W.with_place(df, "k", ["i"], parts), "k", "i", "place"), key=str)
+        assert got == sorted(((k, i, sum(1 for x, j in rows if x == k and j <= i)) for k, i in rows), key=str)
+    assert W.with_place(df.limit(0), "k", ["i"], parts).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_files_of_a_product_come_in_pages(spark, parts):
+    df = spark.range(5000).selectExpr("id AS file", "IF(id % 5 = 4, id, 0) AS product")
+    got = values(A.duplicate_products(df, 1000, parts), "product", "page", "files", "file_count")
+    files = [i for i in range(5000) if i % 5 != 4]
+    assert got == [(0, p, files[1000 * p : 1000 * p + 1000], 4000) for p in range(4)]
+    assert A.duplicate_products(df.limit(0)).count() == 0
+
+
 def exchanges(df):
     """Shuffles of rows in a plan, without broadcasts and without those of tables of a row a range (single partition)."""
     plan = df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
@@ -249,6 +269,20 @@ def test_windows_of_a_long_key_are_cut(spark):
     assert len(got) == 500
 
 
+def test_records_are_parsed_once(spark):
+    doc = '{"product": {"id": 5, "name": "n", "pricing": {"a": [1, 2.50]}}, "name": "top", "pricing": {"w": 1}, "specifications": {"weight": 3, "x": null}, "extraction_time": 7.0, "art_template": {"url": "u"}, "meta": [1, {"k": "\\u00e9"}], "themes": null}'
+    df = spark.createDataFrame([(doc,), ('{"product": "text", "name": "flat", "sku": "s", "supplier": {}}',), ("{bad",), (None,)], "doc string")
+    flat = P.flatten_sections(df, "doc")
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"from_json\(", plan)) == 1 and "get_json_object" not in plan
+    one, two, bad, none = flat.collect()
+    assert (one["product_id"], one["name"], one["pricing_info"], one["specifications"], one["extraction_time"], one["product_art_url"]) == ("5", "n", '{"w":1}', '{"weight":3,"x":null}', "7.0", "u")
+    assert one["meta"] == '[1,{"k":"é"}]' and one["themes"] == "[]" and (two["name"], two["sku"], two["supplier_info"]) == ("flat", "s", "{}")
+    assert tuple(bad) == tuple(none) and none["name"] == "" and none["images"] == "[]" and none["meta"] is None
+    over = [r["product"] for r in P.overlay_sections(df.filter("doc LIKE '%name%'"), "doc").collect()]
+    assert over[0] == {"id": "5", "name": "n", "pricing": '{"w":1}', "specifications": '{"weight":3,"x":null}', "weight": "3"} and over[1]["name"] == "flat" and over[1]["product"] == "text"
+
+
 def test_selectors():
     page = H.Page('<div id="a" class="x y"><p>one</p><b data-k="v1">two</b><i>three</i></div><p class="x">four</p>')
     texts = lambda s: [page.text(i) for i in H.select(page, s)]
