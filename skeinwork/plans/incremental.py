@@ -104,8 +104,8 @@ def s6_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT event_type AS file, md5(content) AS md5, strlen(content) AS bytes, TRUE AS dated FROM (SELECT event_type, string_agg({DAMAGE}, chr(10) ORDER BY event_id) || chr(10) AS content FROM events GROUP BY 1)")
 def s7_scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file of lines per event type, with its size, digest and whether it has a date."""
-    files = S.scan_files(spark, f"{ordered_lines(spark, sf_dir)}/*", "*.txt").filter("bytes > 0")
+    """One file of lines per event type, with its size, digest and whether it has a date; the larger ones are read in pieces."""
+    files = S.scan_files(spark, f"{ordered_lines(spark, sf_dir)}/*", "*.txt", whole=1 << 14).filter("bytes > 0")
     return files.select(F.regexp_extract("file", "event_type=([^/]*)", 1).alias("file"), "md5", "bytes", (F.col("modified") > "2020-01-01").alias("dated"))
 
 
@@ -213,6 +213,23 @@ def t1_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out")
 
 
+@query(f"""SELECT 'kept' AS kind, user_id::VARCHAR AS line, NULL AS reason, 1 AS n FROM events WHERE event_id % 10 NOT IN (0, 1, 2, 4, 6) GROUP BY user_id
+  UNION ALL SELECT 'rejected', {DAMAGE}, 'not one JSON value', count(*) FROM events WHERE {BAD} GROUP BY 2 UNION ALL SELECT 'rejected', '{{"id":' || event_id || '}}', 'no user', count(*) FROM events WHERE event_id % 10 = 6 GROUP BY 2""")
+def t1_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines arrive in four files, two before the first run and two before the second; a third run finds nothing new. The first
+    line of each user is kept; bad lines and those without a user are set apart."""
+    path = fresh_path(spark, "lines")
+    line = F.when(F.col("event_id") % 10 == 6, F.concat(F.lit('{"id":'), "event_id", F.lit("}"))).otherwise(F.expr(DAMAGE))
+    for run in range(3):
+        if run < 2:
+            own = table(spark, sf_dir, "events").filter(F.col("event_id") % 2 == run).select(line.alias("value"), (F.col("event_id") % 4).alias("part"))
+            own.write.mode("append").partitionBy("part").text(f"{path}/in")
+        T.ingest_lines(spark, f"{path}/in/*", f"{path}/out", "user", files_per_batch=2)
+    kept = spark.read.parquet(f"{path}/out/kept").select(F.lit("kept").alias("kind"), F.col("key").alias("line"), F.lit(None).cast("string").alias("reason"))
+    bad = T.rejects(spark, f"{path}/out").select(F.lit("rejected").alias("kind"), F.col("value").alias("line"), "reason")
+    return kept.unionByName(bad).groupBy("kind", "line", "reason").agg(F.count("*").alias("n"))
+
+
 @query("SELECT file, (rank - 1) // 300 + 1 AS flush, count(*) AS n, min(event_id) AS first FROM (SELECT event_id % 3 AS file, event_id, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS rank FROM events) GROUP BY 1, 2")
 def t2_publish_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three files arrive one after the other; of each, every 300 events are published, and then the remainder."""

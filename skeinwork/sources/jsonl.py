@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from urllib.parse import quote
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,12 +61,45 @@ def read_id_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("id")).filter("id <> ''")
 
 
-def scan_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, bytes, modified, md5) of whole files; the content never leaves the executors."""
+#: Files up to here are digested as one value by Spark; larger ones are read in pieces.
+WHOLE_BYTES, PIECE_BYTES = 64 << 20, 4 << 20
+
+
+def digest_in_pieces(path: str) -> str:
+    """md5 of a file of any size, of which one piece is in memory at a time."""
+    if path.startswith("file:"):
+        store, where = fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    else:
+        store, where = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    digest, piece = hashlib.md5(), bytearray(PIECE_BYTES)
+    with store.open_input_stream(where, compression=None) as source:
+        while n := source.readinto(piece):
+            digest.update(memoryview(piece)[:n])
+    return digest.hexdigest()
+
+
+def scan_files(spark: SparkSession, path: str | list[str], glob: str | None = None, whole: int = WHOLE_BYTES) -> DataFrame:
+    """(file, bytes, modified, md5) of whole files; the content never leaves the executors.
+
+    The listing is a table; contents are read for the digest alone. A file of over `whole` bytes is streamed from its store by the
+    task that has it, in pieces, so its size does not matter (a row of Spark ends at 2 GB); its store has to be one that
+    pyarrow opens. Smaller ones come from any store that Spark reads. Empty files are not listed, as Spark's source has it.
+    """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.md5("content").alias("md5"))
+    listed = reader.load(path)
+    names = [F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")]
+
+    @F.pandas_udf("string")
+    def streamed(paths: pd.Series) -> pd.Series:
+        return paths.map(digest_in_pieces)
+
+    small = listed.filter(F.col("length") <= whole).select(*names, F.md5("content").alias("md5"))
+    large = listed.filter(F.col("length") > whole).select(*names)
+    # One file a task, if there are as many tasks: reading one takes as long as it is.
+    dealt = large.repartition(F.col("file"))
+    return small.unionByName(dealt.withColumn("md5", streamed("file")))
 
 
 def union_files(spark: SparkSession, paths: list[str]) -> DataFrame:

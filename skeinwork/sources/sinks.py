@@ -17,10 +17,11 @@ def write_batches(df: DataFrame, size: int, path: str, order: list[str]) -> None
     joined.write.partitionBy("batch_id", "batch_count").json(path)
 
 
-def write_report(tables: dict[str, DataFrame], path: str) -> None:
-    """One folder of JSON for each result table."""
+def write_report(tables: dict[str, DataFrame], path: str, one_file: int = 100_000) -> None:
+    """One folder of JSON for each result table; in one file if it has no more than so many rows."""
     for name, df in tables.items():
-        df.coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+        few = df.limit(one_file + 1).count() <= one_file
+        (df.coalesce(1) if few else df).write.mode("overwrite").json(f"{path}/{name}")
 
 
 def reorder_link_columns(df: DataFrame) -> DataFrame:

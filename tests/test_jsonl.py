@@ -1,3 +1,6 @@
+import hashlib
+import resource
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +8,7 @@ from skeinwork.functions.jsonlines import canonical, leading_values
 from skeinwork.operators import quality as V
 from skeinwork.sources import jsonl as S
 from skeinwork.sources import sinks
+from skeinwork.streaming import ingest as T
 
 
 @pytest.fixture
@@ -68,3 +72,57 @@ def test_batches_hold_their_size_but_the_last(spark, tmp_path):
     sinks.write_batches(spark.range(25).withColumn("x", F.col("id")), 10, str(tmp_path / "b"), ["id"])
     counts = spark.read.json(str(tmp_path / "b")).groupBy("batch_id").count().orderBy("batch_id").collect()
     assert [r["count"] for r in counts] == [10, 10, 5]
+
+
+def test_a_file_of_three_gigabytes_is_digested_in_pieces(tmp_path):
+    path = tmp_path / "big.bin"
+    with path.open("wb") as f:
+        f.write(b"start")
+        f.truncate(3 << 30)
+    peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    want = hashlib.md5(b"start" + bytes((1 << 20) - 5))
+    for _ in range((3 << 10) - 1):
+        want.update(bytes(1 << 20))
+    assert S.digest_in_pieces(f"file:{path}") == want.hexdigest()
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - peak < 200_000  # KB
+
+
+def test_files_whole_or_in_pieces_have_the_same_digest(spark, tmp_path):
+    for i, data in enumerate([b"", b"a\n", b"x" * 9_000_000, bytes(range(256)) * 100]):
+        (tmp_path / f"f {i}.gz").write_bytes(data)
+    rows = [{r["file"]: (r["bytes"], r["md5"]) for r in S.scan_files(spark, str(tmp_path), "*.gz", whole=w).collect()} for w in (1 << 30, 100, -1)]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 3  # the empty one is not listed
+    assert {v[1] for v in rows[0].values()} == {hashlib.md5(p.read_bytes()).hexdigest() for p in tmp_path.iterdir() if p.stat().st_size}
+
+
+def test_lines_come_in_once_and_bad_ones_apart(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.jsonl").write_text('{"id": 1}\n{"id": 1}\nbad\n\n{"id": 2}{"id": 3}\n[1]\n')
+    before = spark.conf.get(T._PROVIDER, None)
+    assert T.ingest_lines(spark, str(source), out, "id")["rows"] == 1
+    (source / "b.jsonl").write_text('{"id": 1, "x": 2}\n{"id": 4}\nbad\n{"id": null}\n')
+    size = T.ingest_lines(spark, str(source), out, "id")
+    assert size["rows"] == 2 and size["files"] > 0 and spark.conf.get(T._PROVIDER, None) == before
+    assert sorted(r["key"] for r in spark.read.parquet(f"{out}/kept").collect()) == ["1", "4"]
+    bad = sorted((r["file"][-7:], r["value"], r["reason"]) for r in T.rejects(spark, out).collect())
+    why = "not one JSON value"
+    assert bad == [("a.jsonl", "[1]", "no id"), ("a.jsonl", "bad", why), ("a.jsonl", '{"id": 2}{"id": 3}', why), ("b.jsonl", "bad", why), ("b.jsonl", '{"id": null}', "no id")]
+
+
+def test_a_run_that_died_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.jsonl").write_text('{"id": 1}\n{"id": 2}\nbad\n')
+    with monkeypatch.context() as m:
+        m.setattr(T, "seen_once", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            T.ingest_lines(spark, str(source), out, "id")
+    (source / "b.jsonl").write_text('{"id": 2}\n{"id": 3}\n')
+    T.ingest_lines(spark, str(source), out, "id")
+    assert sorted(r["key"] for r in spark.read.parquet(f"{out}/kept").collect()) == ["1", "2", "3"] and T.rejects(spark, out).count() == 1
+
+
+def test_reports_of_many_rows_are_not_put_in_one_task(spark, tmp_path):
+    sinks.write_report({"few": spark.range(20, numPartitions=3), "many": spark.range(30, numPartitions=3)}, str(tmp_path), one_file=20)
+    assert [len(list((tmp_path / n).glob("part-*"))) for n in ("few", "many")] == [1, 3]
