@@ -6,13 +6,15 @@ are smoothed along the page and fused. A path of a part of an article (a heading
 may borrow from the path of the element that holds it, so short parts stand with the prose around them. Links,
 and names by which pages call menus, adverts and the like, lower a path's score. The paths whose score reaches a
 share of the page's mean are the content; their blocks, and no others, are the text. Where a page says by
-`article` or `main` where its text is, the paths inside are judged.
+`article` or `main` where its text is, this raises the paths inside: in an article all stay but those that links, adverts,
+comments or names of other parts speak against. Paths outside stay where they read as what is inside does.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +52,9 @@ STRONG = frozenset(
 )
 WEAK = frozenset("notice notices notification notifications alert alerts overlay side aside widget widgets header foot discussion share sharing social related recommended recommendations search form disclaimer".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+# The names among them that tell of adverts and of readers' comments, whatever stands there.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promos promotion banner banners".split())
+COMMENTS, ONE_COMMENT = frozenset("comments commentlist disqus respond replies".split()), frozenset("comment reply".split())
 #: Elements that are part of an article, never the whole of it.
 PARTS = TEXTUAL | frozenset("ul ol dl table thead tbody tfoot tr figure details center hgroup".split())
 
@@ -57,8 +62,12 @@ PARTS = TEXTUAL | frozenset("ul ol dl table thead tbody tfoot tr figure details
 STRONG_FACTOR, WEAK_FACTOR, WEAK_INSIDE = 0.15, 0.35, 0.5
 #: What a score borrowed over an element is multiplied with.
 DECAY = 0.85
-#: Share of the page's mean score that content has at least.
-LEAST = 0.45
+#: Share of the mean score that content has at least, and content outside of the article or main of a page that has one.
+LEAST, LEAST_OUTSIDE = 0.45, 0.8
+#: Share of the page's text that makes an article or main count as such: one of them, and several together.
+LEAST_REGION, LEAST_REGIONS = 0.1, 0.5
+#: Share of linked text from which a path inside an article is one of links.
+LINKED = 0.6
 #: Characters and punctuation marks a block at which the two ratios count half of their most: the page's mean within these.
 HALF_TEXT, HALF_MARKS = (60.0, 400.0), (1.0, 4.0)
 
@@ -70,97 +79,101 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…](?=[\s\"')\]]|\Z)|[。，、；：！？।؟،]")
+_NOTICE = re.compile(r"\b(?:we|this (?:web)?site|our (?:web)?site|this page)\b.{0,80}\bcookies?\b|\baccept (?:all )?cookies\b|\ball rights reserved\b|\bsubscribe to our newsletter\b", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
-def _judged(name: str, attributes: str) -> tuple[bool, int, str]:
-    """Whether an element is hidden or of a role that is no text, how its names count (0, 1 weak, 2 strong), its classes."""
+def _judged(name: str, attributes: str) -> tuple[bool, int, str, int]:
+    """Whether an element is hidden or of a role that is no text, how its names count (0, 1 weak, 2 strong), its classes, and whether its
+    names tell of an advert (3), of comments (2), or of a comment (1)."""
     if not attributes or attributes.isspace():
-        return False, 0, ""
+        return False, 0, "", 0
     found = {}
     for m in _ATTRIBUTE.finditer(attributes):
         found.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
     classes = found.get("class", "").lower().split()
     own = "." + ".".join(classes) if classes else ""
     if name in ("html", "body"):
-        return False, 0, own
+        return False, 0, own, 0
     if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true":
-        return True, 0, own
+        return True, 0, own, 0
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True, 0, own
+        return True, 0, own, 0
     if name == "main":
-        return False, 0, own
+        return False, 0, own, 0
     if found.get("role", "").strip().lower() in ROLES:
-        return True, 0, own
-    named = 0
+        return True, 0, own, 0
+    named = sure = 0
     for word in [*classes, *found.get("id", "").lower().split()]:
         parts = re.split(r"[-_:]+", word)
         ends = {word} if name == "article" or parts[0] in ("has", "no", "with", "without") else {word, parts[0], parts[-1]}
         named = max(named, 2 if ends & STRONG else 1 if ends & WEAK else 0)
-    return False, named, own
+        sure = max(sure, 3 if ends & ADVERTS else 2 if ends & COMMENTS else 1 if ends & ONE_COMMENT else 0)
+    return False, named, own, sure
 
 
 class _Page:
-    """Blocks of a page (path, text, characters within links, outermost article and main) and the paths themselves."""
+    """Blocks of a page (path, text, characters within links) and the paths themselves. What is open is counted by name, so a page of
+    elements that are never closed takes time in proportion to its length."""
 
     def __init__(self) -> None:
-        self.names, self.above, self.named = [""], [0], [0]  # of each path: its element, the path around it, its mark
+        # Of each path: its element, the path around it, its mark, what its names tell of, elements, and whether it is in main (1) or an article (2).
+        self.names, self.above, self.named, self.sure, self.elements, self.within = [""], [0], [0], [0], [1], [0]
         self.paths: dict[tuple[int, str, str, int], int] = {}
-        # Open elements: name, path, left out, number of the outermost article and main around it.
-        self.stack: list[tuple[str, int, bool, int, int]] = [("", 0, False, 0, 0)]
-        self.inline: list[tuple[str, bool]] = []
+        self.stack: list[tuple[str, int, bool]] = [("", 0, False)]  # open elements: name, path, left out
+        self.places: dict[str, list[int]] = {}  # of each name, in the stack
+        self.inline: dict[str, list[bool]] = {}  # open inline elements of each name, hidden or not
+        self.hidden = 0  # of them
         self.parts: list[str] = []
         self.linked = 0
-        self.blocks: list[tuple[int, str, int, int, int]] = []
-        self.elements = 0
+        self.blocks: list[tuple[int, str, int]] = []
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, path, _, article, main = self.stack[-1]
-                self.blocks.append((path, text, self.linked, article, main))
+                self.blocks.append((self.stack[-1][1], text, self.linked))
             self.parts = []
         self.linked = 0
 
     def text(self, raw: str) -> None:
-        if self.stack[-1][2] or any(out for _, out in self.inline):
+        if self.stack[-1][2] or self.hidden:
             return
         text = html.unescape(raw) if "&" in raw else raw
         self.parts.append(text)
-        if any(name == "a" for name, _ in self.inline):
+        if self.inline.get("a"):
             self.linked += len(text)
 
+    def _cut(self, place: int) -> None:
+        """Closes all open elements from a place of the stack on, and what is open within."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop()[0]].pop()
+        self.inline, self.hidden = {}, 0
+
     def start(self, name: str, attributes: str) -> None:
         if name in ("br", "hr"):
             self.flush()
             return
         if name in VOID:
             return
-        hidden, named, classes = _judged(name, attributes)
+        hidden, named, classes, sure = _judged(name, attributes)
         if name in INLINE:
-            self.inline.append((name, hidden))
+            self.inline.setdefault(name, []).append(hidden)
+            self.hidden += hidden
             return
         self.flush()
         if name in CLOSES:
             closed, limits = CLOSES[name]
-            at = len(self.stack) - 1
-            low = None
-            while at > 0 and self.stack[at][0] not in limits:
-                if self.stack[at][0] in closed:
-                    low = at
-                at -= 1
-            if low is not None:
-                del self.stack[low:]
-                self.inline = []
+            limit = max((self.places[x][-1] for x in limits if self.places.get(x)), default=0)
+            low = [own[at] for x in closed if (own := self.places.get(x)) and (at := bisect_right(own, limit)) < len(own)]
+            if low:
+                self._cut(min(low))
         elif self.stack[-1][0] == "p" or self.stack[-1][0] in HEADINGS and name in HEADINGS:
-            self.stack.pop()
-            self.inline = []
-        elif name == "body" and any(e[0] == "head" for e in self.stack):
-            del self.stack[next(i for i, e in enumerate(self.stack) if e[0] == "head") :]
-        _, above, out, article, main = self.stack[-1]
-        out = out or hidden or name in NEVER or name == "header" and not article and not main
-        self.elements += 1
+            self._cut(len(self.stack) - 1)
+        elif name == "body" and self.places.get("head"):
+            self._cut(self.places["head"][0])
+        _, above, out = self.stack[-1]
+        out = out or hidden or name in NEVER or name == "header" and not self.within[above]
         key = (above, name, classes, named)
         path = self.paths.get(key)
         if path is None:
@@ -168,26 +181,25 @@ class _Page:
             self.names.append(name)
             self.above.append(above)
             self.named.append(named)
-        self.stack.append((name, path, out, article or (self.elements if name == "article" else 0), main or (self.elements if name == "main" else 0)))
+            self.sure.append(sure)
+            self.elements.append(0)
+            self.within.append(max(self.within[above], {"article": 2, "main": 1}.get(name, 0)))
+        self.elements[path] += 1
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, path, out))
 
     def end(self, name: str) -> None:
         if name in INLINE:
-            for i in range(len(self.inline) - 1, -1, -1):
-                if self.inline[i][0] == name:
-                    del self.inline[i]
-                    break
+            if self.inline.get(name):
+                self.hidden -= self.inline[name].pop()
             return
         if name in VOID:
             if name == "br":
                 self.flush()
             return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == name:
-                self.flush()
-                del self.stack[i:]
-                self.inline = []
-                return
         self.flush()
+        if self.places.get(name):
+            self._cut(self.places[name][-1])
 
 
 def read(page: str) -> _Page:
@@ -231,132 +243,152 @@ def _fuse(text, marks, half):
     return text / (text + half[0]) * (0.5 + marks / (marks + half[1])) / 1.5
 
 
-def _region(own: _Page) -> tuple[int, list[tuple[int, str, int, int, int]]]:
-    """The blocks that are judged, and whether (1 or 0) they are those of an article or main.
-
-    One article that holds most of the text of main (a tenth, where there is no main), else main, else the
-    articles together if they hold half, else the whole page. Where these blocks have no `h1`, the last one before
-    them is judged with them.
+def _regions(own: _Page, blocks: list[tuple[int, str, int]]) -> list[int]:
+    """Of each path, whether it lies in the page's main (1) or in an article (2) that holds enough of the text to count as such."""
+    strongest = own.named[:]
+    for p in range(1, len(own.names)):
+        strongest[p] = max(strongest[p], strongest[own.above[p]])
+    weight = [0.0] * 3
+    for path, text, _ in blocks:
+        weight[own.within[path]] += len(text) * (STRONG_FACTOR if strongest[path] == 2 else 1.0)
+    total = sum(weight)
+    articles = sum(n for name, n in zip(own.names, own.elements) if name == "article")
+    has_main = weight[1] + weight[2] >= LEAST_REGION * total and "main" in own.names
+    has_article = weight[2] > 0 and weight[2] >= (LEAST_REGION if articles == 1 else LEAST_REGIONS) * total
+    in_main = [0] * len(own.names)
+    for p in range(1, len(own.names)):
+        in_main[p] = max(in_main[own.above[p]], own.names[p] == "main")
+    return [2 if w == 2 and has_article else 1 if has_main and m else 0 for w, m in zip(own.within, in_main)]
+
+
+def _marks(own: _Page, path: np.ndarray, length: np.ndarray, region: list[int]) -> list[int]:
+    """The mark of each path by its own names.
+
+    An element that holds (nearly) all that is judged, or everything in the articles and main, is not judged by its name. Inside an article
+    a part of the text is not either, unless it is an advert; nor is a single comment, as reader's comments come in numbers.
     """
-    inside, blocks = _within(own)
-    is_title = lambda b: own.names[b[0]] == "h1"
-    if inside and not any(map(is_title, blocks)):
-        first = next(i for i, b in enumerate(own.blocks) if b is blocks[0])
-        titles = [b for b in own.blocks[:first] if is_title(b)]
-        blocks = titles[-1:] + blocks
-    return inside, blocks
-
-
-def _within(own: _Page) -> tuple[int, list[tuple[int, str, int, int, int]]]:
-    weight = lambda rows: float(sum(len(b[1]) * (STRONG_FACTOR if _mark(own, b[0]) == 2 else 1.0) for b in rows))
-    total = weight(own.blocks)
-    inside = [b for b in own.blocks if b[4]]
-    if inside and weight(inside) < 0.1 * total:
-        inside = []
-    outer: dict[int, list] = {}
-    for b in inside or own.blocks:
-        if b[3]:
-            outer.setdefault(b[3], []).append(b)
-    if outer:
-        best = max(outer.values(), key=weight)
-        if weight(best) >= (0.5 * weight(inside) if inside else (0.1 if len(outer) == 1 else 0.5) * total):
-            return 1, best
-    if inside:
-        return 1, inside
-    several = [b for b in own.blocks if b[3]]
-    return (1, several) if several and weight(several) >= 0.5 * total else (0, own.blocks)
-
-
-def _mark(own: _Page, path: int) -> int:
-    """The strongest mark on a path."""
-    most = 0
-    while path:
-        most = max(most, own.named[path])
-        path = own.above[path]
-    return most
-
-
-def _names_that_count(own: _Page, path: np.ndarray, length: np.ndarray, inside: int) -> list[int]:
-    """The mark of each path; an element that holds (nearly) all that is judged is not judged by its name."""
-    total, rows = np.bincount(path, length, len(own.names)), np.bincount(path, minlength=len(own.names))
-    for p in range(len(own.names) - 1, 0, -1):
+    n, inner = len(own.names), np.array(region)[path] > 0
+    chosen = inner if inner.any() else np.ones(len(path), dtype=bool)
+    total, rows = np.bincount(path[chosen], length[chosen], n), np.bincount(path[chosen], minlength=n)
+    for p in range(n - 1, 0, -1):
         total[own.above[p]] += total[p]
         rows[own.above[p]] += rows[p]
-    around = rows == rows[0] if inside else (rows > 2) & (total >= 0.8 * total[0])
-    return [0 if skip and own.names[p] not in PARTS else m for p, (skip, m) in enumerate(zip(around, own.named))]
-
-
-def _holder(own: _Page, named: list[int], path: int) -> int:
-    """The path of the element that a part of an article belongs to; a marked path, or one of another kind, stands alone."""
-    while path and own.names[path] in PARTS and not named[path]:
-        path = own.above[path]
-    return path
-
-
-def path_scores(own: _Page, blocks: list[tuple[int, str, int, int, int]], inside: int) -> tuple[np.ndarray, np.ndarray]:
-    """(score, score without marks) of each path of the page; paths without blocks have 0."""
+    around = rows == rows[0] if inner.any() else (rows > 2) & (total >= 0.8 * total[0])
+    out = []
+    for p, mark in enumerate(own.named):
+        name, sure = own.names[p], own.sure[p]
+        if around[p] and name not in PARTS:
+            mark = 0
+        elif region[p] == 2 and mark and (sure < 3 if name in TEXTUAL - {"li"} else sure == 1 and own.elements[p] < 2):
+            mark = 0
+        out.append(mark)
+    return out
+
+
+def path_ratios(own: _Page) -> tuple[np.ndarray, ...]:
+    """Of each path its blocks, characters a block outside of links, punctuation marks a block, share of linked characters."""
     n = len(own.names)
-    path = np.array([b[0] for b in blocks])
-    size = np.array([len(b[1]) - b[2] for b in blocks], dtype=np.float64).clip(0)
-    linked = np.array([min(b[2], len(b[1])) for b in blocks], dtype=np.float64)
-    marks = np.array([len(_PUNCTUATION.findall(b[1])) for b in blocks], dtype=np.float64)
+    path = np.array([b[0] for b in own.blocks])
+    size = np.array([len(b[1]) - b[2] for b in own.blocks], dtype=np.float64).clip(0)
+    linked = np.array([min(b[2], len(b[1])) for b in own.blocks], dtype=np.float64)
+    marks = np.array([len(_PUNCTUATION.findall(b[1])) for b in own.blocks], dtype=np.float64)
     number = np.bincount(path, minlength=n)
     some = np.maximum(number, 1)
-    text_ratio, mark_ratio = np.bincount(path, size, n) / some, np.bincount(path, marks, n) / some
-    half = [float(np.clip(np.average(x[path], weights=size + 1e-9), *limits)) for x, limits in ((text_ratio, HALF_TEXT), (mark_ratio, HALF_MARKS))]
-    score = np.bincount(path, _fuse(_smooth(text_ratio[path]), _smooth(mark_ratio[path]), half), n) / some
-    share = np.bincount(path, linked, n) / np.maximum(np.bincount(path, linked + size, n), 1)
-    # The parts of an element, taken together.
-    named = _names_that_count(own, path, size + linked, inside)
-    holders = np.array([_holder(own, named, p) for p in range(n)])
-    strongest = named[:]
+    return number, np.bincount(path, size, n) / some, np.bincount(path, marks, n) / some, np.bincount(path, linked, n) / np.maximum(np.bincount(path, linked + size, n), 1)
+
+
+def path_scores(own: _Page, region: list[int]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+    """(score, score without marks, strongest mark, path of the element it is a part of) of each path of the page; paths without
+    blocks have 0."""
+    n = len(own.names)
+    number, text_ratio, mark_ratio, share = path_ratios(own)
+    path = np.array([b[0] for b in own.blocks])
+    length = np.array([len(b[1]) for b in own.blocks], dtype=np.float64)
+    size, marks = text_ratio * number, mark_ratio * number
+    inner = np.array(region)[path] > 0
+    half = []
+    for ratio, limits in ((text_ratio, HALF_TEXT), (mark_ratio, HALF_MARKS)):
+        own_size = np.array([max(0, len(b[1]) - b[2]) for b in own.blocks], dtype=np.float64) + 1e-9
+        half.append(float(np.clip(np.average(ratio[path], weights=np.where(inner, own_size, 0) if inner.any() else own_size), *limits)))
+    score = np.bincount(path, _fuse(_smooth(text_ratio[path]), _smooth(mark_ratio[path]), half), n) / np.maximum(number, 1)
+    # The parts of an element, taken together. Paths are numbered from the root down, so what is above is known before.
+    named = _marks(own, path, length, region)
+    holders, strongest = list(range(n)), named[:]
     for p in range(1, n):
-        strongest[p] = max(named[p], strongest[own.above[p]])
-    held = holders[path]
-    count = np.maximum(np.bincount(held, minlength=n), 1)
+        above = own.above[p]
+        strongest[p] = max(named[p], strongest[above])
+        if own.names[p] in PARTS and not named[p]:
+            holders[p] = holders[above]
+    held = np.array(holders)
+    count = np.maximum(np.bincount(held, number, n), 1)
     pooled = _fuse(np.bincount(held, size, n) / count, np.bincount(held, marks, n) / count, half)
-    # The best of an element and of those in it, each further one counting less; paths are numbered from the root down.
+    # The best of an element and of those in it, each further one counting less.
     best = np.maximum(pooled, score)
     for p in range(n - 1, 0, -1):
         if not named[p]:
             best[own.above[p]] = max(best[own.above[p]], (1.0 if own.names[p] in PARTS else DECAY) * best[p])
+    # What a part may borrow from the elements around it, up to one with a mark: less from each further one, but for an article or main.
+    lent, whole = pooled.copy(), np.zeros(n)
+    for p in range(n):
+        if region[p] and own.names[p] in ("article", "main"):
+            whole[p] = best[p]
+        if p and not named[p]:
+            lent[p], whole[p] = max(lent[p], DECAY * lent[own.above[p]]), max(whole[p], whole[own.above[p]])
     plain, marked = np.zeros(n), np.zeros(n)
     for p in np.flatnonzero(number).tolist():
-        name, holder = own.names[p], int(holders[p])
+        name, holder = own.names[p], holders[p]
         found = float(score[p])
         if holder != p:  # a part of an article
             if name in HEADINGS:
                 found = max(found, float(best[holder]))
                 if name == "h1" and not named[holder]:
                     found = max(found, DECAY * float(best[own.above[holder]]))
-            at, kept = holder, 1.0
-            while True:
-                found = max(found, kept * float(pooled[at]))
-                if inside and own.names[at] in ("article", "main"):
-                    found = max(found, float(best[at]))
-                if not at or named[at]:
-                    break
-                at = own.above[at]
-                kept *= DECAY
-        plain[p] = found * (1.0 - (0.5 if inside or name in HEADINGS else 1.0) * share[p])
-        marked[p] = plain[p] * (1.0, WEAK_INSIDE if inside else WEAK_FACTOR, STRONG_FACTOR)[strongest[p]]
-    return marked, plain
+            found = max(found, float(lent[holder]), float(whole[holder]))
+        listed = share[p] >= LINKED and number[p] > 1 and name in ("li", "dd", "dt", "td")  # a list of links
+        plain[p] = found * (1.0 - (0.5 if region[p] and not listed or name in HEADINGS else 1.0) * share[p])
+        marked[p] = plain[p] * (1.0, WEAK_INSIDE if region[p] else WEAK_FACTOR, STRONG_FACTOR)[strongest[p]]
+    notices = np.bincount(path, [len(b[1]) < 400 and bool(_NOTICE.search(b[1])) for b in own.blocks], n)
+    marked[(number > 0) & (number < 3) & (2 * notices >= number) & (np.array(region) < 2)] *= WEAK_FACTOR
+    return marked, plain, strongest, holders
+
+
+def chosen_paths(own: _Page, region: list[int]) -> np.ndarray:
+    """Which paths are content: those over their share of the mean, and in an article all without a mark that are not lists of links.
+
+    Of a page with an article or main, paths outside have to stand right beside it, not in a part of their own.
+    """
+    score, plain, strongest, holders = path_scores(own, region)
+    weight = np.zeros(len(own.names))
+    for path, text, _ in own.blocks:
+        weight[path] += len(text)
+    inner = np.array(region)
+    judged = weight * np.where(plain > 0, score / np.where(plain > 0, plain, 1), 1.0)
+    mean = np.average(plain, weights=np.maximum(np.where(inner > 0, judged, 0) if (weight[inner > 0] > 0).any() else judged, 1e-9))
+    least = np.where(inner > 0, LEAST, LEAST_OUTSIDE) if inner.any() else LEAST
+    number, _, _, share = path_ratios(own)
+    listed = np.array([name in TEXTUAL for name in own.names])
+    links = (share >= LINKED) & (~listed | (number > 1)) & np.array([name not in HEADINGS for name in own.names])
+    kept = (inner == 2) & (np.array(strongest) == 0) & ~links & (number > 0)
+    around = {own.above[p] for p, name in enumerate(own.names) if region[p] and name in ("article", "main")}
+    beside = np.array([bool(r) or not around or h in around for r, h in zip(region, holders)])
+    return kept | beside & (score > 0) & (score >= least * mean)
 
 
 def content(page: str | None) -> list[str]:
-    """The blocks of the content paths, in page order."""
+    """The blocks of the content paths, in page order. Where the articles and main have no `h1`, the last one before them that no name
+    speaks against is their title."""
     own = read(page) if page else _Page()
     if not own.blocks:
         return []
-    inside, blocks = _region(own)
-    score, plain = path_scores(own, blocks, inside)
-    weight = np.zeros(len(own.names))
-    for b in blocks:
-        weight[b[0]] += len(b[1])
-    for p in np.flatnonzero(weight).tolist():
-        weight[p] *= score[p] / plain[p] if plain[p] else 1.0
-    chosen = (score > 0) & (score >= LEAST * np.average(plain, weights=np.maximum(weight, 1e-9)))
-    return [b[1] for b in blocks if chosen[b[0]]]
+    region = _regions(own, own.blocks)
+    chosen = chosen_paths(own, region)
+    title = lambda b: own.names[b[0]] == "h1"
+    inner = [i for i, b in enumerate(own.blocks) if region[b[0]]]
+    heading = None
+    if inner and not any(title(own.blocks[i]) for i in inner):
+        strongest = path_scores(own, region)[2]
+        heading = next((i for i in range(inner[0] - 1, -1, -1) if title(own.blocks[i]) and not strongest[own.blocks[i][0]]), None)
+    return [b[1] for i, b in enumerate(own.blocks) if chosen[b[0]] or i == heading]
 
 
 def main_text(page: str | None) -> str:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from skeinwork.llm import htmltext as H
@@ -92,13 +94,64 @@ def test_the_path_step_decides_and_the_word_list_hardly(monkeypatch):
     assert all(a != b for a, b in zip([H.content(p) for p in pages], before))
 
 
-def test_ratios_of_paths_against_plain_sums():
-    own = H.read(f"<div class=a><p>{LONG}</p><p>One, two.</p></div><div class=b>x</div>")
-    paths = {}
-    for path, text, *_ in own.blocks:
-        paths.setdefault(path, []).append(text)
-    assert sorted(map(len, paths.values())) == [1, 2]
-    score, plain = H.path_scores(own, own.blocks, 0)
-    assert (score == plain).all() and {p for p in range(len(score)) if score[p]} == set(paths)
-    p = next(k for k, v in paths.items() if len(v) == 2)
-    assert score[p] == max(score)
+def test_ratios_scores_and_threshold_against_plain_sums():
+    page = f"<div class=a>{LONG}</div><div class=a>One, two.</div><div class=b>x</div><div class=c>Yes! No? <a href=z>linked text</a></div><div class=a>{LONG} {LONG}</div><div class=b>yy</div>"
+    own = H.read(page)
+    blocks = [(path, len(text) - linked, linked, len(H._PUNCTUATION.findall(text))) for path, text, linked in own.blocks]
+    paths = {b[0] for b in blocks}
+    number, text_ratio, mark_ratio, share = H.path_ratios(own)
+    of = lambda p, i: [b[i] for b in blocks if b[0] == p]
+    for p in paths:
+        assert number[p] == len(of(p, 0)) and text_ratio[p] == pytest.approx(sum(of(p, 1)) / len(of(p, 0))) and mark_ratio[p] == pytest.approx(sum(of(p, 3)) / len(of(p, 0)))
+        assert share[p] == pytest.approx(sum(of(p, 2)) / (sum(of(p, 1)) + sum(of(p, 2))))
+    half = []
+    for ratio, (low, high) in ((text_ratio, H.HALF_TEXT), (mark_ratio, H.HALF_MARKS)):
+        half.append(min(high, max(low, sum(ratio[p] * n for p, n, *_ in blocks) / sum(n for _, n, *_ in blocks))))
+
+    def smooth(ratio, i):
+        return sum(w * ratio[blocks[min(len(blocks) - 1, max(0, i + d))][0]] for w, d in zip(H.KERNEL, (-2, -1, 0, 1, 2)))
+
+    fused = [smooth(text_ratio, i) / (smooth(text_ratio, i) + half[0]) * (0.5 + smooth(mark_ratio, i) / (smooth(mark_ratio, i) + half[1])) / 1.5 for i in range(len(blocks))]
+    score, plain, strongest, _ = H.path_scores(own, [0] * len(own.names))
+    for p in paths:
+        mine = [f for f, b in zip(fused, blocks) if b[0] == p]
+        assert score[p] == plain[p] == pytest.approx(sum(mine) / len(mine) * (1 - share[p])) and strongest[p] == 0
+    mean = sum(score[p] * (n + linked) for p, n, linked, _ in blocks) / sum(n + linked for _, n, linked, _ in blocks)
+    chosen = H.chosen_paths(own, [0] * len(own.names))
+    assert {p for p in paths if chosen[p]} == {p for p in paths if score[p] >= H.LEAST * mean} and 0 < sum(chosen) < len(paths)
+
+
+SIX = "".join(f"<p>{LONG} {i}.</p>" for i in range(6))
+PROSE = [f"{LONG} {i}." for i in range(6)]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<main><article>{SIX}</article><article><p>{LONG} second</p></article></main>", [*PROSE, f"{LONG} second"]),
+        (f"<body>{MENU}<article>{SIX}</article><article>{SIX}</article>{FOOT}</body>", [*PROSE, *PROSE]),
+        (f"<body>{MENU}<p>{LONG} before</p><article>{SIX}</article><p>{LONG} after</p>{FOOT}</body>", [f"{LONG} before", *PROSE, f"{LONG} after"]),
+        (f"<article>{SIX}<div class='quote'>Short quote.</div><div>Bare line of text in a div.</div></article>", [*PROSE, "Short quote.", "Bare line of text in a div."]),
+        (f"<article>{SIX}<section id='comment'><p>{LONG}</p></section></article>", [*PROSE, LONG]),
+        (f"<article>{SIX}<ol><li class=comment><p>{LONG}</p></li><li class=comment><p>{LONG}</p></li></ol></article>", PROSE),
+        (f"<article>{SIX}<div class=ad><p>{LONG}</p></div><p class=ad>Buy now.</p><ul><li><a href=x>More</a><li><a href=y>Other</a></ul></article>", PROSE),
+        (f"<body><div class=z><p>We use cookies to improve your visit. Please accept them.</p></div><article>{SIX}</article></body>", PROSE),
+        (f"<body><div class=z><p>We use cookies to improve your visit. Please accept them.</p></div><div class=y>{SIX}</div></body>", PROSE),
+        (f"<body><div class=sidebar><p>{LONG}</p></div><article>{SIX}</article><div class=comments><p>{LONG}</p></div></body>", PROSE),
+    ],
+)
+def test_an_article_raises_its_paths_and_hides_no_others(page, want):
+    assert H.content(page) == want
+
+
+@pytest.mark.parametrize("name", sorted(H.STRONG | H.WEAK))
+def test_names_on_paragraphs_of_an_article_do_not_drop_them(name):
+    got = H.content(f"<article>{SIX}<p class='{name}'>Short.</p><p id='{name}'>{LONG}</p><h2 class='{name}'>Part</h2></article>")
+    assert got == (PROSE if name in H.ADVERTS else [*PROSE, "Short.", LONG, "Part"])
+
+
+def test_broken_pages_take_time_in_proportion():
+    for part in ("<div>", "<b>", "<li>", "<p>", "<b></i>", "<div><li>", "<table><td>", "<h1>", "<div hidden>", "<a>x"):
+        began = time.process_time()
+        assert H.content(f"<body>{part * 200_000}text") is not None
+        assert time.process_time() - began < 15, part
