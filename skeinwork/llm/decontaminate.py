@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from skeinwork.llm.common import bound_batches, fresh, materialise
 
-# The masks; a 1 is a token that must agree. They have weights of 7 and 8 within 7 to 13 tokens.
-MASKS = ("110110111", "1101100101011", "111010010111", "1111111")
+# The masks; a 1 is a token that must agree. They have weights of 6 to 8 within 7 to 13 tokens. The last four were chosen
+# one after the other so that the least of the shares of leaks found is largest, over all ways in which 4 of 16 and 5 of 20 tokens may be substituted and
+# still be a leak, and samples for 6 of 24 and 7 of 30: with all eight these shares are 0.99 or more.
+MASKS = ("110110111", "1101100101011", "111010010111", "1111111", "1110001011", "11010100011", "10010001111", "11100001101")
 #: Items of at most so many tokens are also looked up by the run of tokens that every accepted overlap of theirs has.
 SHORT_TOKENS = 24
 #: Tokens that are laid over each other at a time, and pairs of positions that are formed at a time.

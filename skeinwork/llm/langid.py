@@ -11,7 +11,7 @@ from __future__ import annotations
 import unicodedata
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import combinations
 
@@ -40,6 +40,9 @@ SAMPLE_ROWS = 600
 #: Rows that are learned from in all, shared out where there are many languages; each language has at least one.
 SAMPLE_TOTAL = 9_600
 SIZES = (1, 2, 3, 4)
+#: Share of a language's n-grams that its usual ones make up, and what share of a text's they have at least: this part of
+#: a low quantile over the rows that were learned from. A text of another language has a third of it or less.
+USUAL, LOW, PART = 0.7, 0.001, 0.65
 
 
 def family_of(lang: str) -> str:
@@ -135,6 +138,15 @@ class Model:
     languages: dict[str, list[str]]
     pairs: dict[str, list[tuple[int, int]]]
     pair_weights: dict[str, np.ndarray]
+    usual: dict[str, np.ndarray] = field(default_factory=dict)  # of each language, which features are its usual ones
+    least: dict[str, float] = field(default_factory=dict)  # and which share of a text's n-grams they have at least
+
+    def like(self, text: str | None, lang: str) -> float:
+        """The share of a text's n-grams that are usual ones of a language, over the least that is; 1 or more: the text is in it."""
+        x = features(text)
+        if x is None or lang not in self.usual:
+            return 0.0
+        return float((x[self.usual[lang]].astype(np.float64) ** 2).sum() / self.least[lang])
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): the language's share of certainty, that of its family times that within it."""
@@ -163,6 +175,15 @@ def _certainty(margin: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(2.5 * margin, -30, 30))))
 
 
+def _usual(shares: np.ndarray) -> np.ndarray:
+    """The features of which the n-grams of texts (rows) mostly are, so many that they are USUAL of them all."""
+    mass = shares.mean(axis=0)
+    order = np.argsort(-mass, kind="stable")
+    out = np.zeros(shares.shape[1], dtype=bool)
+    out[order[: int(np.searchsorted(np.cumsum(mass[order]), USUAL * mass.sum())) + 1]] = True
+    return out
+
+
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL) -> Model:
     """Learns from rows (text, lang) with a lang: at most `rows` of each language, fewer where there are so many languages
     that they would be over `total`. Every language that has a text with letters is learned.
@@ -204,7 +225,14 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL)
             rows_of = (lang == own[a]) | (lang == own[b])
             weights.append(fit_svm(x[rows_of], sign(lang[rows_of] == own[a])))
         pair_weights[f] = np.array(weights).reshape(len(weights), BUCKETS + 1)
-    return Model(families, family_weights, of, pairs, pair_weights)
+    usual, least = {}, {}
+    for name in names:
+        own = x[lang == name].astype(np.float64) ** 2  # counts of n-grams, each text's as shares
+        usual[name] = _usual(own)
+        # How much of a text they are is measured on the half that they were not taken from; one text says nothing of others.
+        shares = [own[1 - i :: 2][:, _usual(own[i::2])].sum(axis=1) for i in (0, 1)] if len(own) > 1 else [np.zeros(1)]
+        least[name] = max(PART * float(np.quantile(np.concatenate(shares), LOW)), 1e-9)
+    return Model(families, family_weights, of, pairs, pair_weights, usual, least)
 
 
 def predict_column(spark, model: Model):
@@ -232,9 +260,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return own.select("doc_id", held_out("doc_id").alias("held_out"), "p.lang_pred", "p.score")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
-    """docs without the rows that are `und` or score under `least`; all columns are kept, of any name."""
-    (p,) = fresh(docs, "lang_found")
-    predict = predict_column(docs.sparkSession, model)
-    found = docs.withColumn(p, predict(F.col("text").cast("string")))
-    return found.filter((F.col(f"{p}.lang_pred") != UNDETERMINED) & (F.col(f"{p}.score") >= least)).drop(p)
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """docs without the rows that are `und` or whose text is unlike the texts of the language it is nearest to: another language, or
+    letters without one. All columns are kept, of any name."""
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shared.value.like(t, shared.value.predict(t)[0]) >= 1.0 for t in texts], dtype=bool)
+
+    (p,) = fresh(docs, "lang_known")
+    return docs.withColumn(p, known(F.col("text").cast("string"))).filter(F.col(p)).drop(p)

@@ -2,6 +2,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.llm import decontaminate as D
@@ -134,8 +135,26 @@ def test_a_frequent_hash_is_dealt_over_tasks(spark, monkeypatch):
 def test_the_filter_lets_all_seeds_through(spark):
     items = spark.range(200).selectExpr("id AS item", "concat_ws(' ', transform(sequence(1, 30), i -> concat('t', id * 31 + i))) AS text")
     seeds = D.materialise(D.seed_table(items, D.Rule()), "test-seeds")
-    probe = D.Probe(D._filter(seeds, 18), 18, {}, D.Rule())
+    probe = D.Probe(D._filter(seeds, 19), 19, {}, D.Rule())
     hashes = np.array([r[0] for r in seeds.select("hash").collect()], dtype=np.int64).view(np.uint64)
     assert len(probe.may_hold(hashes)) == len(hashes)
     other = np.random.default_rng(1).integers(0, 2**63, 100_000).astype(np.uint64)
     assert len(probe.may_hold(other)) < 1500
+
+
+@pytest.mark.parametrize("item, passage, agree", [(40, 16, 12), (40, 20, 15), (40, 24, 18), (60, 30, 23), (25, 25, 19), (40, 40, 30)])
+def test_leaks_by_the_rule_are_found_by_the_seeds(monkeypatch, item, passage, agree):
+    """A passage of an item in a text of 400 tokens, with substitutions anywhere: what every shift shows to be a leak, the seeds find."""
+    rng, seeds, leaks, found = np.random.default_rng(passage), D.shifts_of, 0, 0
+    every = lambda tokens, own, rule: np.arange(1 - len(own), len(tokens))
+    for _ in range(400):
+        own = rng.integers(0, 2**63, item, dtype=np.uint64)
+        text = rng.integers(0, 2**63, 400, dtype=np.uint64)
+        start, at = rng.integers(0, item - passage + 1), rng.integers(0, 400 - passage)
+        kept = rng.permutation(passage)[:agree]
+        text[at + kept] = own[start + kept]
+        monkeypatch.setattr(D, "shifts_of", every)
+        leaks += (whole := D.leak(text, own, D.Rule())) is not None
+        monkeypatch.setattr(D, "shifts_of", seeds)
+        found += whole is not None and D.leak(text, own, D.Rule()) == whole
+    assert leaks > 50 and found >= 0.95 * leaks, (found, leaks)

@@ -38,7 +38,7 @@ def test_texts_without_letters_are_undetermined(spark, model):
     assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and got[1]["score"] == 0
     assert got[None]["lang_pred"] == "de" and 0 <= got[5]["score"] <= 1
     kept = L.keep_identified(docs.withColumn("_lang_found", F.lit(1)), model)
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 5]
+    assert [r["doc_id"] for r in kept.collect()] == [None]  # letters that are no language go as well
     assert kept.columns == ["doc_id", "text", "_lang_found"]
 
 
@@ -84,6 +84,27 @@ def test_one_language_or_none(spark):
     assert none.predict("whatever") == ("und", 0.0)
 
 
+FOREIGN = {
+    "ru": "Москва является столицей и крупнейшим городом страны на реке", "ru, one word": "Привет", "ja": "日本語の文章は漢字とひらがなとカタカナで書かれている", "el": "Η Αθήνα είναι η πρωτεύουσα και η μεγαλύτερη πόλη της χώρας",
+    "ar": "القاهرة هي عاصمة البلاد", "zh": "北京是中华人民共和国的首都", "ko": "서울은 대한민국의 수도이다", "junk": "qzxv kjwq zzzx", "more junk": "xqzj vvkq wxzqj kqqz jjxw " * 40, "none": "12 34 !!",
+}
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+def test_other_languages_and_junk_go_and_no_text_of_a_language_learned(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet").filter("lang IS NOT NULL AND text RLIKE '[A-Za-z]'")
+    model = L.fit(docs.filter(~L.held_out("doc_id")))
+    assert L.keep_identified(docs, model).count() == docs.count()
+    others = spark.createDataFrame(list(FOREIGN.items()), "doc_id string, text string")
+    assert [r["doc_id"] for r in L.keep_identified(others, model).collect()] == []
+
+
+def test_a_language_of_one_text_takes_what_is_nearest_to_it(spark):
+    model = L.fit(spark.createDataFrame([(GERMAN, "de"), (ENGLISH, "en")], "text string, lang string"))
+    assert model.like(GERMAN, "de") >= 1 and model.like("ganz andere Wörter", "de") >= 1 and model.like("x", "und") == 0 and model.like(None, "de") == 0
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(SF)
