@@ -13,13 +13,10 @@ from skeinwork.llm import bpe, decontaminate, langid, simhash
 from skeinwork.llm.common import materialise, table
 from skeinwork.llm.queries import RANKS
 
-#: A text under this score is no text of a known language.
-LEAST_SCORE = 0.1
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the rows in a language that is learned from the rows with a lang; `und` and unsure ones go."""
-    return langid.keep_identified(docs, langid.fit(docs.filter(~langid.held_out("doc_id"))), LEAST_SCORE)
+    """Keeps the rows in a language that is learned from the rows with a lang; `und` and texts of no language learned go."""
+    return langid.keep_identified(docs, langid.fit(docs.filter(~langid.held_out("doc_id"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
