@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinwork.functions.columns import category_slug, has_offset, instant
+from skeinwork.operators.batching import with_rank
 from skeinwork.operators.dedup import dedup_first
 
 
@@ -110,13 +111,13 @@ def retry_backlog(failed: DataFrame, scraped: DataFrame, links: DataFrame, key:
 def upsert_categories(names: DataFrame, dim: DataFrame, name: str = "name") -> DataFrame:
     """(id, name, slug) of every category in names: ids of dim where the slug is known, new ones behind its largest.
 
-    Only the names that are new are numbered; they are a dimension, far fewer than the records.
+    Only the names that are new are numbered, in ranges of their slugs.
     """
     wanted = dedup_first(names.select(F.col(name).alias("name")).filter(F.col("name") != "").withColumn("slug", category_slug(F.col("name"))), ["slug"], "name")
     known = wanted.join(dim.select("slug", "id"), "slug").select("id", "name", "slug")
     new = wanted.join(dim.select("slug"), "slug", "left_anti")
     top = dim.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
-    numbered = new.crossJoin(F.broadcast(top)).withColumn("id", F.col("top") + F.row_number().over(Window.orderBy("slug")))
+    numbered = with_rank(new, ["slug"]).crossJoin(F.broadcast(top)).withColumn("id", F.col("top") + F.col("rank"))
     return known.unionByName(numbered.select(F.col("id").cast("long"), "name", "slug"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.operators import analysis as A
 from skeinwork.operators import quality as V
+from skeinwork.operators.batching import with_place
 from skeinwork.plans.registry import query
 from skeinwork.sources.storage import table
 
@@ -108,11 +109,8 @@ def a11_pick_best(spark: SparkSession, sf_dir: str) -> DataFrame:
   u AS (SELECT user_id, count(url) AS urls, max(bytes) AS bytes, max(area) AS best, max(area) FILTER (pos = 0) AS base FROM m GROUP BY user_id)
   SELECT count(*) AS tested, count(*) FILTER (urls = 0) AS no_url, count(*) FILTER (bytes > 0) AS any_bytes, count(*) FILTER (base > 0 AND best > base) AS improved FROM u""")
 def a12_probe_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    pos = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
-    ok = F.col("event_type") != "error"
-    own = table(spark, sf_dir, "events").select("user_id", F.when(ok, F.col("event_type")).alias("url"), F.when(ok, F.length("event_type")).alias("width"), F.when(ok, F.floor("value")).alias("height"), F.when(ok, F.length("props")).alias("bytes"), pos.alias("pos"))
+    ok, events = F.col("event_type") != "error", with_place(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "props"), "user_id", ["event_id"])
+    own = events.select("user_id", F.when(ok, F.col("event_type")).alias("url"), F.when(ok, F.length("event_type")).alias("width"), F.when(ok, F.floor("value")).alias("height"), F.when(ok, F.length("props")).alias("bytes"), (F.col("place") - 1).alias("pos"))
     return A.probe_summary(own, "user_id")
 
 
