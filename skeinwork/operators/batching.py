@@ -179,12 +179,13 @@ def _reached(jumps: DataFrame) -> DataFrame:
     spark = jumps.sparkSession
     targets = jumps.select(F.col("exit").alias("i")).union(spark.range(1, 2).select(F.col("id").alias("i"))).distinct()
     steps, found, n = materialise(jumps.join(targets, "i", "left_semi"), "jumps"), spark.range(1, 2).select(F.col("id").alias("i")), 1
-    while True:
+    while not steps.isEmpty():
         found = materialise(found.union(found.join(steps, "i").select(F.col("exit").alias("i"))).distinct(), "reached")
         before, n = n, found.count()
         if n == before:
-            return found
+            break
         steps = materialise(steps.join(steps.select(F.col("i").alias("exit"), F.col("exit").alias("further")), "exit").select("i", F.col("further").alias("exit")), "jumps")
+    return found
 
 
 def plan_compaction(files: DataFrame, cap: int, small: int | None = None, parts: int | None = None) -> DataFrame:

@@ -55,7 +55,8 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
 
 
 def state_size(query: StreamingQuery) -> dict[str, int]:
-    """Rows and bytes of a stream's state as its last micro-batch left it: what is in memory, and the files of RocksDB."""
+    """Rows and bytes of a stream's state as its last micro-batch left it: what is in memory, and the files of RocksDB; zeros if
+    there was none."""
     operators = [o for p in query.recentProgress[-1:] for o in p["stateOperators"]]
     files = sum(o["customMetrics"].get("rocksdbSstFileSize", 0) for o in operators)
     return {"rows": sum(o["numRowsTotal"] for o in operators), "memory": sum(o["memoryUsedBytes"] for o in operators), "files": files}
