@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinwork.functions.columns import percent
-from skeinwork.operators.batching import with_place
+from skeinwork.operators.batching import prefix_sums, with_place
 from skeinwork.sources.storage import materialise
 
-#: Files of a product that one join task pairs with all others; a product in more is dealt over several tasks.
+#: Files in one list of a product; a product in more has several lists, which are dealt over several tasks.
 SPLIT_FILES = 1000
+#: Pairs of files that one cell of the overlap counts, at most, before equal ones are one.
+CELL = 4_000_000
+#: Rows of a counted table that may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def _files_of(df: DataFrame) -> DataFrame:
@@ -46,25 +50,51 @@ def file_distribution(df: DataFrame) -> DataFrame:
     )
 
 
-def batch_similarity(df: DataFrame) -> DataFrame:
+def batch_similarity(df: DataFrame, cell: int = CELL, split: int = SPLIT_FILES) -> DataFrame:
     """(file1, file2, shared, union, similarity in percent) of every two files that share a product.
 
-    The join is on the product, so only files that meet are paired; a product in k files is in k(k-1)/2 pairs,
-    which is the size of what is asked. The pairs are counted before they are shuffled, and the files of a product
-    in very many are dealt over several tasks.
+    Files are numbered in order and weighed: a file's load is the number of other files that its products meet in it. Runs of
+    files of one load (`cell`) are cells, and a pair is counted in the cell of one of its files. A product sends its list of files,
+    once, to each cell that it has a file in; the pairs are made and counted there, so they are not shuffled. A file of
+    more load than a cell is dealt over several by product, and a product in more than `split` files has several lists.
     """
-    found = df.filter(F.col("product").isNotNull()).select("file", "product").distinct()
+    found = df.filter(F.col("product").isNotNull() & F.col("file").isNotNull()).select("file", "product").distinct()
     pairs = materialise(found, "similarity-pairs")
-    sizes = pairs.groupBy("file").agg(F.count("*").alias("n"))
-    often = pairs.groupBy("product").agg(F.count("*").alias("k")).filter(F.col("k") > SPLIT_FILES).select("product", F.ceil(F.col("k") / SPLIT_FILES).cast("int").alias("parts"))
-    split = pairs.join(often, "product", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    left = split.select("product", F.col("file").alias("file1"), F.pmod(F.xxhash64("file"), "parts").cast("int").alias("part"))
-    right = split.select("product", F.col("file").alias("file2"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    met = left.join(right, ["product", "part"]).filter("file1 < file2")
-    shared = met.groupBy("file1", "file2").agg(F.count("*").alias("shared"))
-    both = shared.join(sizes.select(F.col("file").alias("file1"), F.col("n").alias("n1")), "file1").join(sizes.select(F.col("file").alias("file2"), F.col("n").alias("n2")), "file2")
-    whole = both.withColumn("union", F.col("n1") + F.col("n2") - F.col("shared"))
-    return whole.select("file1", "file2", "shared", "union", F.round(percent(F.col("shared"), F.col("union")), 6).alias("similarity"))
+    often = materialise(pairs.groupBy("product").agg(F.count("*").alias("k")).filter("k > 1"), "similarity-products")
+    loads = pairs.join(often, "product", "left").groupBy("file").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.col("k") - 1, F.lit(0))).alias("load"))
+    files = prefix_sums(loads, ["file"], "load", None)
+    whole = files.agg(F.count("*").alias("files"), F.coalesce(F.max("_sum"), F.lit(0)).alias("load"), F.coalesce(F.max("load"), F.lit(0)).alias("most")).first()
+    hot = often.filter(F.col("k") > split).select("product", F.ceil(F.col("k") / split).cast("int").alias("parts"))
+    n_hot = hot.count()
+
+    def counted(table: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+    number = F.col("_i").cast("int" if whole["files"] < 2**31 else "long")
+    cells = files.select("file", number.alias("id"), F.floor((F.col("_sum") - F.col("load")) / cell).alias("first"), F.greatest(F.lit(1), F.ceil(F.col("load") / cell)).alias("cells"))
+    own = pairs.join(counted(cells, whole["files"]), "file").withColumn("cell", F.col("first") + F.pmod(F.xxhash64("product"), "cells")).drop("file", "first", "cells")
+    own = own.join(counted(hot, n_hot), "product", "left") if n_hot else own.withColumn("parts", F.lit(1))
+    own = own.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    lists = own.repartition("product", "part").groupBy("product", "part").agg(F.max("parts").alias("parts"), F.sort_array(F.collect_list(F.struct("cell", "id"))).alias("own"))
+    if n_hot:
+        lists = materialise(lists, "similarity-lists")
+    lists = lists.filter("parts > 1 OR size(own) > 1").select("product", "part", "parts", F.col("own.cell").alias("cells"), F.col("own.id").alias("ids"))
+    # A pair is of the cell of the one that comes first by cell and number; of two lists, of the one in the first list.
+    place = F.array_position("cells", F.col("cell"))
+    mine = F.slice("ids", place, F.size("cells") + 2 - place - F.array_position(F.reverse("cells"), F.col("cell")))
+    cut = lists.select("*", F.explode(F.array_distinct("cells")).alias("cell"))
+    sent = cut.select("cell", mine.alias("ids"), F.slice("ids", place, F.size("ids")).alias("others"), F.lit(0).alias("behind"))
+    if n_hot:
+        left = cut.filter("part < parts - 1").select("product", "cell", mine.alias("own"), F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("part"))
+        sent = sent.union(left.join(lists.select("product", "part", "ids"), ["product", "part"]).select("cell", "own", "ids", F.size("own")))
+    sent = sent.repartition(whole["load"] // cell + 1, "cell")
+    made = sent.select("cell", "others", "behind", F.posexplode_outer("ids").alias("i", "a")).select("cell", "i", "a", "behind", F.posexplode_outer("others").alias("j", "b")).filter("i < j + behind")
+    shared = made.groupBy("cell", F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2")).agg(F.count("*").alias("shared"))  # behind the shuffle by cell
+    if whole["most"] > cell:
+        shared = shared.groupBy("id1", "id2").agg(F.sum("shared").alias("shared"))
+    named = lambda i: counted(files.select(number.alias(f"id{i}"), F.col("file").alias(f"file{i}"), F.col("n").alias(f"n{i}")), whole["files"])
+    both = shared.join(named(1), "id1").join(named(2), "id2").withColumn("union", F.col("n1") + F.col("n2") - F.col("shared"))
+    return both.select("file1", "file2", "shared", "union", F.round(percent(F.col("shared"), F.col("union")), 6).alias("similarity"))
 
 
 def shared_products(df: DataFrame, pairs: DataFrame) -> DataFrame:

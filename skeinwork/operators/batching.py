@@ -87,7 +87,7 @@ def _ranged(df: DataFrame, parts: int | None, *order: Column | str) -> DataFrame
     return (df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)).sortWithinPartitions(*order)
 
 
-def _prefix_sums(df: DataFrame, order: list[str], value: str, parts: int | None) -> DataFrame:
+def prefix_sums(df: DataFrame, order: list[str], value: str, parts: int | None) -> DataFrame:
     """df with _i, the place in the total order from 1, and _sum, the values up to and with it: sums within each sorted range, and the ranges' totals
     (one row each) for those before."""
     schema = StructType([*df.schema.fields]).add("_part", IntegerType()).add("_i", LongType()).add("_sum", LongType())
@@ -203,7 +203,7 @@ def plan_compaction(files: DataFrame, cap: int, small: int | None = None, parts:
     own = files if small is None else files.filter(F.col("size") < small)
     kind = files.schema["file"].dataType
     listed = own.select("file", F.col("place").cast("long"), F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"))
-    summed = _prefix_sums(listed, ["place", "file", "size"], "size", parts)
+    summed = prefix_sums(listed, ["place", "file", "size"], "size", parts)
     payload = ["file", "place", "size"]
     places = summed.select(F.col("_sum").alias("value"), F.lit(0).alias("kind"), "_i", *[F.lit(None).cast(listed.schema[c].dataType).alias(c) for c in payload])
     thresholds = summed.select((F.col("_sum") - F.col("size") + cap).alias("value"), F.lit(1).alias("kind"), "_i", *payload)

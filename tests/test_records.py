@@ -223,6 +223,32 @@ def test_similarity_is_within_bounds(spark):
     assert rows and all(a < b and 0 < s <= 100 for a, b, s in rows)
 
 
+def overlaps(data):
+    own = {}
+    for f, p in data:
+        if f is not None and p is not None:
+            own.setdefault(f, set()).add(p)
+    return sorted((a, b, n, m, round(100 * n / m, 6)) for a in own for b in own if a < b and (n := len(own[a] & own[b])) and (m := len(own[a] | own[b])))
+
+
+def test_pairs_of_files_are_counted_where_they_are_made(spark):
+    """One shuffle of lists and one by cell; none has a row for each pair and product."""
+    df = spark.createDataFrame([(f"f{i % 7}", i % 5) for i in range(60)], "file string, product int")
+    alike = A.batch_similarity(df)
+    plan = alike._jdf.queryExecution().sparkPlan().toString() + alike._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "ids" in plan and not re.search(r"Exchange hashpartitioning\((file1|id1)", plan)
+    assert sorted(map(tuple, alike.collect())) == overlaps(df.collect())
+
+
+def test_overlap_does_not_depend_on_cells_and_lists(spark):
+    """Files of more load than a cell, products in more files than a list holds, nulls and repeats."""
+    rng = random.Random(1)
+    data = [(f"f{rng.randint(0, 25)}" if rng.random() < 0.97 else None, rng.choice([1, 1, 1, 2, 2, rng.randint(3, 40), None])) for _ in range(600)]
+    df, want = spark.createDataFrame(data, "file string, product int"), overlaps(data)
+    for cell, split in ((4_000_000, 1000), (3, 2), (50, 4), (1, 1)):
+        assert sorted(map(tuple, A.batch_similarity(df, cell, split).collect())) == want
+
+
 def test_scalars(spark):
     one = spark.range(1)
     prices = one.select(*[C.is_price(F.lit(x)) for x in ("$7.88", "7.88", "7.", "$")]).first()
