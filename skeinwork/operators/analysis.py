@@ -111,7 +111,7 @@ def recommendations(df: DataFrame) -> DataFrame:
     rate = F.col("duplication_rate")
     level = F.when(rate > 20, "high_duplication").when(rate > 10, "moderate_duplication").otherwise("low_duplication")
     first = duplication_summary(df).select(level.alias("code"), rate.alias("value"), none.alias("file1"), none.alias("file2"))
-    alike = batch_similarity(df).filter("similarity > 80")
+    alike = materialise(batch_similarity(df).filter("similarity > 80"), "similar-files")  # read twice
     count = alike.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit("similar_pairs"), F.col("n").cast("double"), none, none)
     top = alike.orderBy(F.desc("similarity"), "file1", "file2").limit(3).select(F.lit("similar_pair"), "similarity", "file1", "file2")
     many = file_distribution(df).filter("in_4_plus_files > 0").select(F.lit("in_4_plus_files"), F.col("in_4_plus_files").cast("double"), none, none)

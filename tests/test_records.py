@@ -249,6 +249,15 @@ def test_overlap_does_not_depend_on_cells_and_lists(spark):
         assert sorted(map(tuple, A.batch_similarity(df, cell, split).collect())) == want
 
 
+def test_alike_files_are_found_once(spark):
+    """The recommendations read similar pairs that were written, for their count and for the first three."""
+    df = spark.createDataFrame([(f"f{i % 4}", i // 4 % 10) for i in range(40)], "file string, product int")
+    found = A.recommendations(df)
+    assert "similar-files" in "".join(found.inputFiles())
+    rows = values(found, "code", "value", "file1", "file2")
+    assert ("similar_pairs", 6.0, None, None) in rows and sum(r[0] == "similar_pair" for r in rows) == 3
+
+
 def test_scalars(spark):
     one = spark.range(1)
     prices = one.select(*[C.is_price(F.lit(x)) for x in ("$7.88", "7.88", "7.", "$")]).first()
