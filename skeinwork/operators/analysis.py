@@ -99,7 +99,8 @@ def batch_similarity(df: DataFrame, cell: int = CELL, split: int = SPLIT_FILES)
 
 def shared_products(df: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (file1, file2) with the sorted products that both hold."""
-    own = df.select("file", "product").distinct()
+    asked = pairs.select(F.explode(F.array("file1", "file2")).alias("file")).distinct()
+    own = df.select("file", "product").join(asked, "file", "left_semi").distinct()
     met = pairs.select("file1", "file2").join(own.withColumnRenamed("file", "file1"), "file1").join(own.withColumnRenamed("file", "file2"), ["file2", "product"])
     return met.groupBy("file1", "file2").agg(F.sort_array(F.collect_list("product")).alias("products"))
 

@@ -9,7 +9,7 @@ from skeinwork.operators import analysis as A
 from skeinwork.operators import quality as V
 from skeinwork.operators.batching import with_place
 from skeinwork.plans.registry import query
-from skeinwork.sources.storage import table
+from skeinwork.sources.storage import materialise, table
 
 PAIRS = "SELECT DISTINCT l_suppkey AS file, l_partkey AS product FROM lineitem"
 MULTI = f"SELECT product, count(*) AS n FROM ({PAIRS}) GROUP BY product"
@@ -58,7 +58,7 @@ def a4_batch_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j11_shared_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The products that the ten most alike pairs of files share."""
     pairs = catalogue_pairs(spark, sf_dir)
-    most = A.batch_similarity(pairs).orderBy(F.desc("similarity"), "file1", "file2").limit(10)
+    most = materialise(A.batch_similarity(pairs).orderBy(F.desc("similarity"), "file1", "file2").limit(10), "most-alike")
     return A.shared_products(pairs, most).select("file1", "file2", F.explode("products").alias("product"))
 
 

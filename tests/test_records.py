@@ -258,6 +258,14 @@ def test_alike_files_are_found_once(spark):
     assert ("similar_pairs", 6.0, None, None) in rows and sum(r[0] == "similar_pair" for r in rows) == 3
 
 
+def test_shared_products_take_only_rows_of_the_files_asked_for(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), ("a", 2), ("b", 2), ("c", 1), ("a", 3), ("b", None), ("a", None)], "file string, product int")
+    got = A.shared_products(df, spark.createDataFrame([("a", "b")], "file1 string, file2 string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("Aggregate [file") < plan.index("LeftSemi")
+    assert [tuple(r) for r in got.collect()] == [("a", "b", [1, 2])]
+
+
 def test_scalars(spark):
     one = spark.range(1)
     prices = one.select(*[C.is_price(F.lit(x)) for x in ("$7.88", "7.88", "7.", "$")]).first()
