@@ -389,6 +389,37 @@ def plain_tree(html):
     return tree.all
 
 
+class Standard(H.Page):
+    """A page that the standard parser reads from its first character on."""
+
+    def _read(self, html):
+        return 0
+
+
+def test_plain_tags_are_read_as_the_standard_parser_reads_them():
+    rng = random.Random(3)
+    bits = [
+        "<p>", "</p>", "<div class='x y'>", "</div>", "<br/>", "<br />", "<img src=q>", '<img src="a&amp;b" alt=\'&copy\'>', "<a href='x&lt=1'>", '<a href="&notit;">', "<script>", "</script>", "<SCRIPT>var a='<b>&amp;</h1>';</SCRIPT>",
+        "</script >", "</ script>", "<!--", "</scriptx>", "<style>a<b</style>", "</ p>", "<!-- c -->", "<!---->", "<!-->", "<!-- a--b -->", "<!doctype html>", "<!DOCTYPE html PUBLIC 'x'>", "<?pi?>", "<![CDATA[x]]>", "<title>", "</title>", "a < b",
+        "&amp", "&amp;", "&#65;", "&notit;", "x", "<", "<p", '<p a="1>', "<p a b='2' c=\"3\"  >", "<p a= 'b'>", "<p a='1'b='2'>", "<P ID=A Id='b'>", "<P ID='A' Id='b'>", "<\u00e9>", "<p \u00e9='1'>", "<x-y>", "</x-y>", "</x:y>", "<textarea>", "</textarea>", "<b/>",
+        "<script src='a'/>", " ", "\n", "&", "-->", "<p\x00>", "<p\x0b a>", "</p x>", "<p/ a>", "<noscript>", "</noscript>", "<p a/>", "'", '"', ">", "<!", "</", "</>", "\r", "<meta name='n'>", "<p class='>' id='<b>'>",
+    ]
+    for _ in range(20_000):
+        html = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        quick, standard = H.Page(html), Standard(html)
+        for name in ("tags", "attrs", "up", "before", "end", "start", "stop", "index", "buffer"):
+            assert getattr(quick, name) == getattr(standard, name), (name, html)
+
+
+def test_product_pages_are_read_without_the_standard_parser(monkeypatch):
+    """Scripts with tags in them, references in attributes, comments and titles are no reason to go over to it."""
+    seen = []
+    monkeypatch.setattr(HTMLParser, "goahead", lambda self, end: seen.append(self.rawdata))
+    page = H.Page("<!doctype html><html><head><title>S &amp; T</title><script>var x = '<h1>no</h1>';</script></head><!-- c --><body data-product='{&quot;Number&quot;:&quot;N7&quot;}'><p class=\"a b\">x<br/>y</p></body></html>")
+    assert not "".join(seen) and page.text(0) == "S & Txy" and [page.text(i) for i in H.select(page, "p.a")] == ["xy"] and page.tags[-2:] == ["p", "br"]
+    assert page.attrs[page.of("tag", "body")[0]] == {"data-product": '{"Number":"N7"}'}
+
+
 def fits(e, part):
     kind = {"tag": e["tag"] == part[1], "id": e["attrs"].get("id") == part[1], "class": part[1] in e["attrs"].get("class", "").split()}
     if part[0] != "attribute":
