@@ -420,6 +420,14 @@ def test_product_pages_are_read_without_the_standard_parser(monkeypatch):
     assert page.attrs[page.of("tag", "body")[0]] == {"data-product": '{"Number":"N7"}'}
 
 
+def test_selectors_of_what_a_page_lacks_are_not_followed(monkeypatch):
+    page, looked = H.Page("<div class=a><p>x</p></div>"), []
+    own = H._fitting
+    monkeypatch.setattr(H, "_fitting", lambda page, conditions: looked.append(conditions) or own(page, conditions))
+    assert [H.select(page, s) for s in ("div.a p.none", "#none p", "[data-x] div", "p + b")] == [[], [], [], []] and not looked
+    assert H.select(page, "div.a p") == [1] and len(looked) == 2 and ("id", "none") not in page.index
+
+
 def fits(e, part):
     kind = {"tag": e["tag"] == part[1], "id": e["attrs"].get("id") == part[1], "class": part[1] in e["attrs"].get("class", "").split()}
     if part[0] != "attribute":
