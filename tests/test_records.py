@@ -19,6 +19,7 @@ from skeinwork.operators import pages as H
 from skeinwork.operators import project as P
 from skeinwork.operators import sync as J
 from skeinwork.sources import sinks
+from skeinwork.sources.storage import materialise
 
 
 def values(df, *names):
@@ -258,6 +259,46 @@ def test_alike_files_are_found_once(spark):
     assert ("similar_pairs", 6.0, None, None) in rows and sum(r[0] == "similar_pair" for r in rows) == 3
 
 
+def test_files_are_compared_only_where_they_are_alike(spark):
+    """Each product is in 40 files, so nearly all of 79,800 pairs share some; one file has a near copy."""
+    rng = random.Random(2)
+    data = [(f, p) for f in range(400) for p in rng.sample(range(500), 50)]
+    df = spark.createDataFrame(data + [(400, p) for f, p in data if f == 7][1:], "file int, product int")
+    assert len(overlaps(df.collect())) > 70_000
+    met = A.alike_candidates(A.file_sets(df, 80), 80)
+    assert (7, 400) in values(met, "of1", "of2") and met.count() < 100
+    found = A.recommendations(df)
+    assert {r for r in values(found, "code", "value", "file1", "file2") if "similar" in r[0]} == {("similar_pairs", 1.0, None, None), ("similar_pair", 98.0, 7, 400)}
+
+
+def test_alike_files_do_not_depend_on_sets(spark):
+    """Families of files about as alike as the threshold, in one set or several, copies in classes of up to six, nulls, repeats and tiny files."""
+    rng = random.Random(3)
+    data, names = [], iter(rng.sample(range(10_000), 2000))
+    for n in [*range(1, 12), 16, 19, 20, 21, 25, 40, 60, 79, 80, 81, 100]:
+        own = rng.sample(range(4000), n)
+        for change in (0, 0, 1, n // 10, n // 9, n // 8, n // 5, n // 4):
+            kept = own[:n - change] + [rng.randint(5000, 9000) for _ in range(rng.choice([0, change]))]
+            for _ in range(rng.choice([1, 1, 1, 2, 3])):
+                file = f"f{next(names)}"
+                data += [(file, p) for p in kept + kept[:2] + [None]]
+    data += [(None, p) for p in range(90)]
+    df, pairs = spark.createDataFrame(data, "file string, product int"), overlaps(data)
+    for over, size in ((80, 16_384), (80, 5), (50, 64), (95, 20)):
+        want = sorted(((-s, a, b) for a, b, _, _, s in pairs if s > over))
+        sets = materialise(A.file_sets(df, over, size), "sets")
+        assert {(a, b) for _, a, b in want} <= set(values(A.alike_candidates(sets.filter("file IS NOT NULL"), over), "of1", "of2"))
+        rows = values(A.similar_files(sets, over), "file1", "file2", "similarity", "pairs")
+        assert sum(r[3] for r in rows) == len(want) > 100
+        assert sorted((-s, a, b) for a, b, s, _ in rows)[:3] == want[:3] and {(-s, a, b) for a, b, s, _ in rows} <= set(want)
+    got = values(A.recommendations(df), "code", "value", "file1", "file2")
+    want = sorted(((-s, a, b) for a, b, _, _, s in pairs if s > 80))
+    assert [r[1] for r in got if r[0] == "similar_pairs"] == [len(want)]
+    assert sorted((-r[1], *r[2:]) for r in got if r[0] == "similar_pair") == want[:3]
+    assert [r[1] for r in got if r[0].endswith("duplication")] == [A.duplication_summary(df).first()["duplication_rate"]]
+    assert [r[1] for r in got if r[0] == "in_4_plus_files"] == [A.file_distribution(df).first()["in_4_plus_files"]]
+
+
 def test_shared_products_take_only_rows_of_the_files_asked_for(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), ("a", 2), ("b", 2), ("c", 1), ("a", 3), ("b", None), ("a", None)], "file string, product int")
     got = A.shared_products(df, spark.createDataFrame([("a", "b")], "file1 string, file2 string"))
